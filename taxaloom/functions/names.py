@@ -57,13 +57,15 @@ def stemmed(canonical: Column) -> Column:
 def name_id(name: Column) -> Column:
     """UUID version 5 of a name-string."""
     digest = F.sha1(F.concat(F.unhex(F.lit(NAME_NAMESPACE)), F.encode(name, "UTF-8")))
-    variant = F.lower(F.conv(F.conv(F.substring(digest, 17, 1), 16, 10).cast("int") % 4 + 8, 10, 16))
-    return F.concat(
-        F.substring(digest, 1, 8), F.lit("-"),
-        F.substring(digest, 9, 4), F.lit("-5"),
-        F.substring(digest, 14, 3), F.lit("-"),
-        variant, F.substring(digest, 18, 3), F.lit("-"),
-        F.substring(digest, 21, 12),
+    variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    # Empty only where the name is null, so joins on it need no null filter.
+    return F.coalesce(
+        F.concat(
+            F.regexp_replace(F.substring(digest, 1, 16), "^(.{8})(.{4}).(.{3})$", "$1-$2-5$3-"),
+            variant,
+            F.regexp_replace(F.substring(digest, 18, 15), "^(.{3})(.{12})$", "$1-$2"),
+        ),
+        F.lit(""),
     )
 
 

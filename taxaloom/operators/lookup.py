@@ -23,10 +23,11 @@ def lookup_name_strings(
     escapes undone.
     """
     text = F.coalesce(F.try_url_decode("id"), F.col("id"))
-    wanted = ids.select(
-        F.col("id").alias("input"),
-        F.when(F.lower(text).rlike(_UUID), F.lower(text)).otherwise(name_id(text)).alias("name_id"),
-    ).distinct()
+    inputs = ids.select(F.col("id").alias("input"), text.alias("text")).distinct()
+    given = F.when(F.lower("text").rlike(_UUID), F.lower("text"))
+    wanted = inputs.select(
+        "input", F.coalesce(given, name_id(F.col("text")), F.lit("")).alias("name_id")
+    )
     held = filter_sources(records, sources).select(
         name_id(F.col("name")).alias("name_id"),
         F.col("name").alias("matched_name"),

@@ -72,6 +72,14 @@ def nest_results(
     )
 
 
+def best_curation(names: DataFrame, best: DataFrame) -> DataFrame:
+    """Curation of the best result; names without a match are not curated."""
+    found = best.select("profile", "curation")
+    return names.select("row_id", "profile").join(found, "profile", "left").select(
+        "row_id", F.coalesce("curation", F.lit("NotCurated")).alias("curation")
+    )
+
+
 def with_errors(documents: DataFrame, errors: DataFrame) -> DataFrame:
     """Documents and, for names that could not be verified, their errors."""
     failed = errors.select(
