@@ -149,7 +149,7 @@ def match_exact_string(names: DataFrame, records: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_records"),
         F.countDistinct("data_source_id").alias("data_sources_num"),
     )
-    return names.select("row_id", F.trim("name").alias("name")).join(held, "name")
+    return names.select("row_id", F.trim("name").alias("name")).join(cut(held), "name")
 
 
 def match_exact_canonical(keys: DataFrame, records: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from taxaloom.functions.scores import (
     parse_quality_score,
     with_scores,
 )
+from taxaloom.session import cut
 
 # What tells records of one form apart when they are scored against a name.
 RECORD_CLASS = ["matched_key", "matched_rank", "matched_authors_text", "matched_year"]
@@ -164,12 +165,17 @@ def record_index(records: DataFrame, per_source: bool = False) -> DataFrame:
     )
 
 
+def _matched(records: DataFrame, matches: DataFrame) -> DataFrame:
+    return records.join(matches.select("matched_key"), "matched_key", "left_semi")
+
+
 def _leading(
     profiles: DataFrame, matches: DataFrame, records: DataFrame, per_source: bool
 ) -> DataFrame:
     """Scored records among which the first of each profile is found."""
-    wanted = matches.select("matched_key").distinct()
-    index = record_index(records.join(wanted, "matched_key", "left_semi"), per_source)
+    # Stored, the index joins by its true size: sent to all tasks when small,
+    # else shuffled with the probes, where a hot form is split among tasks.
+    index = cut(record_index(_matched(records, matches), per_source))
     probes = with_name_entries(profiles.join(matches, "match_key"))
     return with_scores(probes.join(index, ["matched_key", *ENTRIES]))
 
@@ -198,8 +204,7 @@ def best_results(
     The score of the best record says which entry holds its equals, so they
     are found by an equi-join; what is joined is what is returned.
     """
-    wanted = matches.select("matched_key").distinct()
-    records = records.join(wanted, "matched_key", "left_semi")
+    records = _matched(records, matches)
     counted = records.groupBy(*RECORD_CLASS, "matched_cardinality", *RECORD_SCORES).agg(
         F.count(F.lit(1)).alias("n_records")
     )

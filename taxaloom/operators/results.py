@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from taxaloom.functions.names import name_id
 from taxaloom.operators.ranking import TIES
+from taxaloom.session import cut
 
 FLAT_COLUMNS = [
     "Kind", "SortScore", "MatchType", "EditDistance", "ScientificName", "MatchedName",
@@ -36,16 +37,11 @@ def _in_order() -> Column:
     return F.transform(F.array_sort(F.collect_list(keyed)), lambda r: r["_result"])
 
 
-def nest_results(
-    names: DataFrame, best: DataFrame, results: DataFrame | None = None,
-    sources: DataFrame | None = None,
+def profile_documents(
+    best: DataFrame, results: DataFrame | None = None, sources: DataFrame | None = None
 ) -> DataFrame:
-    """One document per input row.
-
-    Documents are put together per profile and joined to the rows once.
-    ``results`` holds at most one record per source and profile, so the
-    collected arrays are as short as the list of sources.
-    """
+    """One document per profile. ``results`` holds at most one record per source
+    and profile, so the collected arrays are as short as the list of sources."""
     documents = best.select(
         "profile", "match_key", "match_type", "curation", _result().alias("best_result")
     )
@@ -58,8 +54,21 @@ def nest_results(
         documents = documents.join(sources, "match_key", "left")
     else:
         documents = documents.withColumn("data_sources_num", F.lit(None).cast("long"))
+    return documents.drop("match_key")
+
+
+def nest_results(
+    names: DataFrame, best: DataFrame, results: DataFrame | None = None,
+    sources: DataFrame | None = None,
+) -> DataFrame:
+    """One document per input row.
+
+    Documents are put together per profile, stored, and joined to the rows
+    once. Against a stored table the rows of a hot profile can be split.
+    """
+    documents = cut(profile_documents(best, results, sources))
     rows = names.select("row_id", name_id(F.col("name")).alias("id"), "name", "profile")
-    return rows.join(documents.drop("match_key"), "profile", "left").select(
+    return rows.join(documents, "profile", "left").select(
         "row_id",
         "id",
         "name",
@@ -74,7 +83,7 @@ def nest_results(
 
 def best_curation(names: DataFrame, best: DataFrame) -> DataFrame:
     """Curation of the best result; names without a match are not curated."""
-    found = best.select("profile", "curation")
+    found = cut(best.select("profile", "curation"))
     return names.select("row_id", "profile").join(found, "profile", "left").select(
         "row_id", F.coalesce("curation", F.lit("NotCurated")).alias("curation")
     )

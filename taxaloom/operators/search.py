@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from taxaloom.functions.names import RANK_MARKS, name_id, stemmed
 from taxaloom.functions.scores import with_scores
-from taxaloom.operators.ranking import match_order
+from taxaloom.session import cut
 
 # Keys of the query language.
 KEYS = ["g", "sp", "isp", "asp", "au", "y", "ds", "tx", "all", "n"]
@@ -280,9 +280,11 @@ def _forms_found(searches: DataFrame, records: DataFrame) -> DataFrame:
     found = asked.join(listed, ["role", "epithet_facet", "genus_facet"])
     words = F.split("match_key", " ")
     later, every = F.slice(words, 3, 100), F.slice(words, 2, 100)
-    found = found.filter(
-        _some_word("infraspecies", later) & _some_word("any_epithet", every)
-    ).drop("role", "epithet_facet", "genus_facet")
+    found = cut(
+        found.filter(
+            _some_word("infraspecies", later) & _some_word("any_epithet", every)
+        ).drop("role", "epithet_facet", "genus_facet")
+    )
     classified = _classified(records).select(
         "match_key", F.col("taxon").alias("t"), F.col("data_source_id").alias("s")
     )
@@ -323,6 +325,11 @@ def _ranked_records(records: DataFrame) -> DataFrame:
     return with_scores(asked)
 
 
+def _of_forms(scored: DataFrame, found: DataFrame) -> DataFrame:
+    forms = found.select(F.col("match_key").alias("matched_key"))
+    return scored.join(forms, "matched_key", "left_semi")
+
+
 def _record_groups(searches: DataFrame, ranked: DataFrame) -> DataFrame:
     """Records by what facets look at: form, author facet, source, year.
 
@@ -368,9 +375,9 @@ def search_batch(facets: DataFrame, records: DataFrame, scored: DataFrame) -> Da
     searches are run once.
     """
     valid = facets.filter(F.coalesce("species", "infraspecies", "any_epithet").isNotNull())
-    searches = valid.select(*FACETS).distinct().withColumn("search", _search_key())
+    searches = cut(valid.select(*FACETS).distinct().withColumn("search", _search_key()))
     found = _forms_found(searches, records)
-    groups = _record_groups(searches, _ranked_records(scored))
+    groups = _record_groups(searches, _ranked_records(_of_forms(scored, found)))
     has_years = F.coalesce("year_from", "year_to").isNotNull()
     asked = found.select(
         "search", "match_key", "year_from", "year_to",
@@ -418,8 +425,9 @@ def search_records(facets: DataFrame, records: DataFrame, scored: DataFrame) ->
     wanted = facets.filter("all_results").filter(
         F.coalesce("species", "infraspecies", "any_epithet").isNotNull()
     )
-    searches = wanted.select(*FACETS).distinct().withColumn("search", _search_key())
+    searches = cut(wanted.select(*FACETS).distinct().withColumn("search", _search_key()))
     found = _forms_found(searches, records)
+    scored = _of_forms(scored, found)
     classes = scored.select(
         "matched_key", "data_source_id", "matched_authors_text", "matched_year"
     ).distinct()

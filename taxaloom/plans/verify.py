@@ -48,7 +48,7 @@ class Verification:
 
     def per_row(self, found: DataFrame) -> DataFrame:
         """Results of profiles as results of input rows."""
-        return self.names.select("row_id", "name", "profile").join(found, "profile")
+        return self.names.select("row_id", "name", "profile").join(cut(found), "profile")
 
     def documents(self) -> DataFrame:
         """One document per input row, errors included."""
@@ -107,7 +107,7 @@ def verify(
 
 def no_match_rows(names: DataFrame, matches: DataFrame) -> DataFrame:
     """Prepared names without any match."""
-    missing = names.join(matches.select("match_key").distinct(), "match_key", "left_anti")
+    missing = names.join(matches.select("match_key"), "match_key", "left_anti")
     return missing.select(
         "row_id",
         "name",
