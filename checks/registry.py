@@ -721,7 +721,7 @@ def _run_stream(t: Tables, path: str):
     names = t.names_stream.select("row_id", "name")
     names.write.parquet(source)
     stream = t.spark.readStream.schema(names.schema).option("maxFilesPerTrigger", 4).parquet(source)
-    run = verify_stream(stream, t.records, t.data_sources, path, t.fresh())
+    run = verify_stream(stream, t.name_records, t.data_sources, path, t.fresh())
     run.awaitTermination()
     return run
 

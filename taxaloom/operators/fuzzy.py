@@ -15,10 +15,16 @@ from pyspark.sql import DataFrame, functions as F
 SHORTEST_FUZZY_WORD = 5
 
 
-def _spread(stems: DataFrame, column: str, distance: int) -> DataFrame:
-    """Add ``_trace``: a hash for each way to delete up to ``distance`` letters."""
+def spread_stems(stems: DataFrame, column: str, distance: int) -> DataFrame:
+    """Add ``trace``: a hash for each way to delete up to ``distance`` letters.
+
+    This multiplies the rows, so it starts from many small partitions.
+    """
+    parts = int(stems.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = f"`{column}`"
-    spread = stems.select("*", F.expr(f"explode(sequence(0, length({text}))) AS _i"))
+    spread = stems.repartition(parts).select(
+        "*", F.expr(f"explode(sequence(0, length({text}))) AS _i")
+    )
     if distance == 1:
         rest = f"concat(substring({text}, 1, _i - 1), substring({text}, _i + 1))"
         rest = f"if(_i = 0, {text}, {rest})"
@@ -34,27 +40,25 @@ def _spread(stems: DataFrame, column: str, distance: int) -> DataFrame:
         rest = f"if(_i = 0, {text}, {rest})"
     else:
         raise ValueError("distance must be 1 or 2")
-    return spread.withColumn("_trace", F.expr(f"xxhash64({rest})")).drop("_i", "_j")
+    return spread.withColumn("trace", F.expr(f"xxhash64({rest})")).drop("_i", "_j")
 
 
 def stem_neighbours(
     stems: DataFrame,
-    record_stems: DataFrame,
+    record_traces: DataFrame,
     distance: int = 1,
     guard_short_words: bool = True,
 ) -> DataFrame:
     """Pairs ``(stem, matched_stem, stem_edit_distance)`` within ``distance``.
 
-    Both sides hold distinct stems. Paired stems have the same number of words;
-    with the guard, words that differ have at least five letters on both sides.
+    Both sides hold distinct stems, those of the records spread already.
+    Paired stems have the same number of words; with the guard, words that
+    differ have at least five letters on both sides.
     """
-    # The spread multiplies the rows, so it starts from many small partitions.
-    parts = int(stems.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = _spread(stems.repartition(parts), "stem", distance)
-    right = _spread(record_stems.repartition(parts), "matched_stem", distance)
+    traces = spread_stems(stems, "stem", distance)
     apart = F.expr(f"levenshtein(stem, matched_stem, {distance})")
     pairs = (
-        left.join(right, "_trace")
+        traces.join(record_traces, "trace")
         .filter(apart >= 0)
         .select("stem", "matched_stem")
         .distinct()

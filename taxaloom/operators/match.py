@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from taxaloom.functions.names import stemmed
-from taxaloom.operators.fuzzy import stem_neighbours
+from taxaloom.operators.fuzzy import spread_stems, stem_neighbours
 from taxaloom.session import cut
 
 EXACT, STEM, FUZZY, PARTIAL, PARTIAL_FUZZY, GENUS_PART = range(6)
@@ -93,7 +93,18 @@ def probe_stems(probes: DataFrame, records: DataFrame) -> DataFrame:
     )
 
 
-def probe_similar(probes: DataFrame, records: DataFrame, relaxed: bool = False) -> DataFrame:
+def record_traces(records: DataFrame, relaxed: bool = False) -> DataFrame:
+    """Distinct stems of the records, spread for the similarity join."""
+    stems = records.filter(F.col("matched_cardinality") > 0).select("matched_stem").distinct()
+    return spread_stems(stems, "matched_stem", 2 if relaxed else 1)
+
+
+def probe_similar(
+    probes: DataFrame,
+    records: DataFrame,
+    relaxed: bool = False,
+    traces: DataFrame | None = None,
+) -> DataFrame:
     """Candidates with a stem close to that of a record.
 
     The similarity join sees distinct stems only; keys are attached after it.
@@ -101,7 +112,7 @@ def probe_similar(probes: DataFrame, records: DataFrame, relaxed: bool = False)
     stems = probes.withColumn("stem", stemmed(F.col("probe")))
     close = stem_neighbours(
         stems.select("stem").distinct(),
-        records.filter(F.col("matched_cardinality") > 0).select("matched_stem").distinct(),
+        traces if traces is not None else record_traces(records, relaxed),
         distance=2 if relaxed else 1,
         guard_short_words=not relaxed,
     )
@@ -212,6 +223,7 @@ def match_cascade(
     species_group: bool = False,
     relaxed: bool = False,
     uninomials: bool = False,
+    traces: DataFrame | None = None,
 ) -> DataFrame:
     """Matches of the first stage that finds anything, for every key.
 
@@ -219,9 +231,10 @@ def match_cascade(
     once. Only keys that neither their own form nor its stem settles go through
     the similarity join, and among these only keys without a partial match
     bring their remainders. A key is left to the earliest stage that found it,
-    as if found names had left after each stage.
+    as if found names had left after each stage. ``traces`` come from a stored
+    index, together with its ``records``.
     """
-    keys, records = cut(keys), cut(records)
+    keys, records = cut(keys), records if traces is not None else cut(records)
     probes = candidates(
         keys, exact_probes(species_group), partial_probes(PARTIAL), genus_probes()
     )
@@ -234,5 +247,5 @@ def match_cascade(
     unsettled = candidates(rest, stem_probes(FUZZY, uninomials)).unionByName(
         candidates(without_part, partial_probes(PARTIAL_FUZZY))
     )
-    similar = probe_similar(unsettled, records, relaxed)
+    similar = probe_similar(unsettled, records, relaxed, traces)
     return labelled(longest_first(direct.unionByName(similar)), relaxed)

@@ -170,30 +170,32 @@ def _matched(records: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def _leading(
-    profiles: DataFrame, matches: DataFrame, records: DataFrame, per_source: bool
+    profiles: DataFrame, matches: DataFrame, records: DataFrame,
+    per_source: bool, index: DataFrame | None,
 ) -> DataFrame:
     """Scored records among which the first of each profile is found."""
-    # Stored, the index joins by its true size: sent to all tasks when small,
-    # else shuffled with the probes, where a hot form is split among tasks.
-    index = cut(record_index(_matched(records, matches), per_source))
+    if index is None:
+        # Stored, the index joins by its true size: sent to all tasks when small,
+        # else shuffled with the probes, where a hot form is split among tasks.
+        index = cut(record_index(_matched(records, matches), per_source))
     probes = with_name_entries(profiles.join(matches, "match_key"))
     return with_scores(probes.join(index, ["matched_key", *ENTRIES]))
 
 
-def best_result(profiles: DataFrame, matches: DataFrame, records: DataFrame) -> DataFrame:
-    """The first record of each profile."""
-    return first_of(
-        _leading(profiles, matches, records, per_source=False), ["profile"], match_order()
-    )
+def best_result(
+    profiles: DataFrame, matches: DataFrame, records: DataFrame, index: DataFrame | None = None
+) -> DataFrame:
+    """The first record of each profile. ``index`` is a stored ``record_index``."""
+    found = _leading(profiles, matches, records, False, index)
+    return first_of(found, ["profile"], match_order())
 
 
-def best_per_source(profiles: DataFrame, matches: DataFrame, records: DataFrame) -> DataFrame:
+def best_per_source(
+    profiles: DataFrame, matches: DataFrame, records: DataFrame, index: DataFrame | None = None
+) -> DataFrame:
     """The first record of each profile in each source."""
-    return first_of(
-        _leading(profiles, matches, records, per_source=True),
-        ["profile", "data_source_id"],
-        match_order(),
-    )
+    found = _leading(profiles, matches, records, True, index)
+    return first_of(found, ["profile", "data_source_id"], match_order())
 
 
 def best_results(

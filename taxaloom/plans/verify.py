@@ -10,6 +10,35 @@ from taxaloom.operators import attach, match, prepare, ranking, results
 from taxaloom.session import cut
 
 
+@dataclass(frozen=True)
+class RecordIndex:
+    """Records prepared once for many runs, such as the batches of a stream."""
+
+    prepared: DataFrame        # decomposed records
+    keys: DataFrame            # distinct match keys
+    traces: DataFrame          # their stems, spread for the similarity join
+    entries: DataFrame         # first record per form and agreement
+    source_entries: DataFrame  # the same per source
+    relaxed: bool
+
+
+def build_index(
+    records: DataFrame, data_sources: DataFrame, relaxed: bool = False
+) -> RecordIndex:
+    """Store what every run derives from the records alone."""
+    prepared = cut(prepare.prepared_records(records))
+    keys = cut(prepare.record_keys(prepared))
+    scored = ranking.scored_records(prepared, data_sources)
+    return RecordIndex(
+        prepared=prepared,
+        keys=keys,
+        traces=cut(match.record_traces(keys, relaxed)),
+        entries=cut(ranking.record_index(scored)),
+        source_entries=cut(ranking.record_index(scored, per_source=True)),
+        relaxed=relaxed,
+    )
+
+
 @dataclass(frozen=True)
 class Verification:
     """Tables of one verification. Rows of the input meet them through ``profile``."""
@@ -21,16 +50,21 @@ class Verification:
     records: DataFrame    # records with their own scores
     prepared_records: DataFrame
     sources: list[int] | None
+    index: RecordIndex | None = None
 
     def best(self) -> DataFrame:
         """First record of each profile, with its accepted name."""
-        found = ranking.best_result(self.profiles, self.matches, self.records)
+        entries = self.index.entries if self.index else None
+        found = ranking.best_result(self.profiles, self.matches, self.records, entries)
         return attach.resolve_current(found, self.prepared_records)
 
     def per_source(self) -> DataFrame:
         """First record of each profile in each chosen source."""
         chosen = prepare.filter_sources(self.records, self.sources)
-        found = ranking.best_per_source(self.profiles, self.matches, chosen)
+        entries = None
+        if self.index:
+            entries = prepare.filter_sources(self.index.source_entries, self.sources)
+        found = ranking.best_per_source(self.profiles, self.matches, chosen, entries)
         return attach.resolve_current(found, self.prepared_records)
 
     def all_matches(self) -> DataFrame:
@@ -62,7 +96,7 @@ class Verification:
 
 def verify(
     names: DataFrame,
-    records: DataFrame,
+    records: DataFrame | RecordIndex,
     data_sources: DataFrame,
     *,
     sources: list[int] | None = None,
@@ -73,10 +107,13 @@ def verify(
 ) -> Verification:
     """Match ``names (row_id, name)`` to ``records`` and prepare their ranking.
 
-    ``records`` are plain or already prepared by ``prepare.prepared_records``
-    and stored, which saves decomposing them in every run.
+    ``records`` are plain, or prepared by ``prepare.prepared_records`` and
+    stored, or a whole index that several runs share.
     """
-    if "match_key" in records.columns:
+    index = records if isinstance(records, RecordIndex) else None
+    if index:
+        relaxed, prepared = index.relaxed, index.prepared
+    elif "match_key" in records.columns:
         prepared = records
     else:
         prepared = cut(prepare.prepared_records(records))
@@ -91,7 +128,12 @@ def verify(
     )
     matches = cut(
         match.match_cascade(
-            keys, prepare.record_keys(prepared), species_group, relaxed, uninomials
+            keys,
+            index.keys if index else prepare.record_keys(prepared),
+            species_group,
+            relaxed,
+            uninomials,
+            index.traces if index else None,
         )
     )
     return Verification(
@@ -102,6 +144,7 @@ def verify(
         records=ranking.scored_records(prepared, data_sources),
         prepared_records=prepared,
         sources=sources,
+        index=index,
     )
 
 

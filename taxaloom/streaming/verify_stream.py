@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from taxaloom.plans.verify import verify
+from taxaloom.plans.verify import build_index, verify
 from taxaloom.session import cut
 
 METRIC = "names_in"
@@ -17,18 +17,21 @@ def verify_stream(
     data_sources: DataFrame,
     path: str,
     checkpoint: str,
+    relaxed: bool = False,
     **options,
 ) -> StreamingQuery:
     """Verify each micro-batch and write its flat rows below ``path``.
 
     Ranking needs windows that streams do not have, so a batch runs the batch
-    plan. A batch that is run again overwrites its own folder: with the
-    checkpoint every name is written exactly once.
+    plan against an index of the records that is built once. A batch that is
+    run again overwrites its own folder: with the checkpoint every name is
+    written exactly once.
     """
+    index = build_index(records, data_sources, relaxed)
 
     def verified(batch: DataFrame, batch_id: int) -> None:
         rows = cut(batch.select("row_id", "name"))
-        flat = verify(rows, records, data_sources, **options).flat()
+        flat = verify(rows, index, data_sources, **options).flat()
         flat.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     counted = names.observe(METRIC, F.count(F.lit(1)).alias("names"))
