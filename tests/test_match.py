@@ -75,46 +75,53 @@ def record_keys_of(frame, names=RECORDS):
 
 def matches(frame, names, **options):
     found = match.match_cascade(keys_of(frame, names), record_keys_of(frame), **options)
-    return {
-        (r.match_key, r.matched_key, r.match_type, r.edit_distance, r.stem_edit_distance)
-        for r in found.collect()
-    }
-
-
-@pytest.mark.parametrize("name,matched,kind,edit,stem", [
-    ("Bubo bubo L.", "Bubo bubo", "Exact", 0, 0),
-    ("Adiantum davidii Franchet var. longispina Ching", "Adiantum davidii longispinum", "Fuzzy", 2, 0),
-    ("Odiantum davidii Franchet var. longispina Ching", "Adiantum davidii longispinum", "Fuzzy", 3, 1),
-    ("Pardosa moesta spider", "Pardosa moesta", "Partial", 0, 0),
-    ("Pardosa novella moesta", "Pardosa moesta", "Partial", 0, 0),
-    ("Pardosax moesta spider", "Pardosa moesta", "PartialFuzzy", 1, 1),
-    ("Pomatomus ignotissimus", "Pomatomus", "Partial", 0, 0),
-    ("tobacco Mosaic VIRUS", "virus:tobacco mosaic virus", "Virus", 0, 0),
-])
-def test_cascade_stages(frame, name, matched, kind, edit, stem):
-    found = matches(frame, [name])
-    assert [m[1:] for m in found] == [(matched, kind, edit, stem)]
-
-
-def test_short_words_and_uninomials_are_not_fuzzy(frame):
-    assert matches(frame, ["Nomen bxbo", "Pomatmus"]) == set()
+    by_key = {}
+    for r in found.collect():
+        row = (r.matched_key, r.match_type, r.edit_distance, r.stem_edit_distance)
+        by_key.setdefault(r.match_key, set()).add(row)
+    return by_key
+
+
+STAGES = {
+    "Bubo bubo L.": ("Bubo bubo", ("Bubo bubo", "Exact", 0, 0)),
+    # An exact name brings no similar, partial or genus matches along.
+    "Bubo bubo bubo": ("Bubo bubo bubo", ("Bubo bubo bubo", "Exact", 0, 0)),
+    "Adiantum davidii Franchet var. longispina Ching": (
+        "Adiantum davidii longispina", ("Adiantum davidii longispinum", "Fuzzy", 2, 0)),
+    "Odiantum davidii Franchet var. longispina Ching": (
+        "Odiantum davidii longispina", ("Adiantum davidii longispinum", "Fuzzy", 3, 1)),
+    "Pardosa moesta spider": ("Pardosa moesta spider", ("Pardosa moesta", "Partial", 0, 0)),
+    "Pardosa novella moesta": ("Pardosa novella moesta", ("Pardosa moesta", "Partial", 0, 0)),
+    "Pardosax moesta spider": ("Pardosax moesta spider", ("Pardosa moesta", "PartialFuzzy", 1, 1)),
+    "Pomatomus ignotissimus": ("Pomatomus ignotissimus", ("Pomatomus", "Partial", 0, 0)),
+    "tobacco Mosaic VIRUS": (
+        "virus:tobacco mosaic virus", ("virus:tobacco mosaic virus", "Virus", 0, 0)),
+    "Achillea millefolia lanulosa alpina": (
+        "Achillea millefolia lanulosa alpina", ("Achillea millefolia lanulosa", "Partial", 0, 0)),
+    # Short words and uninomials are not matched by similarity.
+    "Nomen bxbo": ("Nomen bxbo", None),
+    "Pomatmus": ("Pomatmus", None),
+}
+
+
+def test_cascade_stages(frame):
+    found = matches(frame, list(STAGES))
+    for name, (key, row) in STAGES.items():
+        assert found.get(key, set()) == ({row} if row else set()), name
 
 
 def test_options(frame):
-    assert {m[2] for m in matches(frame, ["Nomen bxbo"], relaxed=True)} == {"FuzzyRelaxed"}
-    assert {m[1:3] for m in matches(frame, ["Pomatmus"], uninomials=True)} == {("Pomatomus", "Fuzzy")}
-    assert {m[1] for m in matches(frame, ["Bubo bubo"], species_group=True)} == {"Bubo bubo", "Bubo bubo bubo"}
-    assert {m[1] for m in matches(frame, ["Bubo bubo bubo"], species_group=True)} == {"Bubo bubo", "Bubo bubo bubo"}
-
-
-def test_names_leave_with_their_first_stage(frame):
-    """An exact name brings no similar, partial or genus matches along."""
-    assert {m[1] for m in matches(frame, ["Bubo bubo bubo"])} == {"Bubo bubo bubo"}
-
-
-def test_longest_remainder_wins(frame):
-    found = matches(frame, ["Achillea millefolia lanulosa alpina"])
-    assert {m[1:3] for m in found} == {("Achillea millefolia lanulosa", "Partial")}
+    found = matches(
+        frame, ["Nomen bxbo", "Pomatmus", "Bubo bubo", "Bubo bubo bubo"],
+        relaxed=True, uninomials=True, species_group=True,
+    )
+    assert {m[:2] for m in found["Nomen bxbo"]} == {("Nomen bbo", "FuzzyRelaxed")}
+    assert {m[:2] for m in found["Pomatmus"]} == {("Pomatomus", "FuzzyRelaxed")}
+    both = {("Bubo bubo", "Exact"), ("Bubo bubo bubo", "Exact")}
+    assert {m[:2] for m in found["Bubo bubo"]} == both
+    assert {m[:2] for m in found["Bubo bubo bubo"]} == both
+    strict = matches(frame, ["Pomatmus"], uninomials=True)
+    assert {m[:2] for m in strict["Pomatmus"]} == {("Pomatomus", "Fuzzy")}
 
 
 @pytest.mark.parametrize("stage", [
