@@ -22,7 +22,7 @@ def spread_stems(stems: DataFrame, column: str, distance: int) -> DataFrame:
     """
     parts = int(stems.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = f"`{column}`"
-    spread = stems.repartition(parts).select(
+    spread = stems.repartition(parts, column).select(
         "*", F.expr(f"explode(sequence(0, length({text}))) AS _i")
     )
     if distance == 1:

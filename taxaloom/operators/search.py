@@ -219,7 +219,7 @@ def facet_taxon(facets: DataFrame, records: DataFrame) -> DataFrame:
         .groupBy("taxon", "data_source_id")
         .agg(F.count(F.lit(1)).alias("n_searches"))
     )
-    return asked.join(_classified(records), ["taxon", "data_source_id"]).select(
+    return asked.join(_classified(records, asked), ["taxon", "data_source_id"]).select(
         "taxon", "data_source_id", "n_searches", "match_key"
     )
 
@@ -228,11 +228,13 @@ def _classifying_source() -> Column:
     return F.coalesce(F.try_element_at("sources", F.lit(1)), F.lit(MAIN_SOURCE))
 
 
-def _classified(records: DataFrame) -> DataFrame:
+def _classified(records: DataFrame, asked: DataFrame) -> DataFrame:
+    """Canonical forms below the taxa that are ``asked`` for, by source."""
     taxa = F.array_distinct(F.split("classification_path", r"\|"))
+    wanted = asked.select("taxon", "data_source_id")
     return (
         records.select("match_key", "data_source_id", F.explode(taxa).alias("taxon"))
-        .filter("taxon <> ''")
+        .join(wanted, ["taxon", "data_source_id"], "left_semi")
         .distinct()
     )
 
@@ -285,16 +287,12 @@ def _forms_found(searches: DataFrame, records: DataFrame) -> DataFrame:
             _some_word("infraspecies", later) & _some_word("any_epithet", every)
         ).drop("role", "epithet_facet", "genus_facet")
     )
-    classified = _classified(records).select(
-        "match_key", F.col("taxon").alias("t"), F.col("data_source_id").alias("s")
-    )
-    with_taxon = found.filter(F.col("taxon").isNotNull()).join(
-        classified.withColumnRenamed("match_key", "k"),
-        (F.col("k") == F.col("match_key"))
-        & (F.col("t") == F.col("taxon"))
-        & (F.col("s") == _classifying_source()),
-        "left_semi",
+    below = found.filter(F.col("taxon").isNotNull()).withColumn(
+        "data_source_id", _classifying_source()
     )
+    with_taxon = below.join(
+        _classified(records, below), ["match_key", "taxon", "data_source_id"], "left_semi"
+    ).drop("data_source_id")
     return found.filter(F.col("taxon").isNull()).unionByName(with_taxon)
 
 
@@ -330,6 +328,21 @@ def _of_forms(scored: DataFrame, found: DataFrame) -> DataFrame:
     return scored.join(forms, "matched_key", "left_semi")
 
 
+def _listed(searches: DataFrame, classes: DataFrame) -> DataFrame:
+    """Record classes under each author facet and source facet they answer."""
+    by_author = classes.withColumn("word", F.explode(F.split("authors_text", r"\|")))
+    author_words = facet_words(_wanted(searches, "author"), by_author.select("word").distinct())
+    signed = (
+        by_author.join(author_words, "word")
+        .withColumnRenamed("facet", "author_facet")
+        .drop("word")
+        .distinct()
+    )
+    return signed.unionByName(classes.withColumn("author_facet", F.lit(ANY))).withColumn(
+        "source_facet", F.explode(F.array(F.lit(ANY), F.col("source").cast("string")))
+    )
+
+
 def _record_groups(searches: DataFrame, ranked: DataFrame) -> DataFrame:
     """Records by what facets look at: form, author facet, source, year.
 
@@ -341,33 +354,38 @@ def _record_groups(searches: DataFrame, ranked: DataFrame) -> DataFrame:
         (-F.col("sort_score")).alias("order"), "matched_name", "data_source_id", "record_id",
         "sort_score", "matched_cardinality",
     )
-    classes = ranked.groupBy(
-        F.col("matched_key").alias("match_key"),
-        F.col("data_source_id").alias("source"),
-        F.col("matched_authors_text").alias("authors_text"),
-        F.col("matched_year").alias("year"),
-    ).agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n_records"))
-    by_author = classes.withColumn("word", F.explode(F.split("authors_text", r"\|")))
-    author_words = facet_words(_wanted(searches, "author"), by_author.select("word").distinct())
-    signed = (
-        by_author.join(author_words, "word")
-        .withColumn("author_facet", F.col("facet"))
-        .drop("word", "facet")
-        .distinct()
-    )
-    listed = signed.unionByName(classes.withColumn("author_facet", F.lit(ANY)))
-    listed = listed.withColumn(
-        "source_facet", F.explode(F.array(F.lit(ANY), F.col("source").cast("string")))
+    classes = ranked.groupBy(*_class_columns()).agg(
+        F.min(first).alias("first"), F.count(F.lit(1)).alias("n_records")
     )
-    dated = F.array(F.lit(False), F.lit(True))
-    listed = listed.withColumn("dated", F.explode(dated)).withColumn(
-        "year", F.when(F.col("dated"), F.col("year"))
+    listed = (
+        _listed(searches, classes)
+        .withColumn("dated", F.explode(F.array(F.lit(False), F.lit(True))))
+        .withColumn("year", F.when(F.col("dated"), F.col("year")))
     )
     return listed.groupBy("match_key", "author_facet", "source_facet", "dated", "year").agg(
         F.min("first").alias("first"), F.sum("n_records").alias("n_records")
     )
 
 
+def _class_columns() -> list[Column]:
+    return [
+        F.col("matched_key").alias("match_key"),
+        F.col("data_source_id").alias("source"),
+        F.col("matched_authors_text").alias("authors_text"),
+        F.col("matched_year").alias("year"),
+    ]
+
+
+def _asked_of_records(found: DataFrame) -> DataFrame:
+    """Searches with their forms and what they ask of the records."""
+    return found.select(
+        "search", "match_key", "year_from", "year_to",
+        F.coalesce("author", F.lit(ANY)).alias("author_facet"),
+        F.explode(_source_facets()).alias("source_facet"),
+        F.coalesce("year_from", "year_to").isNotNull().alias("dated"),
+    )
+
+
 def search_batch(facets: DataFrame, records: DataFrame, scored: DataFrame) -> DataFrame:
     """Names found by each search: the best record and the number of records.
 
@@ -378,15 +396,10 @@ def search_batch(facets: DataFrame, records: DataFrame, scored: DataFrame) -> Da
     searches = cut(valid.select(*FACETS).distinct().withColumn("search", _search_key()))
     found = _forms_found(searches, records)
     groups = _record_groups(searches, _ranked_records(_of_forms(scored, found)))
-    has_years = F.coalesce("year_from", "year_to").isNotNull()
-    asked = found.select(
-        "search", "match_key", "year_from", "year_to",
-        F.coalesce("author", F.lit(ANY)).alias("author_facet"),
-        F.explode(_source_facets()).alias("source_facet"),
-        has_years.alias("dated"),
-    )
-    hits = asked.join(groups, ["match_key", "author_facet", "source_facet", "dated"]).filter(
-        ~F.col("dated") | _in_years(F.col("year"))
+    hits = (
+        _asked_of_records(found)
+        .join(groups, ["match_key", "author_facet", "source_facet", "dated"])
+        .filter(~F.col("dated") | _in_years(F.col("year")))
     )
     names = hits.groupBy("search", "match_key").agg(
         F.min("first").alias("first"), F.sum("n_records").alias("n_records")
@@ -428,20 +441,21 @@ def search_records(facets: DataFrame, records: DataFrame, scored: DataFrame) ->
     searches = cut(wanted.select(*FACETS).distinct().withColumn("search", _search_key()))
     found = _forms_found(searches, records)
     scored = _of_forms(scored, found)
-    classes = scored.select(
-        "matched_key", "data_source_id", "matched_authors_text", "matched_year"
-    ).distinct()
-    author_is = _some_author(F.col("author"), F.split("matched_authors_text", r"\|"))
-    source_is = F.col("sources").isNull() | F.array_contains("sources", F.col("data_source_id"))
-    undated = F.coalesce("year_from", "year_to").isNull()
+    classes = scored.select(*_class_columns()).distinct()
     hits = (
-        found.join(classes, F.col("match_key") == F.col("matched_key"))
-        .filter(author_is & source_is & (undated | _in_years(F.col("matched_year"))))
-        .select("search", "matched_key", "data_source_id", "matched_authors_text", "matched_year")
+        _asked_of_records(found)
+        .join(_listed(searches, classes), ["match_key", "author_facet", "source_facet"])
+        .filter(~F.col("dated") | _in_years(F.col("year")))
+        .select("search", "match_key", "source", "authors_text", "year")
+        .distinct()
     )
-    same = ["matched_key", "data_source_id", "matched_authors_text", "matched_year"]
     left, right = hits.alias("h"), _ranked_records(scored).alias("r")
-    on = [F.col(f"h.{c}").eqNullSafe(F.col(f"r.{c}")) for c in same]
+    on = (
+        (F.col("h.match_key") == F.col("r.matched_key"))
+        & (F.col("h.source") == F.col("r.data_source_id"))
+        & (F.col("h.authors_text") == F.col("r.matched_authors_text"))
+        & F.col("h.year").eqNullSafe(F.col("r.matched_year"))
+    )
     answers = left.join(right, on).select("h.search", "r.*")
     return (
         wanted.withColumn("search", _search_key()).select("query_id", "search")
@@ -450,15 +464,6 @@ def search_records(facets: DataFrame, records: DataFrame, scored: DataFrame) ->
     )
 
 
-def _some_author(asked: Column, authors: Column) -> Column:
-    return asked.isNull() | F.exists(
-        authors,
-        lambda a: F.when(
-            _abbreviated(asked), a.startswith(F.rtrim(asked, F.lit(".")))
-        ).otherwise(a == asked),
-    )
-
-
 def search_placeholder(facets: DataFrame, found: DataFrame) -> DataFrame:
     """One row for each search without hits: the query text and its identifier."""
     empty = facets.join(found.select("query_id").distinct(), "query_id", "left_anti")

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Call sites of single columns are not worth their cost in long plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

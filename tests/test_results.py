@@ -1,9 +1,11 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from taxaloom.operators import attach, lookup, results
 from taxaloom.plans.verify import build_index, map_checklist, no_match_rows, verify
+from taxaloom.session import cut
 from taxaloom.sources import readers, writers
 
 SOURCES = "id int, title string, title_short string, curation string, updated_at string"
@@ -28,9 +30,18 @@ def tables(frame):
     return names, records, sources
 
 
-def test_flat_rows(frame):
-    done = verify(*tables(frame), sources=[1, 4])
-    flat = results.keep_input_order(done.flat()).collect()
+@pytest.fixture(scope="module")
+def done(frame):
+    return verify(*tables(frame), sources=[1, 4])
+
+
+@pytest.fixture(scope="module")
+def documents(done):
+    return cut(done.documents())
+
+
+def test_flat_rows(documents):
+    flat = results.keep_input_order(results.flat_rows(documents)).collect()
     rows = [(r.row_id, r.Kind, r.MatchType, r.TaxonId, r.CurrentName, r.TaxonomicStatus, r.Error) for r in flat]
     assert rows == [
         # The best row, and the first of the results, which is a best match too.
@@ -56,15 +67,15 @@ def test_without_sources_only_the_best(frame):
     assert kinds == ["BestMatch", "BestMatch"]
 
 
-def test_index_gives_the_same_rows(frame):
+def test_index_gives_the_same_rows(frame, documents):
     names, records, sources = tables(frame)
-    plain = verify(names, records, sources, sources=[1]).flat()
-    indexed = verify(names, build_index(records, sources), sources, sources=[1]).flat()
+    indexed = verify(names, build_index(records, sources), sources, sources=[1, 4]).flat()
+    plain = results.flat_rows(documents)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, indexed.collect()))
 
 
-def test_delimited_round_trip(frame, spark, tmp_path):
-    flat = verify(*tables(frame), sources=[1, 4]).flat()
+def test_delimited_round_trip(documents, spark, tmp_path):
+    flat = results.flat_rows(documents)
     for sep in ",\t":
         path = f"{tmp_path}/{ord(sep)}"
         writers.write_delimited(flat, path, sep)
@@ -73,8 +84,7 @@ def test_delimited_round_trip(frame, spark, tmp_path):
         assert back.filter(F.col("ScientificName") == 'Aus bus "Smith", x').count() == 3
 
 
-def test_json_documents(frame, spark, tmp_path):
-    documents = verify(*tables(frame), sources=[1, 4]).documents()
+def test_json_documents(documents, spark, tmp_path):
     writers.write_json_docs(documents, f"{tmp_path}/docs")
     lines = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/docs").collect()]
     by_name = {d.get("name"): d for d in lines}
@@ -111,13 +121,13 @@ def test_lineage(frame):
                      "d": "Life (kingdom) >>  >> Aus (genus)"}
 
 
-def test_vernaculars_of_synonyms(frame):
-    done = verify(*tables(frame))
+def test_vernaculars_of_synonyms(frame, done):
     common = frame([(1, "a", "bus bird", "English", "eng"), (1, "a", "oiseau", "French", "fra"), (4, "c", "x", "German", "deu")],
                    "data_source_id int, record_id string, name string, language string, language_code string")
-    found = attach.attach_vernaculars(done.best(), common, ["eng", "german"]).collect()
+    best = cut(done.best())
+    found = attach.attach_vernaculars(best, common, ["eng", "german"]).collect()
     assert {(r.record_id, r.vernacular) for r in found} == {("a", "bus bird"), ("b", "bus bird")}
-    assert attach.attach_vernaculars(done.best(), common, ["all"]).count() == 4
+    assert attach.attach_vernaculars(best, common, ["all"]).count() == 4
 
 
 def test_lookup_by_text_or_identifier(frame):
@@ -132,11 +142,10 @@ def test_lookup_by_text_or_identifier(frame):
     assert lookup.lookup_name_strings(by_id, records, [4]).count() == 0
 
 
-def test_checklist_and_no_match(frame):
+def test_checklist_and_no_match(frame, done):
     names, records, sources = tables(frame)
     mapped = map_checklist(names, records, sources, source=4)
     assert {(r.row_id, r.record_id) for r in mapped.collect()} == {(0, "d"), (5, "c")}
-    done = verify(names, records, sources)
     assert [r.row_id for r in no_match_rows(done.names, done.matches).collect()] == [2]
 
 
