@@ -219,7 +219,7 @@ SELECT row_id, 0::INT AS position, 'BestMatch' AS "Kind", {_FLAT_VALUES} FROM ro
 UNION ALL
 SELECT row_id, rn::INT AS position, CASE WHEN rn = 1 THEN 'BestMatch' ELSE 'SortedMatch' END, {_FLAT_VALUES}
 FROM rows_in r JOIN (SELECT *, row_number() OVER (PARTITION BY profile ORDER BY {ORDER}) AS rn
-                     FROM per WHERE data_source_id IN (1, 2, 5, 7)) f USING (profile)
+                     FROM per) f USING (profile)
 UNION ALL {_FLAT_EMPTY.format("''")} FROM rows_in WHERE profile NOT IN (SELECT profile FROM best)
 UNION ALL {_FLAT_EMPTY.format("error")} FROM failed"""
 

@@ -24,7 +24,8 @@ from taxaloom.streaming.verify_stream import stream_metrics, verify_stream
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-CHOSEN = [1, 2, 5, 7]
+CHOSEN = [1, 2, 5, 7]  # for the operators that choose sources
+EVERY = [0]            # results from all sources
 
 
 class Tables:
@@ -149,7 +150,7 @@ UNION ALL SELECT {id}, r.name, 'NoMatch', 'NotCurated', 0, '' FROM failed r""".f
 @query(_DOCS)
 def write_json_docs(t: Tables) -> DataFrame:
     path = t.fresh()
-    writers.write_json_docs(t.verification(CHOSEN).documents(), path)
+    writers.write_json_docs(t.verification(EVERY).documents(), path)
     return readers.read_result_docs(t.spark, path).select(
         "id", "name", F.col("matchType").alias("match_type"), "curation",
         F.coalesce("dataSourcesNum", F.lit(0)).cast("long").alias("data_sources_num"),
@@ -157,15 +158,15 @@ def write_json_docs(t: Tables) -> DataFrame:
     )
 
 
-_PER_CHOSEN = "(SELECT * FROM per WHERE data_source_id IN (1, 2, 5, 7))"
+_RESULTS = "per"
 
 
 @query(f"""SELECT r.name, (row_number() OVER (PARTITION BY row_id ORDER BY {o.ORDER}) - 1)::INT AS position,
   f.data_source_id, f.record_id, f.matched_name, printf('%.5f', f.sort_score) AS sort_score
-FROM rows_in r JOIN {_PER_CHOSEN} f USING (profile)""")
+FROM rows_in r JOIN {_RESULTS} f USING (profile)""")
 def read_result_docs(t: Tables) -> DataFrame:
     path = t.fresh()
-    writers.write_json_docs(t.verification(CHOSEN).documents(), path)
+    writers.write_json_docs(t.verification(EVERY).documents(), path)
     found = readers.unnest_results(readers.read_result_docs(t.spark, path))
     return found.filter("result is not null").select(
         "name", "position",
@@ -178,13 +179,13 @@ def read_result_docs(t: Tables) -> DataFrame:
 
 @query("SELECT * FROM flat")
 def flat_rows(t: Tables) -> DataFrame:
-    return t.verification(CHOSEN).flat()
+    return t.verification(EVERY).flat()
 
 
 @query("SELECT * EXCLUDE (row_id, position) FROM flat")
 def write_delimited(t: Tables) -> DataFrame:
     path = t.fresh()
-    writers.write_delimited(t.verification(CHOSEN).flat(), path, sep="\t")
+    writers.write_delimited(t.verification(EVERY).flat(), path, sep="\t")
     read = t.spark.read.csv(
         path, sep="\t", header=True, escape='"', nullValue="\u0000", emptyValue="",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
@@ -452,9 +453,9 @@ def source_stats(t: Tables) -> DataFrame:
   coalesce(f.record_id, '') AS best_record_id, coalesce(l.record_ids, '') AS record_ids
 FROM rows_in r LEFT JOIN best f USING (profile) LEFT JOIN sources_num n ON n.match_key = r.match_key
 LEFT JOIN (SELECT profile, string_agg(data_source_id || ':' || record_id, '|' ORDER BY {o.ORDER}) AS record_ids
-           FROM {_PER_CHOSEN} GROUP BY profile) l ON l.profile = r.profile""")
+           FROM {_RESULTS} GROUP BY profile) l ON l.profile = r.profile""")
 def nest_results(t: Tables) -> DataFrame:
-    run = t.verification(CHOSEN)
+    run = t.verification(EVERY)
     nested = results.nest_results(run.names, run.best(), run.per_source(), run.sources_num())
     ids = F.transform(
         "results", lambda r: F.concat_ws(":", r["data_source_id"].cast("string"), r["record_id"])
@@ -522,9 +523,9 @@ def best_per_source(t: Tables) -> DataFrame:
     )
 
 
-@query("SELECT profile, data_source_id, record_id, match_type, printf('%.5f', sort_score) AS sort_score FROM pairs WHERE data_source_id IN (1, 2, 5, 7)")
+@query("SELECT profile, data_source_id, record_id, match_type, printf('%.5f', sort_score) AS sort_score FROM pairs")
 def all_matches(t: Tables) -> DataFrame:
-    return t.verification(CHOSEN).all_matches().select(
+    return t.verification(EVERY).all_matches().select(
         "profile", "data_source_id", "record_id", "match_type",
         F.format_string("%.5f", "sort_score").alias("sort_score"),
     )
@@ -532,7 +533,7 @@ def all_matches(t: Tables) -> DataFrame:
 
 @query('SELECT "Kind", "MatchType", count(*) AS n FROM flat GROUP BY ALL')
 def row_kinds(t: Tables) -> DataFrame:
-    flat = t.verification(CHOSEN).flat()
+    flat = t.verification(EVERY).flat()
     return flat.groupBy("Kind", "MatchType").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -554,7 +555,7 @@ def map_checklist(t: Tables) -> DataFrame:
 
 @query("SELECT * FROM flat ORDER BY row_id, position")
 def keep_input_order(t: Tables) -> DataFrame:
-    return results.keep_input_order(t.verification(CHOSEN).flat())
+    return results.keep_input_order(t.verification(EVERY).flat())
 
 
 @query("SELECT row_id, trim(name) AS name FROM names_in WHERE row_id < 5000 AND trim(name) <> ''")
@@ -571,7 +572,7 @@ def union_stages(t: Tables) -> DataFrame:
 
 @query('SELECT row_id, position, "Kind", "TaxonId" FROM flat WHERE "MatchType" <> \'NoMatch\'')
 def best_plus_results(t: Tables) -> DataFrame:
-    flat = t.verification(CHOSEN).flat()
+    flat = t.verification(EVERY).flat()
     return flat.filter("MatchType <> 'NoMatch'").select("row_id", "position", "Kind", "TaxonId")
 
 

@@ -18,11 +18,13 @@ SHORTEST_FUZZY_WORD = 5
 def spread_stems(stems: DataFrame, column: str, distance: int) -> DataFrame:
     """Add ``trace``: a hash for each way to delete up to ``distance`` letters.
 
-    This multiplies the rows, so it starts from many small partitions.
+    This multiplies the rows, so it starts from many small partitions. They
+    are made by a hash of the stem: by the stem itself they would count as
+    those of the aggregate before, which are merged when small.
     """
     parts = int(stems.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = f"`{column}`"
-    spread = stems.repartition(parts, column).select(
+    spread = stems.repartition(parts, F.xxhash64(column)).select(
         "*", F.expr(f"explode(sequence(0, length({text}))) AS _i")
     )
     if distance == 1:

@@ -83,9 +83,14 @@ def probe_keys(probes: DataFrame, records: DataFrame) -> DataFrame:
     )
 
 
+def _with_stem(probes: DataFrame) -> DataFrame:
+    # Never null, so joins on it need no null filter that stems once more.
+    return probes.withColumn("stem", F.coalesce(stemmed(F.col("probe")), F.lit("")))
+
+
 def probe_stems(probes: DataFrame, records: DataFrame) -> DataFrame:
     """Candidates whose stem is that of another canonical form."""
-    stems = probes.withColumn("stem", stemmed(F.col("probe")))
+    stems = _with_stem(probes)
     same_stem = F.col("stem") == F.col("matched_stem")
     return stems.join(records, same_stem & (F.col("probe") != F.col("matched_key"))).select(
         "match_key", "matched_key", "stage", "kept", "probe",
@@ -109,7 +114,7 @@ def probe_similar(
 
     The similarity join sees distinct stems only; keys are attached after it.
     """
-    stems = probes.withColumn("stem", stemmed(F.col("probe")))
+    stems = _with_stem(probes)
     close = stem_neighbours(
         stems.select("stem").distinct(),
         traces if traces is not None else record_traces(records, relaxed),
