@@ -17,7 +17,7 @@ from checks.standin import once, spark_table
 from taxaloom.functions import scores
 from taxaloom.operators import attach, lookup, match, prepare, ranking, results, search
 from taxaloom.plans import verify as plan
-from taxaloom.session import cut, shared_folder
+from taxaloom.session import shared_folder
 from taxaloom.sources import readers, writers
 from taxaloom.streaming.verify_stream import stream_metrics, verify_stream
 

@@ -121,3 +121,19 @@ def test_rank_results_has_no_gaps(frame):
     ranked = ranking.rank_results(run(frame, sources=[0]).per_source())
     counts = ranked.groupBy("profile").agg(F.max("rn").alias("m"), F.count("*").alias("n"))
     assert counts.filter("m <> n").count() == 0
+
+
+def test_a_hot_form_is_never_paired_off(frame):
+    """All names and records share a form: candidates stay within the entries
+    of the index, far below the pairs, and the choice is that of all pairs."""
+    authors = [f"A{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    rows = [(i % 4 + 1, f"{i:04d}", f"Aus bus {a}, {1700 + i % 50}", i % 3 == 0, "0000", "", "", "")
+            for i, a in enumerate(authors)]
+    inputs = [(i, f"Aus bus {a}, {1700 + i % 70}") for i, a in enumerate(authors)]
+    done = verify(frame(inputs, "row_id long, name string"), frame(rows, RECORD), sources(frame))
+    index = ranking.record_index(done.records)
+    probes = ranking.with_name_entries(done.profiles.join(done.matches, "match_key"))
+    candidates = probes.join(index, ["matched_key", *ranking.ENTRIES]).count()
+    assert candidates <= 15 * len(inputs) < len(inputs) * len(rows)
+    best = {(r.profile,): r.record_id for r in done.best().collect()}
+    assert best == expected(done.all_matches().collect(), "profile")

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import unscalable
 from taxaloom.functions.names import decomposed
