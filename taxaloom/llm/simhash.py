@@ -189,3 +189,155 @@ def near_duplicates(
     named = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     ids = cut(placed.join(named, "component").select("fingerprint", "component_id"))
     return prints.join(ids, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+# --- similarity of shingle sets ---------------------------------------------
+
+WIDE_HASHES = 6                            # hashes of a shingle, 64 bits each
+WIDE_SEGMENTS = WIDE_HASHES * 64 // 23     # segments of 23 bits of a wide fingerprint
+MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+
+
+def _mixed(hashes: np.ndarray, times: int) -> np.ndarray:
+    """``times`` columns of hashes made from one by a multiplicative mix; the first is as given."""
+    out = [hashes]
+    for m in MIXERS[: times - 1]:
+        h = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(m)
+        out.append(h ^ (h >> np.uint64(29)))
+    return np.stack(out, axis=1)
+
+
+def shingle_sets(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, shingles, wide, least) of each document, ``id`` a hash of its words.
+
+    ``shingles`` are the distinct hashes, sorted; ``wide`` is a fingerprint of
+    64 * ``WIDE_HASHES`` bits, ``least`` for each of its segments the least
+    shingle hash under another mix. Equal texts are one row.
+    """
+
+    def build() -> Callable:
+        import xxhash
+
+        def step(rows: dict[str, list]) -> dict[str, list]:
+            out: dict[str, list] = {k: [] for k in ("id", "least_id", "shingles", "wide", "least")}
+            for doc_id, text in zip(rows["doc_id"], rows["text"]):
+                found = words_of(text)
+                hashes = np.unique(shingle_hashes(found, words))
+                total = np.zeros(64 * WIDE_HASHES, np.int64)
+                least = np.full(WIDE_SEGMENTS, (1 << 64) - 1, np.uint64)
+                for at in range(0, len(hashes), BLOCK):
+                    part = _mixed(hashes[at:at + BLOCK], WIDE_HASHES)
+                    total += np.unpackbits(part.astype("<u8").view(np.uint8), axis=1).sum(0, dtype=np.int64)
+                    for n in range(WIDE_SEGMENTS):
+                        order = (part[:, 0] + np.uint64(n)) * np.uint64(MIXERS[n % len(MIXERS)])
+                        order ^= order >> np.uint64(32)
+                        order *= np.uint64(MIXERS[(n + 1) % len(MIXERS)])
+                        least[n] = min(least[n], order.min())
+                out["id"].append(np.array([xxhash.xxh3_64_intdigest(b" ".join(found))], np.uint64).view(np.int64)[0])
+                out["least_id"].append(doc_id)
+                out["shingles"].append(np.sort(hashes.view(np.int64)).tolist())
+                out["wide"].append(np.packbits(total * 2 > len(hashes)).tobytes())
+                out["least"].append(least.view(np.int64).tolist())
+            return out
+
+        return step
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+    return by_batch(
+        rows, build, "id long, least_id long, shingles array<long>, wide binary, least array<long>"
+    )
+
+
+def wide_keys(sets: DataFrame) -> DataFrame:
+    """(key, id): near codewords of each segment of the wide fingerprint, with the segment's least shingle.
+
+    Two segments that differ in two bits or fewer share a near codeword. A
+    codeword alone has 12 bits, too few to part unlike documents, so it is
+    joined with a min-wise shingle.
+    """
+
+    def build() -> Callable:
+        table = golay_table()
+
+        def step(rows: dict[str, list]) -> dict[str, list]:
+            ids = np.array(rows["id"], np.int64)
+            bits = np.unpackbits(np.array([np.frombuffer(w, np.uint8) for w in rows["wide"]], np.uint8).reshape(len(ids), -1), axis=1)
+            least = np.array(rows["least"], np.int64).reshape(len(ids), WIDE_SEGMENTS)
+            weights = 1 << np.arange(23, dtype=np.int64)
+            keys, owners = [], []
+            for n in range(WIDE_SEGMENTS):
+                _, near = near_codewords(table, bits[:, 23 * n:23 * n + 23].astype(np.int64) @ weights)
+                at, column = np.nonzero(near >= 0)
+                mixed = (least[at, n].view(np.uint64) ^ (near[at, column].astype(np.uint64) << np.uint64(5)) ^ np.uint64(n)) * np.uint64(MIXERS[0])
+                keys.append((mixed ^ (mixed >> np.uint64(32))).view(np.int64))
+                owners.append(ids[at])
+            return {"key": np.concatenate(keys), "id": np.concatenate(owners)}
+
+        return step
+
+    return by_batch(sets.select("id", "wide", "least"), build, "key long, id long")
+
+
+def similar_links(sets: DataFrame, similarity: float) -> DataFrame:
+    """Links between ``sets`` whose shingle sets have a Jaccard similarity of ``similarity`` or more."""
+    prints = sets.select("id", "wide")
+    words = [F.conv(F.hex(F.substring("wide", 8 * n + 1, 8)), 16, -10).cast("long").alias(f"w{n}") for n in range(WIDE_HASHES)]
+    prints = cut(prints.select("id", *words))
+    # Angle between sets of this similarity, and four standard errors of its estimate from the bits.
+    cosine = 2 * similarity / (1 + similarity)
+    share = float(np.arccos(cosine) / np.pi)
+    bits = 64 * WIDE_HASHES
+    most = int(bits * share + 4 * np.sqrt(bits * share * (1 - share)))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        for side in ("a", "b"):
+            part = prints.select(F.col("id").alias(side), *[F.col(f"w{n}").alias(f"{side}{n}") for n in range(WIDE_HASHES)])
+            pairs = pairs.join(part, side)
+        apart = sum((F.bit_count(F.col(f"a{n}").bitwiseXOR(F.col(f"b{n}"))) for n in range(WIDE_HASHES)), F.lit(0))
+        close = pairs.filter(apart <= most).select("a", "b").distinct()
+        for side in ("a", "b"):
+            close = close.join(sets.select(F.col("id").alias(side), F.col("shingles").alias(f"{side}s")), side)
+        both = F.size(F.array_intersect("as", "bs"))
+        return close.filter(both >= similarity * (F.size("as") + F.size("bs") - both)).select("a", "b")
+
+    return bucket_links(wide_keys(sets), linked)
+
+
+def similar_documents(
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, component_id) per row: classes of documents with similar shingle sets.
+
+    Links need a Jaccard similarity of ``similarity`` or more of the sets of
+    ``words``-word shingles (shorter texts: the whole); candidates come from
+    wide SimHash fingerprints. Texts without words are one class. Null ids and
+    repeated rows as in :func:`near_duplicates`.
+    """
+    sets = cut(shingle_sets(docs, words, id_col, text_col))
+    nodes = cut(sets.groupBy("id").agg(
+        F.min("least_id").alias("least_id"), F.first("shingles").alias("shingles"), F.first("wide").alias("wide"),
+        F.first("least").alias("least"),
+    ))
+    parts = components(similar_links(nodes, similarity))
+    placed = cut(
+        nodes.select("id", "least_id").join(parts, "id", "left")
+        .select("id", "least_id", F.coalesce("component", "id").alias("component"))
+    )
+    named = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    return sets.select(F.col("least_id").alias("doc_id"), "id").join(
+        placed.join(named, "component").select("id", "component_id"), "id"
+    ).select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row with the least id of each class of :func:`similar_documents`; columns stay as they are.
+
+    Of rows that share that id the one with the least hash of its text stays,
+    and once; of null ids (a class that has no other) likewise.
+    """
+    classes = similar_documents(docs, words, similarity, id_col, text_col)
+    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    columns = docs.columns
+    met = docs.withColumn("__key", F.col(id_col).cast("long")).withColumn("__body", F.xxhash64(whole_text(text_col)))
+    met = met.join(kept, met["__key"].eqNullSafe(kept["__id"]), "left_semi")
+    return met.dropDuplicates(["__key", "__body"]).select(*[F.col(f"`{c}`") for c in columns])
