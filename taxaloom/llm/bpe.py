@@ -25,7 +25,7 @@ PATTERN = (
 )
 CHARS = 1 << 16      # characters split at a time
 LONG = 256           # bytes of a word from which on it goes through the window
-REMEMBERED = 1 << 19  # words whose tokens a task remembers
+REMEMBERED = 1 << 18  # words whose tokens a task remembers
 DECODED = 1 << 18    # tokens decoded at a time
 
 
@@ -39,13 +39,16 @@ def byte_of_char() -> dict[str, int]:
 class Vocabulary:
     """Tokens and merges of a byte-level BPE file in the format of the tokenizers library."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, merges: bool = True):
+        """``merges``: whether to encode; decoding needs the tokens alone."""
         model, byte = json.loads(text), byte_of_char()
         as_bytes = lambda token: bytes(byte[c] for c in token)
         ids = model["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.of_id = {i: as_bytes(t) for t, i in ids.items()}
         self.of_id |= {i: t.encode() for t, i in self.special.items()}
+        if not merges:
+            return
         self.of_byte = [0] * 256
         for i, t in self.of_id.items():
             if len(t) == 1:
@@ -228,7 +231,7 @@ def decode(tokens: DataFrame, vocabulary: str) -> DataFrame:
     file = read_vocabulary(tokens, vocabulary)
 
     def build() -> Callable:
-        of_id = Vocabulary(file.value).of_id
+        of_id = Vocabulary(file.value, merges=False).of_id
 
         def step(rows: dict[str, list]) -> dict[str, list]:
             return rows | {"text": [decoded(i or b"", of_id) for i in rows["ids"]]}

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from taxaloom.llm.common import by_batch
 
 BLOCK = 1 << 20        # tokens searched at a time
-RECORDS = 20_000       # documents per file, so that a file fits in one row
+RECORDS = 4_000        # documents per file, so that a file fits in one row
 BASE, DIGITS = 50_000, 5  # a document's id as tokens below any special one
 
 
