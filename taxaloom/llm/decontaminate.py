@@ -23,16 +23,24 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), "")
 
 
-def seeds_at(words: str, at: Column) -> Column:
-    """array<struct<seed, hash>> of the seeds that fit at position ``at`` (from 0)."""
-    found = [
-        F.when(
-            at + max(seed) < F.size(words),
-            F.struct(F.lit(n).alias("seed"), F.xxhash64(F.lit(n), *[F.get(words, at + p) for p in seed]).alias("hash")),
-        )
-        for n, seed in enumerate(SEEDS)
-    ]
-    return F.array_compact(F.array(*found))
+SHORTEST = min(max(seed) for seed in SEEDS) + 1   # words that the shortest seed spans
+
+
+def places_of(words: str) -> Column:
+    """array<struct<start, hashes, at>> for each position (from 0) at which a seed fits.
+
+    ``start`` is a hash of the two words there, which all seeds begin with;
+    ``hashes`` holds one per seed, null where the seed does not fit. So rows
+    made from it carry a few numbers and not the text.
+    """
+    seen = lambda at, seed, n: F.xxhash64(F.lit(n), *[F.get(words, at + p) for p in seed])
+
+    def place(at: Column) -> Column:
+        fits = [F.when(at + max(seed) < F.size(words), seen(at, seed, n)) for n, seed in enumerate(SEEDS)]
+        return F.struct(seen(at, (0, 1), -1).alias("start"), F.array(*fits).alias("hashes"), at.alias("at"))
+
+    every = F.sequence(F.lit(0), F.greatest(F.size(words) - SHORTEST, F.lit(0)))
+    return F.transform(every, place)
 
 
 def item_blocks(benchmark: DataFrame) -> list[DataFrame]:
@@ -55,7 +63,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     punctuation do not count. Items of fewer words than the shortest seed spans
     match nothing. Null and empty texts hold nothing; repeated rows count once.
     """
-    rows = docs.select(*row_key(id_col, text_col), words_of(whole_text(text_col)).alias("words"))
+    rows = docs.select(*row_key(id_col, text_col), whole_text(text_col).alias("text"))
     found = None
     for items in item_blocks(benchmark):
         part = _overlaps(rows, items)
@@ -65,23 +73,35 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     )
 
 
+def _seeded(rows: DataFrame, words: str, by: list[str]) -> DataFrame:
+    placed = rows.filter(F.size(words) >= SHORTEST).select(*by, F.explode(places_of(words)).alias("p"))
+    return placed.select(*by, "p.start", "p.hashes", "p.at")
+
+
 def _overlaps(rows: DataFrame, items: DataFrame) -> DataFrame:
-    places = items.select("item_id", "item", F.posexplode("item").alias("place", "word"))
-    pair = lambda words, at: F.xxhash64(F.get(words, at), F.get(words, at + 1))
-    starts = places.filter(F.col("place") + 1 < F.size("item")).select(pair("item", F.col("place")).alias("start")).distinct()
-    seeds = places.select("item_id", "item", "place", F.explode(seeds_at("item", F.col("place"))).alias("s")).select(
-        "item_id", "item", "place", "s.seed", "s.hash"
+    places = _seeded(items, "item", ["item_id", "item"])
+    starts = places.select("start").distinct()
+    seeds = places.select("item_id", F.col("at").alias("place"), F.posexplode("hashes").alias("seed", "hash")).filter("hash IS NOT NULL")
+    at = _seeded(rows.select("id", "body", words_of(F.col("text")).alias("words")), "words", ["id", "body"])
+    # What is sent to all tasks holds at most BLOCK_WORDS rows, times the number of seeds.
+    likely = at.join(F.broadcast(starts), "start", "left_semi")
+    likely = likely.select("id", "body", "at", F.posexplode("hashes").alias("seed", "hash"))
+    hits = (
+        likely.join(F.broadcast(seeds), ["seed", "hash"])
+        .select("id", "body", F.struct("item_id", (F.col("at") - F.col("place")).alias("shift")).alias("hit"))
+        .groupBy("id", "body").agg(F.collect_set("hit").alias("hits"))
+        .select(F.col("id").alias("in_id"), F.col("body").alias("in_body"), "hits")
     )
-    at = rows.select("id", "body", "words", F.posexplode("words").alias("at", "word")).drop("word")
-    # Both sides sent to all tasks hold at most BLOCK_WORDS rows, times the number of seeds.
-    likely = at.withColumn("start", pair("words", F.col("at"))).join(F.broadcast(starts), "start", "left_semi")
-    hits = likely.select("id", "body", "words", "at", F.explode(seeds_at("words", F.col("at"))).alias("s"))
-    hits = hits.select("id", "body", "words", "at", "s.seed", "s.hash").join(F.broadcast(seeds), ["seed", "hash"])
-    shift = F.col("at") - F.col("place")
+    # Only the texts of documents with hits are looked at again.
+    met = rows.join(hits, F.col("id").eqNullSafe(F.col("in_id")) & (F.col("body") == F.col("in_body")))
+    met = met.select("id", "body", words_of(F.col("text")).alias("words"), "hits")
+    met = met.select("id", "body", "words", F.explode("hits").alias("h")).select("id", "body", "words", "h.item_id", "h.shift")
+    met = met.join(F.broadcast(items.withColumnRenamed("item_id", "of")), F.col("item_id").eqNullSafe(F.col("of")))
+    shift = F.col("shift")
     agree = F.transform(
         "item", lambda w, i: F.coalesce((F.when(i + shift >= 0, F.get("words", i + shift)) == w).cast("int"), F.lit(0))
     )
-    checked = hits.select("id", "body", "item_id", F.least(F.size("item"), F.lit(WINDOW)).alias("window_words"), agree.alias("agree"))
+    checked = met.select("id", "body", "item_id", F.least(F.size("item"), F.lit(WINDOW)).alias("window_words"), agree.alias("agree"))
     most = F.array_max(F.transform(
         F.sequence(F.lit(1), F.size("agree") - F.col("window_words") + 1),
         lambda s: F.aggregate(F.slice("agree", s, F.col("window_words")), F.lit(0), lambda a, x: a + x),
