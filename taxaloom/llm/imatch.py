@@ -27,18 +27,19 @@ def terms_of(text: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1)), "")
 
 
-def code(term: Column) -> Column:
-    """Numbers of 56 bits from two hashes of the term; each lexicon looks at some bits of one."""
-    digests = F.md5(term), F.md5(F.concat(term, F.lit(" ")))
-    return F.array(*[F.conv(F.substring(d, at, 14), 16, 10).cast("long") for d in digests for at in (1, 15)])
-
+def lexicons_of(term: Column) -> Column:
+    """A number whose bit n says if random lexicon n holds the term.
 
-def lexicons() -> Column:
-    """array<struct<code, shift, mask>>: a term is in a lexicon if these bits of its code are 0."""
-    return F.array(*[
-        F.struct(F.lit(number).alias("code"), F.lit(sum(WIDTHS[:n])).alias("shift"), F.lit((1 << width) - 1).alias("mask"))
-        for number in range(CODES) for n, width in enumerate(WIDTHS)
-    ])
+    Each lexicon looks at some bits of a number from two hashes of the term.
+    """
+    digests = F.md5(term), F.md5(F.concat(term, F.lit(" ")))
+    codes = [F.conv(F.substring(d, at, 14), 16, 10).cast("long") for d in digests for at in (1, 15)]
+    held = F.lit(0).cast("long")
+    for number, code in enumerate(codes):
+        for n, width in enumerate(WIDTHS):
+            found = F.shiftright(code, sum(WIDTHS[:n])).bitwiseAND((1 << width) - 1) == 0
+            held = held.bitwiseOR(F.when(found, 1 << (len(WIDTHS) * number + n)).otherwise(0).cast("long"))
+    return held
 
 
 def document_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -47,21 +48,20 @@ def document_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, codes) of the terms within the band, stored."""
+    """(term, held) of the terms within the band, stored; ``held`` as in :func:`lexicons_of`."""
     total = docs.count()
     counts = document_counts(docs, text_col)
     band = (F.col("n") * RAREST >= total) & (F.col("n") * COMMONEST <= total)
-    return cut(counts.filter(band).select("term", code(F.col("term")).alias("codes")))
+    return cut(counts.filter(band).select("term", lexicons_of(F.col("term")).alias("held")))
 
 
 def signatures(terms: Column) -> Column:
-    """Per lexicon, the hash of those of the sorted ``terms`` (term, codes) that it holds; of none, of nothing."""
-    def digest(lexicon: Column) -> Column:
-        bits = lambda t: F.call_function("shiftright", t["codes"][lexicon["code"]], lexicon["shift"])
-        held = F.filter(terms, lambda t: bits(t).bitwiseAND(lexicon["mask"].cast("long")) == 0)
+    """Per lexicon, the hash of those of the sorted ``terms`` (term, held) that it holds; of none, of nothing."""
+    def digest(n: Column) -> Column:
+        held = F.filter(terms, lambda t: F.call_function("shiftright", t["held"], n).bitwiseAND(1) == 1)
         return F.substring(F.md5(F.array_join(F.transform(held, lambda t: t["term"]), " ")), 1, DIGITS)
 
-    return F.transform(lexicons(), digest)
+    return F.transform(F.sequence(F.lit(0), F.lit(CODES * len(WIDTHS) - 1)), digest)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -73,27 +73,29 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(add(used) == 0, F.lit(1.0)).otherwise(add(same) / add(used))
 
 
-def fingerprints(texts: DataFrame, words: DataFrame, by: list[str], text_cols: list[str]) -> DataFrame:
-    """``by`` and, for each of ``text_cols``, its signatures under the same name.
+def fingerprints(texts: DataFrame, words: DataFrame, by: list[str], text_cols: list[str], note: str) -> DataFrame:
+    """``by``, the text ``note`` and, for each of ``text_cols``, its signatures under the same name.
 
     Rows that agree in ``by`` are one. If ``texts`` is dealt out by some of
-    ``by``, nothing is shuffled again.
+    ``by``, nothing is shuffled again. The note goes along as a term that
+    begins with a space, as no word does, so that rows of terms stay small;
+    its row also keeps texts without terms in the table.
     """
-    n = words.count()
-    if n <= BROADCAST_TERMS:
+    if words.count() <= BROADCAST_TERMS:
         words = F.broadcast(words)
-    each = texts.select(
-        *by, F.explode(F.array(*[F.struct(F.lit(k).alias("side"), F.col(c).alias("text")) for k, c in enumerate(text_cols)])).alias("x")
-    ).select(*by, "x.side", terms_of(whole_text("x.text")).alias("terms"))
-    # The empty term keeps texts without terms in the table.
-    each = each.select(*by, "side", (F.size("terms") <= SHORT).alias("short"), F.explode(F.concat(F.array(F.lit("")), "terms")).alias("term"))
-    met = each.join(words, "term", "left").filter("term = '' OR short OR codes IS NOT NULL")
-    term = F.struct("term", F.coalesce("codes", code(F.col("term"))).alias("codes"))
-    found = met.groupBy(*by).agg(*[
-        F.sort_array(F.collect_list(F.when((F.col("side") == k) & (F.col("term") != ""), term))).alias(c)
-        for k, c in enumerate(text_cols)
-    ])
-    return found.select(*by, *[signatures(F.col(c)).alias(c) for c in text_cols])
+    sides = F.array(*[F.struct(F.lit(k).alias("side"), F.col(c).alias("text")) for k, c in enumerate(text_cols)])
+    each = texts.select(*by, note, F.explode(sides).alias("x"))
+    each = each.select(*by, note, "x.side", terms_of(whole_text("x.text")).alias("terms"))
+    noted = F.array(F.concat(F.lit(" "), F.col(note)))
+    each = each.select(*by, "side", (F.size("terms") <= SHORT).alias("short"), F.explode(F.concat(noted, "terms")).alias("term"))
+    word = ~F.col("term").startswith(" ")
+    met = each.join(words, "term", "left").filter(~word | F.col("short") | (F.col("held") != 0))
+    term = F.struct("term", F.coalesce("held", lexicons_of(F.col("term"))).alias("held"))
+    found = met.groupBy(*by).agg(
+        F.max(F.when(~word, F.substring("term", 2, 1 << 30))).alias(note),
+        *[F.sort_array(F.collect_list(F.when((F.col("side") == k) & word, term))).alias(c) for k, c in enumerate(text_cols)],
+    )
+    return found.select(*by, note, *[signatures(F.col(c)).alias(c) for c in text_cols])
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -141,8 +143,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
     rows = rows.select("deal", "at", "guest", "doc_id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
     rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    by = ["deal", "at", "guest", "doc_id", "n_chars", "edited_sha256"]
-    found = fingerprints(rows, words, by, ["text", "edited"])
+    found = fingerprints(rows, words, ["deal", "at", "guest", "doc_id", "n_chars"], ["text", "edited"], "edited_sha256")
     inside = Window.partitionBy("deal").orderBy("at")
     found = found.withColumn("next", F.lead("text").over(inside)).filter("guest = 0")
     return found.select(
