@@ -142,7 +142,7 @@ def build_table(counts: DataFrame, ends: int, table_words: int = TABLE_WORDS) ->
             break
         words, least = words + r.words, r.level
     floor = 1 << 62 if least is None else next(n for n in _counts_from(least))
-    known = counts.filter(F.col("n") >= floor).select("word", "n").toPandas()
+    known = counts.filter(F.col("n") >= floor).select("word", "n").toArrow().to_pandas()
     known = known.sort_values(["n", "word"], ascending=[False, True])
     by_ending = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()
     tokens, distinct = np.zeros(SHARED), np.zeros(SHARED)
@@ -273,8 +273,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table
     ends = training.select("doc_id").count()
     table, floor = build_table(counts, ends, table_words)
     shipped = spark.sparkContext.broadcast(table)
-    cells = count_contexts(training, shipped).toPandas()  # at most CONTEXTS^2 * CLASSES rows
-    model = spark.sparkContext.broadcast(train(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(np.int64)))
+    cells = count_contexts(training, shipped).toArrow()  # at most CONTEXTS^2 * CLASSES rows
+    model = spark.sparkContext.broadcast(train(cells["cell"].to_numpy(), cells["n"].to_numpy()))
     norm = float(np.log10(table.tokens + table.distinct + 1.0))
     end_count = float(np.log10(ends + 1.0))
 
