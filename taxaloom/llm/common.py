@@ -29,6 +29,16 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     return [F.col(id_col).alias("id"), F.xxhash64(whole_text(text_col)).alias("body")]
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores before it until ``df`` has no such column."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        free.append(name)
+    return free
+
+
 def by_batch(
     rows: DataFrame, build: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from taxaloom.llm.common import row_key, whole_text
+from taxaloom.llm.common import row_key, unused, whole_text
 
 #: Positions of the words that count. All seeds begin with two words next to each other.
 SEEDS = ((0, 1, 3, 4, 7, 8), (0, 1, 2, 5, 7, 9), (0, 1, 4, 5, 6, 9))
@@ -115,8 +115,8 @@ def _overlaps(rows: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`overlaps` finds; columns stay as they are."""
-    bad = overlaps(docs, benchmark, id_col, text_col).select(F.col("id").alias("__id"), F.col("body").alias("__body")).distinct()
-    key, body = row_key(id_col, text_col)
-    met = docs.withColumn("__key", key).withColumn("__text_hash", body)
-    left = met.join(bad, met["__key"].eqNullSafe(bad["__id"]) & (met["__text_hash"] == bad["__body"]), "left_anti")
+    key, body, of, of_body = unused(docs, "key", "body", "of", "of_body")
+    bad = overlaps(docs, benchmark, id_col, text_col).select(F.col("id").alias(of), F.col("body").alias(of_body)).distinct()
+    met = docs.select("*", *[c.alias(n) for c, n in zip(row_key(id_col, text_col), (key, body))])
+    left = met.join(bad, F.col(key).eqNullSafe(F.col(of)) & (F.col(body) == F.col(of_body)), "left_anti")
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from taxaloom.llm.common import row_key, whole_text
+from taxaloom.llm.common import row_key, unused, whole_text
 from taxaloom.session import cut
 
 LEAST_WORDS = 50
@@ -130,19 +130,18 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str = "
     more than once and get the same text. Columns of ``docs`` may have any
     names but ``lines_deleted``.
     """
+    key, body, gone, of, of_body = unused(docs, "key", "body", "gone", "of", "of_body")
     runs = repeated_runs(docs, least_words, id_col, text_col).select(
-        F.col("id").alias("__id"), F.col("body").alias("__body"), F.col("lines").alias("__lines")
+        F.col("id").alias(of), F.col("body").alias(of_body), F.col("lines").alias(gone)
     )
-    key, body = row_key(id_col, text_col)
-    kept_columns = docs.columns
-    met = docs.withColumn("__key", key).withColumn("__text_hash", body)
-    met = met.join(runs, met["__key"].eqNullSafe(runs["__id"]) & (met["__text_hash"] == runs["__body"]), "left")
+    met = docs.select("*", *[c.alias(n) for c, n in zip(row_key(id_col, text_col), (key, body))])
+    met = met.join(runs, F.col(key).eqNullSafe(F.col(of)) & (F.col(body) == F.col(of_body)), "left")
     lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__lines"))
-    text = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     )
     return met.select(
-        *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept_columns],
-        F.coalesce(F.size("__lines"), F.lit(0)).alias("lines_deleted"),
+        *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
+        F.coalesce(F.size(gone), F.lit(0)).alias("lines_deleted"),
     )

@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from taxaloom.llm.common import by_batch, row_key, whole_text
+from taxaloom.llm.common import by_batch, row_key, unused, whole_text
 from taxaloom.llm.graph import components
 from taxaloom.session import cut
 
@@ -332,12 +332,12 @@ def similar_documents(
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The row with the least id of each class of :func:`similar_documents`; columns stay as they are.
 
-    Of rows that share that id the one with the least hash of its text stays,
-    and once; of null ids (a class that has no other) likewise.
+    A row given more than once stays once. Of texts that share that id, all
+    stay; null ids stay in classes that have no other.
     """
+    key, body, of = unused(docs, "key", "body", "of")
     classes = similar_documents(docs, words, similarity, id_col, text_col)
-    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    columns = docs.columns
-    met = docs.withColumn("__key", F.col(id_col).cast("long")).withColumn("__body", F.xxhash64(whole_text(text_col)))
-    met = met.join(kept, met["__key"].eqNullSafe(kept["__id"]), "left_semi")
-    return met.dropDuplicates(["__key", "__body"]).select(*[F.col(f"`{c}`") for c in columns])
+    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(of)).distinct()
+    met = docs.select("*", *[c.alias(n) for c, n in zip(row_key(id_col, text_col), (key, body))])
+    met = met.join(kept, F.col(key).eqNullSafe(F.col(of)), "left_semi")
+    return met.dropDuplicates([key, body]).select(*[F.col(f"`{c}`") for c in docs.columns])
