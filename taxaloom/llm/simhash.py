@@ -13,7 +13,7 @@ from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from taxaloom.llm.common import by_batch, row_key, unused, whole_text
 from taxaloom.llm.graph import components
@@ -128,44 +128,55 @@ def segment_pair_keys(prints: DataFrame) -> DataFrame:
     return by_batch(prints.select("fingerprint"), build, "key long, id long")
 
 
-def bucket_links(keys: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Links (a, b) that join all of ``id`` which ``linked`` joins and which share a ``key``.
+def bucket_links(
+    keys: DataFrame, close: Callable[[Column, Column], Column], prints: DataFrame | None = None,
+    confirmed: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+) -> DataFrame:
+    """Links (a, b) that join all of ``id`` which share a ``key`` and truly link.
 
-    ``linked`` keeps of pairs (a, b) those that truly link. First all of a key
+    ``close`` compares the prints of two ids (of ``prints`` (id, print), else
+    the ids themselves) within the joins, so that only pairs that pass leave
+    them; ``confirmed`` keeps of these pairs those that link. First all of a key
     are held against the least of it; then what the links found so far leave
     apart is held against the others of the key. So a large group of copies
     gives as many pairs as rows, not their square, and its components are
     those that all pairs would give.
     """
+
+    def printed(rows: DataFrame, of: str, name: str) -> DataFrame:
+        if prints is None:
+            return rows.withColumn(name, F.col(of))
+        return rows.join(prints.select(F.col("id").alias(of), F.col("print").alias(name)), of)
+
     keys = cut(keys)
+    near = close(F.col("print_a"), F.col("print_b"))
     least = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
     star = keys.join(least, "key").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
-    first = cut(linked(star))
+    first = cut(confirmed(printed(printed(star, "a", "print_a"), "b", "print_b").filter(near).select("a", "b")))
     parts = components(first)
-    shared = cut(
+    shared = (
         keys.join(least.select("key"), "key", "left_semi")
         .join(parts, "id", "left")
         .select("key", "id", F.coalesce("component", "id").alias("part"))
     )
     sizes = shared.groupBy("key", "part").agg(F.count("*").alias("n"))
     main = sizes.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"))
-    split = shared.join(main.filter("parts > 1").drop("parts"), "key")
+    split = cut(shared.join(main.filter("parts > 1").drop("parts"), "key"))
     rest = split.filter("part <> main").select("key", F.col("id").alias("a"), F.col("part").alias("part_a"))
     others = split.select("key", F.col("id").alias("b"), F.col("part").alias("part_b"), "main")
     pairs = (
-        rest.join(others, "key")
-        .filter("part_a <> part_b AND (part_b = main OR a < b)")
-        .select("a", "b")
+        printed(rest, "a", "print_a").join(printed(others, "b", "print_b"), "key")
+        .filter("part_a <> part_b AND (part_b = main OR a < b)").filter(near)
+        .select("a", "b").distinct()
     )
-    return first.union(linked(pairs))
+    return first.union(confirmed(pairs))
 
 
 def fingerprint_links(prints: DataFrame, differing: int = 3) -> DataFrame:
     """Links between distinct fingerprints that differ in at most ``differing`` (0 to 3) bits."""
     if not 0 <= differing <= 3:
         raise ValueError("codewords of 64 bits guarantee three differing bits")
-    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return bucket_links(segment_pair_keys(prints), lambda pairs: pairs.filter(apart <= differing).distinct())
+    return bucket_links(segment_pair_keys(prints), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= differing)
 
 
 def near_duplicates(
@@ -207,20 +218,20 @@ def _mixed(hashes: np.ndarray, times: int) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
-def shingle_sets(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, shingles, wide, least) of each document, ``id`` a hash of its words.
+def wide_prints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, doc_id, body, wide, least) per row, ``id`` a hash of the words.
 
-    ``shingles`` are the distinct hashes, sorted; ``wide`` is a fingerprint of
-    64 * ``WIDE_HASHES`` bits, ``least`` for each of its segments the least
-    shingle hash under another mix. Equal texts are one row.
+    ``wide`` is a fingerprint of 64 * ``WIDE_HASHES`` bits from the distinct
+    shingles, ``least`` for each of its segments the least shingle hash under
+    another mix.
     """
 
     def build() -> Callable:
         import xxhash
 
         def step(rows: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {k: [] for k in ("id", "least_id", "shingles", "wide", "least")}
-            for doc_id, text in zip(rows["doc_id"], rows["text"]):
+            out: dict[str, list] = {k: [] for k in ("id", "wide", "least")}
+            for text in rows["text"]:
                 found = words_of(text)
                 hashes = np.unique(shingle_hashes(found, words))
                 total = np.zeros(64 * WIDE_HASHES, np.int64)
@@ -234,18 +245,31 @@ def shingle_sets(docs: DataFrame, words: int, id_col: str = "doc_id", text_col:
                         order *= np.uint64(MIXERS[(n + 1) % len(MIXERS)])
                         least[n] = min(least[n], order.min())
                 out["id"].append(np.array([xxhash.xxh3_64_intdigest(b" ".join(found))], np.uint64).view(np.int64)[0])
-                out["least_id"].append(doc_id)
-                out["shingles"].append(np.sort(hashes.view(np.int64)).tolist())
                 out["wide"].append(np.packbits(total * 2 > len(hashes)).tobytes())
                 out["least"].append(least.view(np.int64).tolist())
-            return out
+            return out | {"doc_id": rows["doc_id"], "body": rows["body"]}
 
         return step
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    return by_batch(
-        rows, build, "id long, least_id long, shingles array<long>, wide binary, least array<long>"
-    )
+    return by_batch(_keyed(docs, id_col, text_col), build, "id long, doc_id long, body long, wide binary, least array<long>")
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    key, body = row_key(id_col, text_col)
+    return docs.select(key.cast("long").alias("doc_id"), body, whole_text(text_col).alias("text"))
+
+
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(id, shingles) of (id, text): the distinct hashes of the shingles."""
+
+    def build() -> Callable:
+        def step(rows: dict[str, list]) -> dict[str, list]:
+            hashes = (np.unique(shingle_hashes(words_of(t), words)).view(np.int64) for t in rows["text"])
+            return {"id": rows["id"], "shingles": [h.tolist() for h in hashes]}
+
+        return step
+
+    return by_batch(texts.select("id", "text"), build, "id long, shingles array<long>")
 
 
 def wide_keys(sets: DataFrame) -> DataFrame:
@@ -278,31 +302,6 @@ def wide_keys(sets: DataFrame) -> DataFrame:
     return by_batch(sets.select("id", "wide", "least"), build, "key long, id long")
 
 
-def similar_links(sets: DataFrame, similarity: float) -> DataFrame:
-    """Links between ``sets`` whose shingle sets have a Jaccard similarity of ``similarity`` or more."""
-    prints = sets.select("id", "wide")
-    words = [F.conv(F.hex(F.substring("wide", 8 * n + 1, 8)), 16, -10).cast("long").alias(f"w{n}") for n in range(WIDE_HASHES)]
-    prints = cut(prints.select("id", *words))
-    # Angle between sets of this similarity, and four standard errors of its estimate from the bits.
-    cosine = 2 * similarity / (1 + similarity)
-    share = float(np.arccos(cosine) / np.pi)
-    bits = 64 * WIDE_HASHES
-    most = int(bits * share + 4 * np.sqrt(bits * share * (1 - share)))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            part = prints.select(F.col("id").alias(side), *[F.col(f"w{n}").alias(f"{side}{n}") for n in range(WIDE_HASHES)])
-            pairs = pairs.join(part, side)
-        apart = sum((F.bit_count(F.col(f"a{n}").bitwiseXOR(F.col(f"b{n}"))) for n in range(WIDE_HASHES)), F.lit(0))
-        close = pairs.filter(apart <= most).select("a", "b").distinct()
-        for side in ("a", "b"):
-            close = close.join(sets.select(F.col("id").alias(side), F.col("shingles").alias(f"{side}s")), side)
-        both = F.size(F.array_intersect("as", "bs"))
-        return close.filter(both >= similarity * (F.size("as") + F.size("bs") - both)).select("a", "b")
-
-    return bucket_links(wide_keys(sets), linked)
-
-
 def similar_documents(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -310,21 +309,43 @@ def similar_documents(
 
     Links need a Jaccard similarity of ``similarity`` or more of the sets of
     ``words``-word shingles (shorter texts: the whole); candidates come from
-    wide SimHash fingerprints. Texts without words are one class. Null ids and
-    repeated rows as in :func:`near_duplicates`.
+    wide SimHash fingerprints, and their sets are made only then. Texts without
+    words are one class. Null ids and repeated rows as in :func:`near_duplicates`.
     """
-    sets = cut(shingle_sets(docs, words, id_col, text_col))
-    nodes = cut(sets.groupBy("id").agg(
-        F.min("least_id").alias("least_id"), F.first("shingles").alias("shingles"), F.first("wide").alias("wide"),
-        F.first("least").alias("least"),
+    rows = cut(wide_prints(docs, words, id_col, text_col))
+    nodes = cut(rows.groupBy("id").agg(
+        F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "body")).alias("one"),
+        F.first("wide").alias("wide"), F.first("least").alias("least"),
     ))
-    parts = components(similar_links(nodes, similarity))
+    number = lambda n: F.conv(F.hex(F.substring("wide", 8 * n + 1, 8)), 16, -10).cast("long")
+    prints = cut(nodes.select("id", F.array(*map(number, range(WIDE_HASHES))).alias("print")))
+    # The angle between sets of this similarity, and four standard errors of its estimate from the bits.
+    share, bits = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi), 64 * WIDE_HASHES
+    most = int(bits * share + 4 * np.sqrt(bits * share * (1 - share)))
+
+    def close(a: Column, b: Column) -> Column:
+        return sum((F.bit_count(a[n].bitwiseXOR(b[n])) for n in range(WIDE_HASHES)), F.lit(0)) <= most
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        pairs = cut(pairs)
+        wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
+        which = wanted.join(nodes, "id").select("id", F.col("one.doc_id").alias("of"), F.col("one.body").alias("of_body"))
+        texts = _keyed(docs, id_col, text_col).join(
+            which, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("body") == F.col("of_body"))
+        )
+        sets = cut(shingle_sets(texts.select("id", "text").dropDuplicates(["id"]), words))
+        for side in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("shingles").alias(f"{side}s")), side)
+        both = F.size(F.array_intersect("as", "bs"))
+        return pairs.filter(both >= similarity * (F.size("as") + F.size("bs") - both)).select("a", "b")
+
+    parts = components(bucket_links(wide_keys(nodes), close, prints, confirmed))
     placed = cut(
         nodes.select("id", "least_id").join(parts, "id", "left")
         .select("id", "least_id", F.coalesce("component", "id").alias("component"))
     )
     named = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    return sets.select(F.col("least_id").alias("doc_id"), "id").join(
+    return rows.select("doc_id", "id").join(
         placed.join(named, "component").select("id", "component_id"), "id"
     ).select("doc_id", "component_id")
 
