@@ -127,7 +127,8 @@ def _labelled(hits: str, relaxed: bool = False) -> str:
     return f"""SELECT match_key, matched_key,
   CASE WHEN match_key LIKE 'virus:%' THEN 'Virus' WHEN stage = 0 THEN 'Exact' WHEN stage = 1 THEN 'Fuzzy'
        WHEN stage = 2 THEN 'Fuzzy{suffix}' WHEN stage = 4 THEN 'PartialFuzzy{suffix}' ELSE 'Partial' END AS match_type,
-  levenshtein(probe, matched_key) AS edit_distance, sd AS stem_edit_distance FROM ({hits})"""
+  levenshtein(probe, matched_key) AS edit_distance, sd AS stem_edit_distance FROM ({hits})
+QUALIFY row_number() OVER (PARTITION BY match_key, matched_key ORDER BY sd, levenshtein(probe, matched_key)) = 1"""
 
 
 def _longest(hits: str) -> str:

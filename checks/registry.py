@@ -200,14 +200,14 @@ def clean_names(t: Tables) -> DataFrame:
     return prepare.clean_names(t.names_in)
 
 
-@query("SELECT row_id, name, upper(substr(name, 1, 1)) || substr(name, 2) AS verified FROM names_in WHERE trim(name) <> ''")
+@query("SELECT row_id, name, upper(substr(name, 1, 1)) || substr(name, 2) AS verified FROM names_in")
 def capitalize_names(t: Tables) -> DataFrame:
-    return prepare.capitalize_names(t.names_in.filter("trim(name) <> ''"))
+    return prepare.capitalize_names(t.names_in)
 
 
-@query(f"SELECT row_id, name, {o.uuid5('name')} AS id FROM names_in WHERE trim(name) <> ''")
+@query(f"SELECT row_id, name, {o.uuid5('name')} AS id FROM names_in")
 def name_ids(t: Tables) -> DataFrame:
-    return prepare.name_ids(t.names_in.filter("trim(name) <> ''"))
+    return prepare.name_ids(t.names_in)
 
 
 _DECOMPOSED = """SELECT {id} AS id, name, coalesce(canonical_full, '') AS canonical_full, coalesce(canonical_simple, '') AS canonical_simple,
@@ -231,9 +231,9 @@ def decompose_names(t: Tables) -> DataFrame:
     return _decomposed(names, "row_id").unionByName(_decomposed(records, "record_id"))
 
 
-@query("SELECT record_id, canonical_simple, canonical_stem FROM rc WHERE cardinality > 0")
+@query("SELECT record_id, canonical_simple, canonical_stem FROM rc ")
 def stem_canonicals(t: Tables) -> DataFrame:
-    named = t.records.filter("cardinality > 0").select("record_id", "canonical_simple")
+    named = t.records.select("record_id", "canonical_simple")
     return prepare.stem_canonicals(named)
 
 
@@ -363,14 +363,14 @@ def match_cascade(t: Tables) -> DataFrame:
     return _per_row(t, match.match_cascade(t.keys, t.record_keys))
 
 
-@query("SELECT * FROM " + "(" + _STAGE.format(o._labelled(o._longest(o._union(
+@query(_STAGE.format(o._labelled(o._longest(o._union(
     "exact_hits", "group_hits", "stem_hits", "relaxed_hits", "uninomial_relaxed_hits", "partial_hits",
-    "partial_relaxed_hits", "genus_hits")), relaxed=True)).replace("SELECT match_key, matched_key, match_type,", "SELECT DISTINCT match_key, matched_key, match_type,") + ")")
+    "partial_relaxed_hits", "genus_hits")), relaxed=True)))
 def match_cascade_relaxed(t: Tables) -> DataFrame:
     found = match.match_cascade(
         t.keys, t.record_keys, species_group=True, relaxed=True, uninomials=True
     )
-    return _per_row(t, found.distinct())
+    return _per_row(t, found)
 
 
 @query("SELECT row_id, name, 'NoMatch' AS match_type, 'NotCurated' AS curation FROM rows_in WHERE match_key NOT IN (SELECT match_key FROM matched_forms)")
@@ -576,9 +576,9 @@ def best_plus_results(t: Tables) -> DataFrame:
     return flat.filter("MatchType <> 'NoMatch'").select("row_id", "position", "Kind", "TaxonId")
 
 
-@query("SELECT name, count(*) AS n_rows FROM names_in WHERE trim(name) <> '' GROUP BY name")
+@query("SELECT name, count(*) AS n_rows FROM names_in GROUP BY name")
 def distinct_names(t: Tables) -> DataFrame:
-    return prepare.distinct_names(t.names_in.filter("trim(name) <> ''"))
+    return prepare.distinct_names(t.names_in)
 
 
 # --- Faceted search ---------------------------------------------------------
@@ -736,7 +736,9 @@ _STREAM_FLAT = (
 
 @query()
 def stream_metrics_query(t: Tables) -> DataFrame:
-    return stream_metrics(_run_stream(t, t.fresh()))
+    path = t.fresh()
+    _run_stream(t, path)
+    return stream_metrics(t.spark, path)
 
 
 QUERIES["stream_metrics"] = QUERIES.pop("stream_metrics_query")

@@ -41,8 +41,8 @@ _ENDING = r" ([a-zë-]{3,}?)(?:" + "|".join(SUFFIXES) + ")(?= |$)"
 
 
 def cleaned(name: Column) -> Column:
-    """Name with outer whitespace dropped and inner runs collapsed."""
-    return F.trim(F.regexp_replace(F.coalesce(name, F.lit("")), r"\s+", " "))
+    """Name with outer whitespace dropped and inner runs collapsed, Unicode spaces too."""
+    return F.trim(F.regexp_replace(F.coalesce(name, F.lit("")), r"(?U)\s+", " "))
 
 
 def capitalized(name: Column) -> Column:
@@ -112,7 +112,7 @@ def decomposed(df: DataFrame, name: str = "name") -> DataFrame:
         "canonical_stem": stemmed(c("canonical_simple")),
         "cardinality": F.when(c("_named"), F.size(words)).otherwise(0),
         "genus": words[0],
-        "epithets": F.when(c("_named"), F.slice(words, 2, 100)),
+        "epithets": F.when(c("_named"), F.slice(words, F.lit(2), F.size(words))),
         "authors": F.when(c("authors_text") != "", F.split("authors_text", r"\|")),
         "match_key": F.coalesce(
             F.when(c("_named"), c("canonical_simple"))

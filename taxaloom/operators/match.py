@@ -150,12 +150,19 @@ def labelled(hits: DataFrame, relaxed: bool = False) -> DataFrame:
         .when(stage == PARTIAL_FUZZY, "PartialFuzzy" + suffix)
         .otherwise("Partial")
     )
-    return hits.select(
+    typed = hits.select(
         "match_key",
         "matched_key",
-        match_type.alias("match_type"),
-        F.levenshtein("probe", "matched_key").alias("edit_distance"),
-        "stem_edit_distance",
+        F.struct(
+            "stem_edit_distance",
+            F.levenshtein("probe", "matched_key").alias("edit_distance"),
+            match_type.alias("match_type"),
+        ).alias("hit"),
+    )
+    # Several remainders of a name can reach one form: the nearest is its match.
+    nearest = typed.groupBy("match_key", "matched_key").agg(F.min("hit").alias("hit"))
+    return nearest.select(
+        "match_key", "matched_key", "hit.match_type", "hit.edit_distance", "hit.stem_edit_distance"
     )
 
 

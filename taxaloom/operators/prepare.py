@@ -10,13 +10,13 @@ from taxaloom.functions import names as fn
 
 def clean_names(names: DataFrame, keep_blank: bool = False) -> DataFrame:
     """Trim all whitespace and drop blank names."""
-    trimmed = names.withColumn("name", F.regexp_replace("name", r"^\s+|\s+$", ""))
+    trimmed = names.withColumn("name", F.regexp_replace("name", r"(?U)^\s+|\s+$", ""))
     return trimmed if keep_blank else trimmed.filter(F.col("name") != "")
 
 
 def error_rows(names: DataFrame) -> DataFrame:
     """Names that cannot be verified, each with its error."""
-    blank = F.trim(F.regexp_replace(F.coalesce("name", F.lit("")), r"\s+", " ")) == ""
+    blank = F.trim(F.regexp_replace(F.coalesce("name", F.lit("")), r"(?U)\s+", " ")) == ""
     return names.filter(blank).select(
         "row_id",
         F.coalesce("name", F.lit("")).alias("name"),
@@ -30,7 +30,7 @@ def capitalize_names(names: DataFrame) -> DataFrame:
 
 
 def name_ids(names: DataFrame) -> DataFrame:
-    return names.withColumn("id", fn.name_id(F.col("name")))
+    return names.withColumn("id", F.when(F.col("name").isNotNull(), fn.name_id(F.col("name"))))
 
 
 def decompose_names(names: DataFrame, column: str = "name") -> DataFrame:
@@ -61,7 +61,7 @@ def filter_sources(records: DataFrame, ids: Iterable[int] | None) -> DataFrame:
 
 def prepared_names(names: DataFrame, capitalize: bool = False) -> DataFrame:
     """Clean, decomposed names; ``name`` stays as it came in."""
-    kept = names.filter(F.trim(F.regexp_replace("name", r"\s+", " ")) != "")
+    kept = names.filter(F.trim(F.regexp_replace("name", r"(?U)\s+", " ")) != "")
     if not capitalize:
         return fn.decomposed(kept)
     return fn.decomposed(capitalize_names(kept), "verified").drop("verified")
@@ -77,7 +77,7 @@ def name_keys(names: DataFrame) -> DataFrame:
     words = F.split("match_key", " ")
     return keys.withColumns({
         "genus": F.when(F.col("cardinality") > 0, words[0]),
-        "epithets": F.when(F.col("cardinality") > 1, F.slice(words, 2, 100)),
+        "epithets": F.when(F.col("cardinality") > 1, F.slice(words, F.lit(2), F.size(words))),
     })
 
 

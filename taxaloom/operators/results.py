@@ -157,7 +157,8 @@ def keep_input_order(rows: DataFrame) -> DataFrame:
 
 
 def order_by_name(documents: DataFrame) -> DataFrame:
-    return documents.orderBy("name")
+    """Rows by name; those of equal names by their place in the input, if they have one."""
+    return documents.orderBy("name", *[c for c in ("row_id", "position") if c in documents.columns])
 
 
 def batch_metadata(

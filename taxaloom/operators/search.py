@@ -77,9 +77,11 @@ def extract_facets(searches: DataFrame) -> DataFrame:
 
 
 def facet_sources(facets: DataFrame, sources: list[int] | None) -> DataFrame:
-    """The caller's sources take the place of those in the query."""
+    """The caller's sources take the place of those in the query; ``[0]`` asks for all results of all."""
     if not sources:
         return facets
+    if 0 in sources:
+        return facet_all(facets.withColumn("sources", F.lit(None).cast("array<int>")), True)
     return facets.withColumn("sources", F.array(*[F.lit(i) for i in sources]))
 
 
@@ -162,7 +164,7 @@ def facet_species(facets: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def facet_infraspecies(facets: DataFrame, records: DataFrame) -> DataFrame:
-    words = records.select(F.explode(F.array_distinct(F.slice("epithets", 2, 100))).alias("word"))
+    words = records.select(F.explode(F.array_distinct(F.slice("epithets", F.lit(2), F.size("epithets")))).alias("word"))
     return facet_report(facets, "infraspecies", words, gender=True)
 
 
@@ -281,7 +283,7 @@ def _forms_found(searches: DataFrame, records: DataFrame) -> DataFrame:
     )
     found = asked.join(listed, ["role", "epithet_facet", "genus_facet"])
     words = F.split("match_key", " ")
-    later, every = F.slice(words, 3, 100), F.slice(words, 2, 100)
+    later, every = F.slice(words, F.lit(3), F.size(words)), F.slice(words, F.lit(2), F.size(words))
     found = cut(
         found.filter(
             _some_word("infraspecies", later) & _some_word("any_epithet", every)

@@ -98,3 +98,19 @@ def test_filter_sources(frame):
 def test_cap_counts_before_blanks_are_dropped(frame):
     df = frame([(i, "" if i % 2 else f"Aus{i}") for i in range(10)], "row_id long, name string")
     assert prepare.clean_names(prepare.cap_names(df, 4)).count() == 2
+
+
+def test_more_than_a_hundred_epithets_are_kept(frame):
+    from taxaloom.functions.names import decomposed
+
+    name = "Aus " + " ".join(f"{'abcdefghij'[k // 10 % 10]}{'abcdefghij'[k % 10]}albus" for k in range(130))
+    row = decomposed(frame([(name,)], "name string")).first()
+    assert row.cardinality == 131 and len(row.epithets) == 130
+
+
+def test_unicode_spaces_are_spaces(frame):
+    from taxaloom.operators.prepare import clean_names, error_rows
+
+    names = frame([(1, " Aus bus "), (2, "  ")], "row_id long, name string")
+    assert [r.name for r in clean_names(names).collect()] == ["Aus bus"]
+    assert [r.row_id for r in error_rows(names).collect()] == [2]

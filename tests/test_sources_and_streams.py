@@ -38,7 +38,7 @@ def test_name_column(spark, tmp_path):
 
 def test_records_by_source(frame, spark, tmp_path):
     _, records, _ = tables(frame)
-    writers.write_name_records(records, f"{tmp_path}/r", files_per_source=2)
+    writers.write_name_records(records, f"{tmp_path}/r")
     stored = readers.read_name_records(spark, f"{tmp_path}/r", [4, -1])
     assert "PartitionFilters: [" in physical(stored) and "data_source_id" in physical(stored).split("PartitionFilters: [")[1][:60]
     assert {r.record_id for r in stored.collect()} == {"c", "d"}
@@ -68,5 +68,5 @@ def test_stream_equals_batch(frame, spark, tmp_path):
     assert rows.select("batch").distinct().count() == 3
     batch = verify(names, records, sources, sources=[1, 4]).flat()
     assert sorted(map(tuple, rows.drop("batch").collect())) == sorted(map(tuple, batch.collect()))
-    progress = stream_metrics(run).collect()
+    progress = stream_metrics(spark, f"{tmp_path}/out").collect()
     assert sum(r.names for r in progress) == 6 and all(r.names_per_second > 0 for r in progress)
