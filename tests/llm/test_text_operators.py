@@ -216,7 +216,7 @@ def test_toxic_words_are_learned(spark, empty):
     rng = np.random.default_rng(2)
     texts, labels = [], []
     for i in range(300):
-        found = [f"w{n}" for n in rng.integers(0, 400, 60)]
+        found = ["w" + "".join("abcdefghij"[int(d)] for d in f"{n:03d}") for n in rng.integers(0, 400, 60)]
         if i % 5 == 0:
             found[10:12] = [["vile", "nasty", "awful"][i % 3], "vile"]
         texts.append(" ".join(found))
