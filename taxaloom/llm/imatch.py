@@ -17,6 +17,8 @@ RAREST, COMMONEST = 1000, 5
 SHORT = 16                 # texts of so few terms keep them all
 WIDTHS = (3, 4, 5, 6, 6, 7, 8, 8, 9)  # a random lexicon holds one term in 2^width
 CODES = 4                  # numbers of 56 bits from a term's hashes, each for so many lexicons
+#: A sign for each lexicon, from those for private use, which no term holds.
+MARKS = "".join(chr(0xE000 + n) for n in range(CODES * len(WIDTHS)))
 BROADCAST_TERMS = 1 << 19  # a larger lexicon is joined by shuffle
 IDS = 1024                 # ids in a row that are put in order together
 DIGITS = 8
@@ -27,19 +29,19 @@ def terms_of(text: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1)), "")
 
 
-def lexicons_of(term: Column) -> Column:
-    """A number whose bit n says if random lexicon n holds the term.
+def marked(term: Column) -> Column:
+    """The term after the mark of each random lexicon that holds it.
 
     Each lexicon looks at some bits of a number from two hashes of the term.
     """
     digests = F.md5(term), F.md5(F.concat(term, F.lit(" ")))
     codes = [F.conv(F.substring(d, at, 14), 16, 10).cast("long") for d in digests for at in (1, 15)]
-    held = F.lit(0).cast("long")
+    held = []
     for number, code in enumerate(codes):
         for n, width in enumerate(WIDTHS):
             found = F.shiftright(code, sum(WIDTHS[:n])).bitwiseAND((1 << width) - 1) == 0
-            held = held.bitwiseOR(F.when(found, 1 << (len(WIDTHS) * number + n)).otherwise(0).cast("long"))
-    return held
+            held.append(F.when(found, F.concat(F.lit(MARKS[len(WIDTHS) * number + n]), term)))
+    return F.array_compact(F.array(*held))
 
 
 def document_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -48,20 +50,23 @@ def document_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, held) of the terms within the band, stored; ``held`` as in :func:`lexicons_of`."""
+    """(term, held) of the terms within the band, stored; ``held`` as in :func:`marked`."""
     total = docs.count()
     counts = document_counts(docs, text_col)
     band = (F.col("n") * RAREST >= total) & (F.col("n") * COMMONEST <= total)
-    return cut(counts.filter(band).select("term", lexicons_of(F.col("term")).alias("held")))
+    return cut(counts.filter(band).select("term", marked(F.col("term")).alias("held")))
 
 
-def signatures(terms: Column) -> Column:
-    """Per lexicon, the hash of those of the sorted ``terms`` (term, held) that it holds; of none, of nothing."""
-    def digest(n: Column) -> Column:
-        held = F.filter(terms, lambda t: F.call_function("shiftright", t["held"], n).bitwiseAND(1) == 1)
-        return F.substring(F.md5(F.array_join(F.transform(held, lambda t: t["term"]), " ")), 1, DIGITS)
+def signatures(held: Column) -> Column:
+    """Per lexicon, the hash of its sorted terms; of none, of nothing.
 
-    return F.transform(F.sequence(F.lit(0), F.lit(CODES * len(WIDTHS) - 1)), digest)
+    ``held`` are marked terms. One sort puts the lexicons one after the other,
+    each behind its mark and a line end, where the joined terms are split.
+    """
+    ends = F.array(*[F.lit(f"{mark}\n") for mark in MARKS])
+    joined = F.translate(F.array_join(F.sort_array(F.concat(held, ends)), " "), MARKS, "")
+    each = F.slice(F.split(joined, " ?\n ?", -1), 2, len(MARKS))
+    return F.transform(each, lambda terms: F.substring(F.md5(terms), 1, DIGITS))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -89,11 +94,11 @@ def fingerprints(texts: DataFrame, words: DataFrame, by: list[str], text_cols: l
     noted = F.array(F.concat(F.lit(" "), F.col(note)))
     each = each.select(*by, "side", (F.size("terms") <= SHORT).alias("short"), F.explode(F.concat(noted, "terms")).alias("term"))
     word = ~F.col("term").startswith(" ")
-    met = each.join(words, "term", "left").filter(~word | F.col("short") | (F.col("held") != 0))
-    term = F.struct("term", F.coalesce("held", lexicons_of(F.col("term"))).alias("held"))
+    met = each.join(words, "term", "left").filter(~word | F.col("short") | (F.size("held") > 0))
+    held = F.coalesce("held", marked(F.col("term")))
     found = met.groupBy(*by).agg(
         F.max(F.when(~word, F.substring("term", 2, 1 << 30))).alias(note),
-        *[F.sort_array(F.collect_list(F.when((F.col("side") == k) & word, term))).alias(c) for k, c in enumerate(text_cols)],
+        *[F.flatten(F.collect_list(F.when((F.col("side") == k) & word, held))).alias(c) for k, c in enumerate(text_cols)],
     )
     return found.select(*by, note, *[signatures(F.col(c)).alias(c) for c in text_cols])
 
