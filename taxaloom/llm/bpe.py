@@ -14,6 +14,7 @@ import heapq
 import json
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,7 +26,7 @@ PATTERN = (
 )
 CHARS = 1 << 16      # characters split at a time
 LONG = 256           # bytes of a word from which on it goes through the window
-REMEMBERED = 1 << 18  # words whose tokens a task remembers
+REMEMBERED = 1 << 17  # words whose tokens a worker remembers
 DECODED = 1 << 18    # tokens decoded at a time
 
 
@@ -195,6 +196,18 @@ def decoded(ids: bytes, of_id: dict[int, bytes]) -> str:
     return "".join([*out, state.decode(b"", True)])
 
 
+@lru_cache(1)
+def encoder_of(file: str, special: bool) -> Encoder:
+    """The encoder of a vocabulary file's text; a worker keeps it for its next tasks."""
+    return Encoder(Vocabulary(file), special)
+
+
+@lru_cache(1)
+def tokens_of(file: str) -> dict[int, bytes]:
+    """The bytes of each token, kept as in :func:`encoder_of`."""
+    return Vocabulary(file, merges=False).of_id
+
+
 def read_vocabulary(df: DataFrame, path: str):
     """The vocabulary file, read on the driver and sent to the workers once."""
     with open(path, encoding="utf-8") as file:
@@ -214,7 +227,7 @@ def encode(
     file = read_vocabulary(docs, vocabulary)
 
     def build() -> Callable:
-        encoder = Encoder(Vocabulary(file.value), special)
+        encoder = encoder_of(file.value, special)
 
         def step(rows: dict[str, list]) -> dict[str, list]:
             ids = [encoder.text(t) for t in rows["text"]]
@@ -231,7 +244,7 @@ def decode(tokens: DataFrame, vocabulary: str) -> DataFrame:
     file = read_vocabulary(tokens, vocabulary)
 
     def build() -> Callable:
-        of_id = Vocabulary(file.value, merges=False).of_id
+        of_id = tokens_of(file.value)
 
         def step(rows: dict[str, list]) -> dict[str, list]:
             return rows | {"text": [decoded(i or b"", of_id) for i in rows["ids"]]}

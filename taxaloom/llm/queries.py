@@ -64,8 +64,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as flat token files, and the tokens of each found again by the separator scan."""
     path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
-    tokens = bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY, special=False)
-    token_files.write_token_files(tokens, path, END_OF_DOCUMENT)
+    token_files.write_text_files(table(spark, sf_dir, "documents"), path, END_OF_DOCUMENT, VOCABULARY)
     return token_files.with_ids(token_files.count_tokens(spark, path, END_OF_DOCUMENT, token_files.DIGITS))
 
 

@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from taxaloom.llm.common import by_batch
+from taxaloom.llm import bpe
+from taxaloom.llm.common import by_batch, whole_text
 
 BLOCK = 1 << 20        # tokens searched at a time
 RECORDS = 4_000        # documents per file, so that a file fits in one row
@@ -31,28 +32,54 @@ def id_of(digits: list[int]) -> int | None:
     return None if n == 0 else n // 2 if n % 2 else -(n // 2)
 
 
+def packed(doc_id: int | None, ids: bytes | None, eod: int) -> bytes:
+    """A document as it stands in a file, without ``eod``: its id's digits and its tokens."""
+    body = np.frombuffer(ids or b"", "<u4")
+    if len(body) and (body.max() >= 1 << 16 or (body == eod).any()):
+        raise ValueError(f"document {doc_id} has tokens that a flat file cannot hold")
+    return np.array(id_digits(doc_id), "<u2").tobytes() + body.astype("<u2").tobytes()
+
+
 def write_token_files(tokens: DataFrame, path: str, eod: int) -> None:
     """Write (doc_id, ids) as flat files of unsigned 16-bit tokens below ``path``.
 
-    Each document is its id as ``DIGITS`` tokens, its tokens, and ``eod``. The
-    files go through Spark's text writer, whose line separator is the
-    end-of-document id, so any store that Spark writes to will do. Tokens must
-    be below 2^16 and differ from ``eod``; null ids are an empty list.
+    Each document is its id as ``DIGITS`` tokens, its tokens, and ``eod``.
+    Tokens must be below 2^16 and differ from ``eod``; null ids are an empty list.
     """
 
     def build() -> Callable:
         def step(rows: dict[str, list]) -> dict[str, list]:
-            flat = []
-            for doc_id, ids in zip(rows["doc_id"], rows["ids"]):
-                body = np.frombuffer(ids or b"", "<u4")
-                if len(body) and (body.max() >= 1 << 16 or (body == eod).any()):
-                    raise ValueError(f"document {doc_id} has tokens that a flat file cannot hold")
-                flat.append(np.array(id_digits(doc_id), "<u2").tobytes() + body.astype("<u2").tobytes())
-            return {"flat": flat}
+            return {"flat": [packed(d, i, eod) for d, i in zip(rows["doc_id"], rows["ids"])]}
 
         return step
 
-    flat = by_batch(tokens.select("doc_id", "ids"), build, "flat binary")
+    _write(by_batch(tokens.select("doc_id", "ids"), build, "flat binary"), path, eod)
+
+
+def write_text_files(
+    docs: DataFrame, path: str, eod: int, vocabulary: str, id_col: str = "doc_id", text_col: str = "text"
+) -> None:
+    """The files of :func:`write_token_files` for the tokens of whole texts, without special tokens.
+
+    Texts are encoded and packed by one worker per task. Null texts have no
+    tokens, null ids and repeated rows stay; other columns are not read.
+    """
+    file = bpe.read_vocabulary(docs, vocabulary)
+
+    def build() -> Callable:
+        encoder = bpe.encoder_of(file.value, False)
+
+        def step(rows: dict[str, list]) -> dict[str, list]:
+            return {"flat": [packed(d, encoder.text(t), eod) for d, t in zip(rows["doc_id"], rows["text"])]}
+
+        return step
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+    _write(by_batch(rows, build, "flat binary"), path, eod)
+
+
+def _write(flat: DataFrame, path: str, eod: int) -> None:
+    """Files by Spark's text writer, whose line separator is ``eod``, so any store that Spark writes to will do."""
     (
         flat.select(F.col("flat").cast("string").alias("value"))
         .write.option("lineSep", eod.to_bytes(2, "little").decode("latin-1"))

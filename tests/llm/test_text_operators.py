@@ -120,8 +120,9 @@ def test_token_counts_of_flat_files(spark, empty, tmp_path):
     docs = docs_of(spark, ["a b c", "word " * 700, "<|endoftext|>"])
     tokens = bpe.encode(docs, VOCABULARY, special=False)
     token_files.write_token_files(tokens, f"{tmp_path}/t", 50_256)
-    for block in (3, 1000):
-        counted = token_files.count_tokens(spark, f"{tmp_path}/t", 50_256, token_files.DIGITS, block)
+    token_files.write_text_files(docs, f"{tmp_path}/u", 50_256, VOCABULARY)
+    for block, files in ((3, "t"), (1000, "t"), (1000, "u")):
+        counted = token_files.count_tokens(spark, f"{tmp_path}/{files}", 50_256, token_files.DIGITS, block)
         assert all(r.complete for r in counted.collect())
         got = sorted((str(r.doc_id), r.n_tokens) for r in token_files.with_ids(counted).collect())
         assert got == sorted((str(r.doc_id), r.n_tokens) for r in tokens.collect())
