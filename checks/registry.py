@@ -113,14 +113,15 @@ def read_name_lines(t: Tables) -> DataFrame:
     return readers.read_name_lines(t.spark, path)
 
 
-@query("SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, name FROM names_in WHERE name <> ''")
+@query("SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, coalesce(name, '') AS name FROM names_in")
 def read_name_column(t: Tables) -> DataFrame:
     path = t.fresh()
-    rows = t.names_in.filter("name <> ''").orderBy("row_id")
+    rows = t.names_in.orderBy("row_id")
     rows.select(F.col("row_id") + 1, "name", F.lit("x")).write.csv(
         path, sep="\t", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
-    return readers.read_name_column(t.spark, path, sep="\t", name_field=2)
+    read = readers.read_name_column(t.spark, path, sep="\t", name_field=2)
+    return read.select("row_id", F.coalesce("name", F.lit("")).alias("name"))
 
 
 @query("SELECT data_source_id, record_id, name, current_record_id, is_synonym FROM name_records WHERE data_source_id IN (1, 2, 5, 7)")
@@ -163,17 +164,20 @@ _RESULTS = "per"
 
 @query(f"""SELECT r.name, (row_number() OVER (PARTITION BY row_id ORDER BY {o.ORDER}) - 1)::INT AS position,
   f.data_source_id, f.record_id, f.matched_name, printf('%.5f', f.sort_score) AS sort_score
-FROM rows_in r JOIN {_RESULTS} f USING (profile)""")
+FROM rows_in r JOIN {_RESULTS} f USING (profile)
+UNION ALL SELECT name, -1, 0, '', '', '' FROM rows_in WHERE profile NOT IN (SELECT profile FROM {_RESULTS})
+UNION ALL SELECT name, -1, 0, '', '', '' FROM failed""")
 def read_result_docs(t: Tables) -> DataFrame:
     path = t.fresh()
     writers.write_json_docs(t.verification(EVERY).documents(), path)
     found = readers.unnest_results(readers.read_result_docs(t.spark, path))
-    return found.filter("result is not null").select(
-        "name", "position",
-        F.col("result.dataSourceId").alias("data_source_id"),
-        F.col("result.recordId").alias("record_id"),
-        F.col("result.matchedName").alias("matched_name"),
-        F.format_string("%.5f", "result.sortScore").alias("sort_score"),
+    score = F.when(F.col("result").isNotNull(), F.format_string("%.5f", "result.sortScore"))
+    return found.select(
+        "name", F.coalesce("position", F.lit(-1)).alias("position"),
+        F.coalesce("result.dataSourceId", F.lit(0)).alias("data_source_id"),
+        F.coalesce("result.recordId", F.lit("")).alias("record_id"),
+        F.coalesce("result.matchedName", F.lit("")).alias("matched_name"),
+        F.coalesce(score, F.lit("")).alias("sort_score"),
     )
 
 
@@ -467,11 +471,10 @@ def nest_results(t: Tables) -> DataFrame:
     )
 
 
-@query("""SELECT count(*) AS names_number, '1|2|5|7' AS data_sources, false AS with_capitalization, true AS with_all_matches FROM rows_in""")
+@query("""SELECT count(*) AS names_number, '1|2|5|7' AS data_sources, false AS with_capitalization, true AS with_all_matches FROM names_in""")
 def batch_metadata(t: Tables) -> DataFrame:
-    nested = results.nest_results(t.names, t.verification().best())
     return results.batch_metadata(
-        nested, CHOSEN, with_capitalization=False, with_all_matches=True
+        t.names_in, CHOSEN, with_capitalization=False, with_all_matches=True
     ).withColumn("data_sources", F.array_join(F.col("data_sources").cast("array<string>"), "|"))
 
 
@@ -482,9 +485,9 @@ def _scores_as_text() -> list:
     return [F.format_string("%.5f", c).alias(c) for c in [*scores.COMPONENTS, "sort_score"]]
 
 
-@query(f"SELECT profile, matched_key, data_source_id, record_id, {_SCORES} FROM per0")
+@query(f"SELECT profile, matched_key, data_source_id, record_id, {_SCORES} FROM pairs")
 def score_matches(t: Tables) -> DataFrame:
-    found = ranking.best_per_source(t.profiles, t.matches(), t.scored)
+    found = t.verification(EVERY).all_matches()
     return found.select("profile", "matched_key", "data_source_id", "record_id", *_scores_as_text())
 
 
@@ -570,10 +573,9 @@ def union_stages(t: Tables) -> DataFrame:
     return _per_row(t, stages.unionByName(match.match_genus_part(t.keys, t.record_keys)))
 
 
-@query('SELECT row_id, position, "Kind", "TaxonId" FROM flat WHERE "MatchType" <> \'NoMatch\'')
+@query('SELECT row_id, position, "Kind", "TaxonId" FROM flat')
 def best_plus_results(t: Tables) -> DataFrame:
-    flat = t.verification(EVERY).flat()
-    return flat.filter("MatchType <> 'NoMatch'").select("row_id", "position", "Kind", "TaxonId")
+    return t.verification(EVERY).flat().select("row_id", "position", "Kind", "TaxonId")
 
 
 @query("SELECT name, count(*) AS n_rows FROM names_in GROUP BY name")

@@ -78,7 +78,8 @@ def lineage(records: DataFrame) -> DataFrame:
 
 def sources_matched(matches: DataFrame, records: DataFrame) -> DataFrame:
     """In how many sources each match key was found."""
-    held = records.select("matched_key", "data_source_id").distinct()
+    found = matches.select("matched_key").distinct()
+    held = records.select("matched_key", "data_source_id").join(found, "matched_key", "left_semi").distinct()
     return (
         matches.select("match_key", "matched_key")
         .join(held, "matched_key")

@@ -33,6 +33,8 @@ def lookup_name_strings(
         F.col("name").alias("matched_name"),
         "data_source_id", "record_id", "current_record_id", "is_synonym", "classification_path",
     )
+    # Only records of wanted names are ordered.
+    held = held.join(wanted.select("name_id").distinct(), "name_id", "left_semi")
     if not all_matches:
         held = first_of(held, ["name_id", "data_source_id"], [F.asc(c) for c in TIES])
     return wanted.join(held, "name_id")

@@ -162,11 +162,11 @@ def order_by_name(documents: DataFrame) -> DataFrame:
 
 
 def batch_metadata(
-    documents: DataFrame, sources: list[int] | None = None, **options: bool
+    names: DataFrame, sources: list[int] | None = None, **options: bool
 ) -> DataFrame:
-    """Number of names with the options of the run."""
+    """Number of input rows, errors included, with the options of the run."""
     echoed = [F.lit(value).alias(name) for name, value in options.items()]
     chosen = F.array(*[F.lit(i) for i in sources or []]).cast("array<int>")
-    return documents.agg(F.count(F.lit(1)).alias("names_number")).select(
+    return names.agg(F.count(F.lit(1)).alias("names_number")).select(
         "names_number", chosen.alias("data_sources"), *echoed
     )

@@ -37,7 +37,7 @@ def _value(key: str) -> Column:
 
 
 def extract_facets(searches: DataFrame) -> DataFrame:
-    """Facets of each ``query`` as columns. Parts of ``n:`` fill what is not given."""
+    """Facets of each ``query`` as columns. Parts of ``n:`` fill what is not given; a list of sources without a number counts as not given."""
     df = searches.withColumn("name_text", _value("n"))
     words = F.regexp_extract("name_text", _N_WORDS, 1)
     df = df.withColumns({
@@ -61,13 +61,8 @@ def extract_facets(searches: DataFrame) -> DataFrame:
         "_year": F.coalesce(_value("y"), present(F.regexp_extract("_tail", _YEARS, 1))),
         "taxon": _value("tx"),
         "all_results": F.coalesce(_value("all").startswith("t"), F.lit(False)),
-        "sources": F.when(
-            _value("ds").isNotNull(),
-            F.array_compact(
-                F.transform(F.split(_value("ds"), ","), lambda s: F.trim(s).try_cast("int"))
-            ),
-        ),
-    })
+        "_ds": F.array_compact(F.transform(F.split(_value("ds"), ","), lambda s: F.trim(s).try_cast("int"))),
+    }).withColumn("sources", F.when(F.size("_ds") > 0, F.col("_ds")))
     since = F.regexp_extract("_year", "^([0-9]{4})", 1)
     until = F.regexp_extract("_year", "([0-9]{4})$", 1)
     return df.withColumns({

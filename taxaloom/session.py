@@ -19,6 +19,7 @@ SETTINGS = {
 
 def local_session(cpus: int = 8, memory: str = "12g", **settings: str) -> SparkSession:
     """Session for tests and the bench; on a cluster the caller brings the session."""
+    folder = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="taxaloom-")}
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("taxaloom")
@@ -26,27 +27,32 @@ def local_session(cpus: int = 8, memory: str = "12g", **settings: str) -> SparkS
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
-    for key, value in {**SETTINGS, **settings}.items():
+    for key, value in {**SETTINGS, **folder, **settings}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-_local_folders: dict[str, str] = {}
+_own: set[tuple[str, str]] = set()  # folders of this driver's applications
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; in local mode a fresh one if unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
+    """This application's folder for intermediate tables, in ``spark.checkpoint.dir``.
+
+    If that is unset, it is below the warehouse, which executors share as well.
+    Hadoop's file system removes the folder when the application ends.
+    """
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="taxaloom-")
-    return _local_folders[context.applicationId]
+    parent = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{parent.rstrip('/')}/taxaloom-{context.applicationId}"
+    if (context.applicationId, folder) not in _own:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _own.add((context.applicationId, folder))
+    return folder
 
 
 def cut(df: DataFrame) -> DataFrame:
