@@ -10,6 +10,7 @@ two bits share the codeword of a word between them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -74,14 +75,16 @@ def fingerprints(
     return by_batch(rows, build, "doc_id long, fingerprint long")
 
 
+@lru_cache(1)
 def golay_table() -> np.ndarray:
-    """For each of the 2^23 words, the number (12 bits) of its codeword."""
+    """For each of the 2^23 words, the number (12 bits) of its codeword; made once per worker."""
     codes = np.zeros(1, np.int64)
     for i in range(12):
         codes = np.concatenate([codes, codes ^ (GOLAY << i)])
     errors = [0] + [sum(1 << b for b in c) for k in (1, 2, 3) for c in combinations(range(23), k)]
-    nearest = np.empty(1 << 23, np.int16)
-    nearest[codes[:, None] ^ np.array(errors, np.int64)[None, :]] = np.arange(4096, dtype=np.int16)[:, None]
+    nearest, numbers = np.empty(1 << 23, np.int16), np.arange(4096, dtype=np.int16)
+    for error in errors:
+        nearest[codes ^ error] = numbers
     return nearest
 
 
