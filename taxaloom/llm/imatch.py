@@ -3,7 +3,8 @@
 The lexicon holds the terms that between one in ``RAREST`` and one in
 ``COMMONEST`` documents contain. A document of d distinct terms brings d counts
 at most, so there are no more than ``RAREST`` times the mean d of such terms,
-however many documents there are.
+however many documents there are. A text keeps all its terms where the lexicon
+holds too few of them, as it does of a text with very many copies.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from taxaloom.session import cut
 
 RAREST, COMMONEST = 1000, 5
 SHORT = 16                 # texts of so few terms keep them all
+BAND_SHARE = 0.4           # and so do texts with a smaller share of their terms in the lexicon
 WIDTHS = (3, 4, 5, 6, 6, 7, 8, 8, 9)  # a random lexicon holds one term in 2^width
 CODES = 4                  # numbers of 56 bits from a term's hashes, each for so many lexicons
 #: A sign for each lexicon, from those for private use, which no term holds.
@@ -70,7 +72,7 @@ def signatures(held: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the lexicons with the same terms, of those that hold a term of either; 1 if none does."""
+    """Share of the lexicons with the same terms, of those that hold a term of either; 1 if neither has terms."""
     none = F.substring(F.md5(F.lit("")), 1, DIGITS)
     used = F.zip_with(a, b, lambda x, y: ((x != none) | (y != none)).cast("int"))
     same = F.zip_with(a, b, lambda x, y: ((x == y) & (x != none)).cast("int"))
@@ -94,12 +96,22 @@ def fingerprints(texts: DataFrame, words: DataFrame, by: list[str], text_cols: l
     noted = F.array(F.concat(F.lit(" "), F.col(note)))
     each = each.select(*by, "side", (F.size("terms") <= SHORT).alias("short"), F.explode(F.concat(noted, "terms")).alias("term"))
     word = ~F.col("term").startswith(" ")
-    met = each.join(words, "term", "left").filter(~word | F.col("short") | (F.size("held") > 0))
-    held = F.coalesce("held", marked(F.col("term")))
+    met = each.join(words, "term", "left").withColumn("held", F.when(F.col("short"), F.coalesce("held", marked(F.col("term")))).otherwise(F.col("held")))
+    known, n = F.col("held").isNotNull(), len(text_cols)
+    of = lambda k, which: (F.col("side") == k) & word & which
     found = met.groupBy(*by).agg(
         F.max(F.when(~word, F.substring("term", 2, 1 << 30))).alias(note),
-        *[F.flatten(F.collect_list(F.when((F.col("side") == k) & word, held))).alias(c) for k, c in enumerate(text_cols)],
+        *[F.flatten(F.collect_list(F.when(of(k, known), F.col("held")))).alias(f"held_{k}") for k in range(n)],
+        *[F.count(F.when(of(k, known), 1)).alias(f"known_{k}") for k in range(n)],
+        *[F.collect_list(F.when(of(k, ~known), F.col("term"))).alias(f"rest_{k}") for k in range(n)],
     )
+
+    def kept(k: int) -> Column:
+        held, known, rest = (F.col(f"{c}_{k}") for c in ("held", "known", "rest"))
+        few = known < BAND_SHARE * (known + F.size(rest))
+        return F.when(few, F.concat(held, F.flatten(F.transform(rest, marked)))).otherwise(held)
+
+    found = found.select(*by, note, *[kept(k).alias(c) for k, c in enumerate(text_cols)])
     return found.select(*by, note, *[signatures(F.col(c)).alias(c) for c in text_cols])
 
 

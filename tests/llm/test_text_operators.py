@@ -82,6 +82,20 @@ def test_equal_texts_have_equal_fingerprints_and_edits_stay_near(spark, empty):
     assert imatch.edited_likeness(empty.limit(0)).count() == 0
 
 
+def test_texts_outside_the_band_keep_their_terms(spark):
+    copied, lone = words(200, 1000), words(60, 5000)
+    band = [words(130, 3000 + 50 * (k % 40)).split() for k in range(790)]
+    texts = [copied] * 400                               # over a fifth of the rows, as are the words "common"
+    texts += [" ".join(w for pair in zip(b, [f"common{i}" for i in range(70)] + [""] * 60) for w in pair) for b in band]
+    texts += [words(190, 9000), lone] + [words(200, 2000)] * 400
+    rows = {r.doc_id: r for r in imatch.edited_likeness(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert rows[0].fingerprint == rows[1].fingerprint != rows[len(texts) - 1].fingerprint
+    assert rows[1].near_next == 1.0
+    assert rows[len(texts) - 1].near_next < 0.1           # followed by the first group's text
+    assert 0 < rows[399].near_edited < 1.0                # its other half brings terms of the band
+    assert rows[1191].fingerprint != rows[1190].fingerprint
+
+
 # --- BPE and token files -----------------------------------------------------
 
 @pytest.fixture(scope="module")
