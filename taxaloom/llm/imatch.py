@@ -1,4 +1,4 @@
-"""I-Match fingerprints: hashes of a text's middling rare terms, over several random lexicons.
+"""I-Match fingerprints: hashes of a text's middling rare terms, over several random lexicons and a whole one.
 
 The lexicon holds the terms that between one in ``RAREST`` and one in
 ``COMMONEST`` documents contain. A document of d distinct terms brings d counts
@@ -9,6 +9,8 @@ holds too few of them, as it does of a text with very many copies.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from taxaloom.llm.common import whole_text
@@ -19,11 +21,11 @@ SHORT = 16                 # texts of so few terms keep them all
 BAND_SHARE = 0.4           # and so do texts with a smaller share of their terms in the lexicon
 WIDTHS = (3, 4, 5, 6, 6, 7, 8, 8, 9)  # a random lexicon holds one term in 2^width
 CODES = 4                  # numbers of 56 bits from a term's hashes, each for so many lexicons
-#: A sign for each lexicon, from those for private use, which no term holds.
-MARKS = "".join(chr(0xE000 + n) for n in range(CODES * len(WIDTHS)))
+#: A sign for each lexicon, from those for private use, which no term holds; the last for the one with all terms.
+MARKS = "".join(chr(0xE000 + n) for n in range(CODES * len(WIDTHS) + 1))
 BROADCAST_TERMS = 1 << 19  # a larger lexicon is joined by shuffle
 IDS = 1024                 # ids in a row that are put in order together
-DIGITS = 8
+DIGITS, WHOLE_DIGITS = 8, 32
 
 
 def terms_of(text: Column) -> Column:
@@ -32,9 +34,9 @@ def terms_of(text: Column) -> Column:
 
 
 def marked(term: Column) -> Column:
-    """The term after the mark of each random lexicon that holds it.
+    """The term after the mark of each lexicon that holds it; the last holds every term.
 
-    Each lexicon looks at some bits of a number from two hashes of the term.
+    Each random lexicon looks at some bits of a number from two hashes of the term.
     """
     digests = F.md5(term), F.md5(F.concat(term, F.lit(" ")))
     codes = [F.conv(F.substring(d, at, 14), 16, 10).cast("long") for d in digests for at in (1, 15)]
@@ -43,7 +45,7 @@ def marked(term: Column) -> Column:
         for n, width in enumerate(WIDTHS):
             found = F.shiftright(code, sum(WIDTHS[:n])).bitwiseAND((1 << width) - 1) == 0
             held.append(F.when(found, F.concat(F.lit(MARKS[len(WIDTHS) * number + n]), term)))
-    return F.array_compact(F.array(*held))
+    return F.array_compact(F.array(*held, F.concat(F.lit(MARKS[-1]), term)))
 
 
 def document_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -60,7 +62,7 @@ def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def signatures(held: Column) -> Column:
-    """Per lexicon, the hash of its sorted terms; of none, of nothing.
+    """Per lexicon, the hash of its sorted terms; of none, of nothing. That of all terms is longer.
 
     ``held`` are marked terms. One sort puts the lexicons one after the other,
     each behind its mark and a line end, where the joined terms are split.
@@ -68,14 +70,15 @@ def signatures(held: Column) -> Column:
     ends = F.array(*[F.lit(f"{mark}\n") for mark in MARKS])
     joined = F.translate(F.array_join(F.sort_array(F.concat(held, ends)), " "), MARKS, "")
     each = F.slice(F.split(joined, " ?\n ?", -1), 2, len(MARKS))
-    return F.transform(each, lambda terms: F.substring(F.md5(terms), 1, DIGITS))
+    digits = lambda n: F.when(n == len(MARKS) - 1, WHOLE_DIGITS).otherwise(DIGITS)
+    return F.transform(each, lambda terms, n: F.substring(F.md5(terms), F.lit(1), digits(n)))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of the lexicons with the same terms, of those that hold a term of either; 1 if neither has terms."""
-    none = F.substring(F.md5(F.lit("")), 1, DIGITS)
-    used = F.zip_with(a, b, lambda x, y: ((x != none) | (y != none)).cast("int"))
-    same = F.zip_with(a, b, lambda x, y: ((x == y) & (x != none)).cast("int"))
+    some = lambda x: ~x.isin(*[hashlib.md5(b"").hexdigest()[:n] for n in (DIGITS, WHOLE_DIGITS)])
+    used = F.zip_with(a, b, lambda x, y: (some(x) | some(y)).cast("int"))
+    same = F.zip_with(a, b, lambda x, y: ((x == y) & some(x)).cast("int"))
     add = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
     return F.when(add(used) == 0, F.lit(1.0)).otherwise(add(same) / add(used))
 

@@ -96,6 +96,13 @@ def test_texts_outside_the_band_keep_their_terms(spark):
     assert rows[1191].fingerprint != rows[1190].fingerprint
 
 
+def test_unlike_texts_share_no_fingerprint(spark):
+    texts = ["", *[f"w{k}" for k in range(60)], *[f"w{k} x{k}" for k in range(60)]]
+    rows = imatch.edited_likeness(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len({r.fingerprint for r in rows}) == len(texts)
+    assert all(r.near_next < 1.0 for r in rows)
+
+
 # --- BPE and token files -----------------------------------------------------
 
 @pytest.fixture(scope="module")
