@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from taxaloom.llm.common import row_key, unused, whole_text
 
 #: Positions of the words that count. All seeds begin with two words next to each other.
-SEEDS = ((0, 1, 3, 4, 7, 8), (0, 1, 2, 5, 7, 9), (0, 1, 4, 5, 6, 9))
+#: Whichever words of a window may differ, a seed fits among the others; so it is in items of SEEDED words or more.
+SEEDS = ((0, 1, 3, 4, 7, 8), (0, 1, 2, 5, 7, 9), (0, 1, 4, 5, 6, 9), (0, 1, 6, 7, 8, 9))
+SEEDED = 11
 WINDOW, AGREE = 13, 11
 BLOCK_WORDS = 1 << 20   # words of benchmark items that are sent to all tasks at a time
 
@@ -30,28 +32,37 @@ def places_of(words: str) -> Column:
     """array<struct<start, hashes, at>> for each position (from 0) at which a seed fits.
 
     ``start`` is a hash of the two words there, which all seeds begin with;
-    ``hashes`` holds one per seed, null where the seed does not fit. So rows
+    ``hashes`` holds one per seed of its other words, null where the seed does not fit. So rows
     made from it carry a few numbers and not the text.
     """
-    seen = lambda at, seed, n: F.xxhash64(F.lit(n), *[F.get(words, at + p) for p in seed])
+    seen = lambda at, seed: F.xxhash64(*[F.get(words, at + p) for p in seed])
 
     def place(at: Column) -> Column:
-        fits = [F.when(at + max(seed) < F.size(words), seen(at, seed, n)) for n, seed in enumerate(SEEDS)]
-        return F.struct(seen(at, (0, 1), -1).alias("start"), F.array(*fits).alias("hashes"), at.alias("at"))
+        fits = [F.when(at + max(seed) < F.size(words), seen(at, seed[2:])) for seed in SEEDS]
+        return F.struct(seen(at, (0, 1)).alias("start"), F.array(*fits).alias("hashes"), at.alias("at"))
 
     every = F.sequence(F.lit(0), F.greatest(F.size(words) - SHORTEST, F.lit(0)))
     return F.transform(every, place)
 
 
-def item_blocks(benchmark: DataFrame) -> list[DataFrame]:
-    """(item_id, item) in blocks of bounded size, so that each can be sent to all tasks."""
+def short_seeds(n: int) -> list[tuple[int, ...]]:
+    """Seeds for items of ``n`` words: all words if none may differ, else all but two next to each other."""
+    if n * (WINDOW - AGREE) < WINDOW:
+        return [tuple(range(n))]
+    return [tuple(i for i in range(n) if i // 2 != k) for k in range(-(-n // 2))]
+
+
+def item_blocks(benchmark: DataFrame) -> tuple[list[DataFrame], list[int]]:
+    """(item_id, item) in blocks of bounded size, so that each can be sent to all tasks; sizes of items below SEEDED."""
     items = benchmark.select("item_id", words_of(whole_text()).alias("item")).distinct()
-    total = items.agg(F.sum(F.size("item"))).first()[0] or 0
-    n = -(-total // BLOCK_WORDS) or 1
+    size = F.size("item")
+    short = F.when((size > 0) & (size < SEEDED), size)
+    total, sizes = items.agg(F.sum(size), F.sort_array(F.collect_set(short))).first()
+    n = -(-(total or 0) // BLOCK_WORDS) or 1
     if n == 1:
-        return [items]
+        return [items], sizes
     block = F.pmod(F.xxhash64("item_id", "item"), F.lit(n))
-    return [items.filter(block == k) for k in range(n)]
+    return [items.filter(block == k) for k in range(n)], sizes
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -60,13 +71,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     ``matched_words``: the most words that agree in an aligned window of
     ``WINDOW`` words (of an item with fewer, all of them); pairs with fewer
     than ``AGREE`` (of 13; shorter items in proportion) are left out. Case and
-    punctuation do not count. Items of fewer words than the shortest seed spans
+    punctuation do not count. All such pairs are found. Items without words
     match nothing. Null and empty texts hold nothing; repeated rows count once.
     """
     rows = docs.select(*row_key(id_col, text_col), whole_text(text_col).alias("text"))
     found = None
-    for items in item_blocks(benchmark):
-        part = _overlaps(rows, items)
+    blocks, sizes = item_blocks(benchmark)
+    for items in blocks:
+        part = _overlaps(rows, items, sizes)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("id", "body", "item_id").agg(
         F.max("window_words").alias("window_words"), F.max("matched_words").alias("matched_words")
@@ -78,17 +90,38 @@ def _seeded(rows: DataFrame, words: str, by: list[str]) -> DataFrame:
     return placed.select(*by, "p.start", "p.hashes", "p.at")
 
 
-def _overlaps(rows: DataFrame, items: DataFrame) -> DataFrame:
+def _short_hits(rows: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
+    """(id, body, item_id, shift) of items of fewer than SEEDED words; where no word may differ, the first alone."""
+    def seen(words: str, at: Column, n: int, k: int, seed: tuple[int, ...]) -> Column:
+        found = F.xxhash64(F.lit(n), F.lit(k), *[F.get(words, at + (p - seed[0])) for p in seed])
+        return F.when(at + (seed[-1] - seed[0]) < F.size(words), F.struct(found.alias("hash"), (at - seed[0]).alias("shift")))
+
+    seeds = [(n, k, seed) for n in sizes for k, seed in enumerate(short_seeds(n))]
+    of_item = F.array(*[F.when(F.size("item") == n, seen("item", F.lit(seed[0]), n, k, seed)) for n, k, seed in seeds])
+    at_word = F.transform(
+        F.sequence(F.lit(0), F.size("words") - 1), lambda at: F.array(*[seen("words", at, n, k, seed) for n, k, seed in seeds])
+    )
+    keys = items.select("item_id", F.size("item").alias("n"), F.explode(F.array_compact(of_item)).alias("s")).select("item_id", "n", "s.hash")
+    worded = rows.select("id", "body", words_of(F.col("text")).alias("words")).filter(F.size("words") > 0)
+    met = worded.select("id", "body", F.explode(at_word).alias("at")).select("id", "body", F.explode(F.array_compact("at")).alias("s"))
+    met = met.select("id", "body", "s.hash", "s.shift").join(F.broadcast(keys), "hash")
+    one = F.when(F.col("n") * (WINDOW - AGREE) >= WINDOW, F.col("shift"))
+    return met.groupBy("id", "body", "item_id", "n", one.alias("one")).agg(F.min("shift").alias("shift")).select("id", "body", "item_id", "shift")
+
+
+def _overlaps(rows: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
     places = _seeded(items, "item", ["item_id", "item"])
     starts = places.select("start").distinct()
-    seeds = places.select("item_id", F.col("at").alias("place"), F.posexplode("hashes").alias("seed", "hash")).filter("hash IS NOT NULL")
+    seeds = places.select("item_id", "start", F.col("at").alias("place"), F.posexplode("hashes").alias("seed", "hash")).filter("hash IS NOT NULL")
     at = _seeded(rows.select("id", "body", words_of(F.col("text")).alias("words")), "words", ["id", "body"])
     # What is sent to all tasks holds at most BLOCK_WORDS rows, times the number of seeds.
     likely = at.join(F.broadcast(starts), "start", "left_semi")
-    likely = likely.select("id", "body", "at", F.posexplode("hashes").alias("seed", "hash"))
+    likely = likely.select("id", "body", "at", "start", F.posexplode("hashes").alias("seed", "hash"))
+    hits = likely.join(F.broadcast(seeds), ["seed", "start", "hash"]).select("id", "body", "item_id", (F.col("at") - F.col("place")).alias("shift"))
+    if sizes:
+        hits = hits.unionByName(_short_hits(rows, items, sizes))
     hits = (
-        likely.join(F.broadcast(seeds), ["seed", "hash"])
-        .select("id", "body", F.struct("item_id", (F.col("at") - F.col("place")).alias("shift")).alias("hit"))
+        hits.select("id", "body", F.struct("item_id", "shift").alias("hit"))
         .groupBy("id", "body").agg(F.collect_set("hit").alias("hits"))
         .select(F.col("id").alias("in_id"), F.col("body").alias("in_body"), "hits")
     )

@@ -3,6 +3,7 @@ import re
 import zlib
 from array import array
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -183,6 +184,30 @@ def test_passages_with_replaced_words_are_found(spark, empty):
     assert decontaminate.overlaps(empty, items).count() == 0
 
 
+def test_all_windows_and_short_items_are_found(spark):
+    """Each choice of words that may differ, of items of 1 to 15 words, also where the document ends within the item."""
+    texts, items, want = [], [], set()
+    for n in (*range(1, 15), 15):
+        item = [f"i{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(item)))
+        may = 2 * min(n, 13) // 13
+        for bad in [()] + [b for m in range(1, may + 2) for b in combinations(range(min(n, 13)), m)]:
+            if len(bad) > may and bad != tuple(range(may + 1)):
+                continue                                  # one text that differs too much
+            changed = [f"z{i}" if i in bad else w for i, w in enumerate(item[:13])]
+            if len(bad) <= may:
+                want.add((len(texts), n, min(n, 13), min(n, 13) - len(bad)))
+            texts.append(" ".join(["a", "b", *changed, "c"]))
+        if may:
+            want.add((len(texts), n, min(n, 13), min(n, 13) - may))
+            texts.append(" ".join(item[:min(n, 13) - may]))
+            want.add((len(texts), n, min(n, 13), min(n, 13) - may))
+            texts.append(" ".join(item[n - min(n, 13) + may:]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontaminate.overlaps(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.id, r.item_id, r.window_words, r.matched_words) for r in found} == want
+
+
 # --- line dedup --------------------------------------------------------------
 
 def lines_left(texts, least=50):
