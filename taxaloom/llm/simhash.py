@@ -209,6 +209,7 @@ def near_duplicates(
 
 WIDE_HASHES = 6                            # hashes of a shingle, 64 bits each
 WIDE_SEGMENTS = WIDE_HASHES * 64 // 23     # segments of 23 bits of a wide fingerprint
+FEW_SHINGLES = 10                          # ties of so few leave bits too uneven to tell sets apart
 MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
@@ -222,18 +223,18 @@ def _mixed(hashes: np.ndarray, times: int) -> np.ndarray:
 
 
 def wide_prints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, doc_id, body, wide, least) per row, ``id`` a hash of the words.
+    """(id, doc_id, body, shingles, wide, least) per row, ``id`` a hash of the words.
 
     ``wide`` is a fingerprint of 64 * ``WIDE_HASHES`` bits from the distinct
-    shingles, ``least`` for each of its segments the least shingle hash under
-    another mix.
+    shingles, whose number is ``shingles``; ``least`` for each of its segments
+    the least shingle hash under another mix.
     """
 
     def build() -> Callable:
         import xxhash
 
         def step(rows: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {k: [] for k in ("id", "wide", "least")}
+            out: dict[str, list] = {k: [] for k in ("id", "shingles", "wide", "least")}
             for text in rows["text"]:
                 found = words_of(text)
                 hashes = np.unique(shingle_hashes(found, words))
@@ -248,13 +249,14 @@ def wide_prints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: s
                         order *= np.uint64(MIXERS[(n + 1) % len(MIXERS)])
                         least[n] = min(least[n], order.min())
                 out["id"].append(np.array([xxhash.xxh3_64_intdigest(b" ".join(found))], np.uint64).view(np.int64)[0])
+                out["shingles"].append(len(hashes))
                 out["wide"].append(np.packbits(total * 2 > len(hashes)).tobytes())
                 out["least"].append(least.view(np.int64).tolist())
             return out | {"doc_id": rows["doc_id"], "body": rows["body"]}
 
         return step
 
-    return by_batch(_keyed(docs, id_col, text_col), build, "id long, doc_id long, body long, wide binary, least array<long>")
+    return by_batch(_keyed(docs, id_col, text_col), build, "id long, doc_id long, body long, shingles long, wide binary, least array<long>")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -318,16 +320,19 @@ def similar_documents(
     rows = cut(wide_prints(docs, words, id_col, text_col))
     nodes = cut(rows.groupBy("id").agg(
         F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "body")).alias("one"),
-        F.first("wide").alias("wide"), F.first("least").alias("least"),
+        F.first("shingles").alias("shingles"), F.first("wide").alias("wide"), F.first("least").alias("least"),
     ))
     number = lambda n: F.conv(F.hex(F.substring("wide", 8 * n + 1, 8)), 16, -10).cast("long")
-    prints = cut(nodes.select("id", F.array(*map(number, range(WIDE_HASHES))).alias("print")))
+    prints = cut(nodes.select("id", F.array(*map(number, range(WIDE_HASHES)), "shingles").alias("print")))
     # The angle between sets of this similarity, and four standard errors of its estimate from the bits.
     share, bits = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi), 64 * WIDE_HASHES
     most = int(bits * share + 4 * np.sqrt(bits * share * (1 - share)))
 
     def close(a: Column, b: Column) -> Column:
-        return sum((F.bit_count(a[n].bitwiseXOR(b[n])) for n in range(WIDE_HASHES)), F.lit(0)) <= most
+        apart = sum((F.bit_count(a[n].bitwiseXOR(b[n])) for n in range(WIDE_HASHES)), F.lit(0))
+        fewer, more = F.least(a[WIDE_HASHES], b[WIDE_HASHES]), F.greatest(a[WIDE_HASHES], b[WIDE_HASHES])
+        # Sizes alone rule out most pairs of a few shingles; the others are held against each other as sets.
+        return F.when(fewer < FEW_SHINGLES, fewer >= similarity * more).otherwise(apart <= most)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs)

@@ -90,6 +90,13 @@ def test_one_of_each_class_of_similar_documents_stays(spark):
         str(d) for d in {*got.values()})
 
 
+def test_short_similar_texts_are_linked(spark):
+    texts = [words(n, 100 * k) for k in range(400) for n in (8, 9)]       # 4 of 5 shingles
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
+    assert sum(got[i] != i - i % 2 for i in got) <= 2
+
+
 def test_best_fit_takes_the_tightest_bin():
     assert sharding.best_fit([(6, "a"), (5, "b"), (4, "c"), (3, "d")], 10) == {"a": 0, "b": 1, "c": 0, "d": 1}
     tree, rng, keys = sharding.FitTree(), np.random.default_rng(1), set()
