@@ -14,20 +14,23 @@ import heapq
 import json
 from array import array
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from taxaloom.llm.common import by_batch, whole_text
+from taxaloom.llm.common import by_batch, kept, whole_text
 
 #: Fixed value: the pattern that splits text before the merges.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 CHARS = 1 << 16      # characters split at a time
+GROUP = 1 << 17      # words of which the unknown ones are merged side by side
 LONG = 256           # bytes of a word from which on it goes through the window
-REMEMBERED = 1 << 17  # words whose tokens a worker remembers
+WIDTHS = (8, 16, 32, 64, LONG)  # words merged side by side have at most so many bytes
+REMEMBERED = 1 << 17  # words of a generation of those whose tokens a worker remembers
 DECODED = 1 << 18    # tokens decoded at a time
+NONE = np.iinfo(np.int32).max  # rank of a pair that does not merge
 
 
 def byte_of_char() -> dict[str, int]:
@@ -79,7 +82,11 @@ def sufficient_lookahead(merges: list[tuple[int, int, int]], of_id: dict[int, by
 
 
 class Encoder:
-    """Tokens of words, remembered for a bounded number of words."""
+    """Tokens of words, remembered for a bounded number of words.
+
+    Words are remembered in two generations: when the younger is full it
+    becomes the older, which is forgotten but for the words seen again.
+    """
 
     def __init__(self, vocabulary: Vocabulary, special: bool = True):
         import regex
@@ -89,7 +96,13 @@ class Encoder:
         self.border = regex.compile(r"\S(?=\s)").search
         strings = map(regex.escape, vocabulary.special if special else ())
         self.special = regex.compile("|".join(strings) or r"(?!)")
-        self.known = _Known(self)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        made = np.array([m[2] for m in vocabulary.merges] or [0], np.int32)
+        pairs = np.array([a << 32 | b for a, b, _ in vocabulary.merges] or [-1], np.int64)
+        order = np.argsort(pairs, kind="stable")
+        self.made, self.pairs, self.ranks = made, pairs[order], order.astype(np.int32)
+        self.of_byte = np.array(vocabulary.of_byte, np.int32)
 
     def merged(self, ids: list[int]) -> list[int]:
         """Merges of the least rank first, the leftmost of equal rank."""
@@ -144,44 +157,120 @@ class Encoder:
             window = window[done:]
         yield from self.merged([self.v.of_byte[b] for b in window])
 
-    def word(self, word: str) -> bytes:
-        data = word.encode()
-        if len(data) <= LONG:
-            return array("I", self.merged([self.v.of_byte[b] for b in data])).tobytes()
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of the merges of pairs of tokens, -1 for no token."""
+        pair = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == pair) & (left >= 0) & (right >= 0), self.ranks[at], NONE)
+
+    def side_by_side(self, words: list[bytes], width: int) -> list[bytes]:
+        """Packed tokens of words of at most ``width`` bytes, each a whole window.
+
+        Every round makes one merge in each word that has one, as :meth:`merged` does.
+        """
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        ids = np.full((len(words), width + 1), -1, np.int32)
+        ids[np.arange(width + 1) < lengths[:, None]] = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
+        rank = self._rank(ids[:, :-1], ids[:, 1:])
+        rows, out = np.arange(len(words)), [b""] * len(words)
+        places = np.arange(width + 1)
+        while len(rows):
+            at = rank.argmin(axis=1)
+            best = rank[np.arange(len(rows)), at]
+            live = best < NONE
+            if not live.all():
+                done = ids[~live]
+                shown = done >= 0
+                packed = done[shown].astype("<u4").tobytes()
+                ends = (4 * shown.sum(axis=1).cumsum()).tolist()
+                for row, start, end in zip(rows[~live].tolist(), [0, *ends], ends):
+                    out[row] = packed[start:end]
+                ids, rank, rows, at, best = ids[live], rank[live], rows[live], at[live], best[live]
+                if not len(rows):
+                    break
+            # The last places are always free, so what moves up from there is no token.
+            behind = places > at[:, None]
+            ids[:, :-1] = np.where(behind[:, :-1], ids[:, 1:], ids[:, :-1])
+            rank[:, :-1] = np.where(behind[:, :-2], rank[:, 1:], rank[:, :-1])
+            row = np.arange(len(rows))
+            ids[row, at] = self.made[best]
+            rank[row, at] = self._rank(ids[row, at], ids[row, at + 1])
+            inner = np.flatnonzero(at)
+            before = at[inner] - 1
+            rank[inner, before] = self._rank(ids[inner, before], ids[inner, before + 1])
+        return out
+
+    def _learn(self, words: set[str]) -> list[str]:
+        """Have all ``words`` in the younger generation; those that are too long to stay there."""
+        young, old, unknown, long = self.young, self.old, [], []
+        for word in words:
+            if word not in young:
+                if word in old:
+                    young[word] = old[word]
+                else:
+                    unknown.append(word)
+        data = [word.encode() for word in unknown]
+        sizes = np.fromiter(map(len, data), np.int64, len(data))
+        low = 0
+        for width in WIDTHS:
+            part = np.flatnonzero((sizes > low) & (sizes <= width)).tolist()
+            young.update(zip([unknown[i] for i in part], self.side_by_side([data[i] for i in part], width)))
+            low = width
         step = max(LONG, self.v.lookahead)
-        return array("I", self.stream(data[i:i + step] for i in range(0, len(data), step))).tobytes()
+        for i in np.flatnonzero(sizes > LONG).tolist():
+            pieces = (data[i][k:k + step] for k in range(0, len(data[i]), step))
+            young[unknown[i]] = array("I", self.stream(pieces)).tobytes()
+            long.append(unknown[i])
+        return long
+
+    def texts(self, texts: Iterable[str]) -> list[bytes]:
+        """Token ids of each text as unsigned 32-bit integers, little-endian."""
+        out: list[list[bytes]] = []
+        held: list[tuple[int, list[str] | bytes]] = []
+        size = 0
+
+        def settle() -> None:
+            long = self._learn({w for _, words in held if isinstance(words, list) for w in words})
+            for number, words in held:
+                special = isinstance(words, bytes)
+                out[number].append(words if special else b"".join(map(self.young.__getitem__, words)))
+            for word in long:
+                del self.young[word]
+            if len(self.young) >= REMEMBERED:
+                self.young, self.old = {}, self.young
+            held.clear()
+
+        for number, text in enumerate(texts):
+            out.append([])
+            for words in self._pieces(text):
+                held.append((number, words))
+                size += len(words)
+                if size >= GROUP:
+                    settle()
+                    size = 0
+        settle()
+        return [b"".join(parts) for parts in out]
 
     def text(self, text: str) -> bytes:
-        """Token ids as unsigned 32-bit integers, little-endian."""
-        out, at = [], 0
+        return self.texts([text])[0]
+
+    def _pieces(self, text: str) -> Iterator[list[str] | bytes]:
+        """The words of a text in pieces, and its special tokens packed."""
+        at = 0
         for special in self.special.finditer(text):
-            out += [self._plain(text[at:special.start()]), array("I", [self.v.special[special.group()]]).tobytes()]
+            yield from self._plain(text[at:special.start()])
+            yield array("I", [self.v.special[special.group()]]).tobytes()
             at = special.end()
-        return b"".join([*out, self._plain(text[at:] if at else text)])
+        yield from self._plain(text[at:] if at else text)
 
-    def _plain(self, text: str) -> bytes:
+    def _plain(self, text: str) -> Iterator[list[str]]:
         """White space only begins words, so a cut before it changes no word."""
-        out, start = [], 0
+        start = 0
         while start < len(text):
             border = self.border(text, start + CHARS) if start + CHARS < len(text) else None
             end = border.end() if border else len(text)
-            out.append(b"".join(map(self.known.__getitem__, self.split(text[start:end]))))
+            yield self.split(text[start:end])
             start = end
-        return b"".join(out)
-
-
-class _Known(dict):
-    def __init__(self, encoder: Encoder):
-        super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.encoder.word(word)
-        if len(word) <= LONG:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = found
-        return found
 
 
 def decoded(ids: bytes, of_id: dict[int, bytes]) -> str:
@@ -196,16 +285,14 @@ def decoded(ids: bytes, of_id: dict[int, bytes]) -> str:
     return "".join([*out, state.decode(b"", True)])
 
 
-@lru_cache(1)
 def encoder_of(file: str, special: bool) -> Encoder:
     """The encoder of a vocabulary file's text; a worker keeps it for its next tasks."""
-    return Encoder(Vocabulary(file), special)
+    return kept("encoder", (file, special), lambda: Encoder(Vocabulary(file), special))
 
 
-@lru_cache(1)
 def tokens_of(file: str) -> dict[int, bytes]:
     """The bytes of each token, kept as in :func:`encoder_of`."""
-    return Vocabulary(file, merges=False).of_id
+    return kept("tokens", file, lambda: Vocabulary(file, merges=False).of_id)
 
 
 def read_vocabulary(df: DataFrame, path: str):
@@ -230,7 +317,7 @@ def encode(
         encoder = encoder_of(file.value, special)
 
         def step(rows: dict[str, list]) -> dict[str, list]:
-            ids = [encoder.text(t) for t in rows["text"]]
+            ids = encoder.texts(rows["text"])
             return {"doc_id": rows["doc_id"], "n_tokens": [len(i) // 4 for i in ids], "ids": ids}
 
         return step

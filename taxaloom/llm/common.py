@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
+from itertools import chain
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -39,26 +42,35 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return free
 
 
+def kept(name: str, of: Any, make: Callable[[], Any]) -> Any:
+    """``make()``, which this worker process keeps under ``name`` while ``of`` is the same.
+
+    It hangs on ``sys``, since each task gets functions and module variables of
+    its own (they are pickled by value).
+    """
+    store = sys.__dict__.setdefault("_taxaloom_kept", {})
+    if name not in store or store[name][0] != of:
+        store[name] = (of, make())
+    return store[name][1]
+
+
 def by_batch(
-    rows: DataFrame, build: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str
+    rows: DataFrame, build: Callable[[], Callable[[dict[str, list] | None], dict[str, list]]], schema: str,
+    flush: bool = False,
 ) -> DataFrame:
     """``build()`` once per task; its result on columns as lists, batch by batch.
 
-    Batches are cut so that long texts never pile up in a worker.
+    Batches are cut so that long texts never pile up in a worker. With
+    ``flush`` it is called with None at a task's end, for what it still holds.
     """
-    kept = rows.columns
+    columns = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = build()
-        for batch in batches:
-            start = 0
-            for end in _pieces(batch):
-                part = batch.slice(start, end - start)
-                start = end
-                found = step({c: part.column(i).to_pylist() for i, c in enumerate(kept)})
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[f.name], f.type) for f in arrow], schema=arrow
-                )
+        given = ({c: p.column(i).to_pylist() for i, c in enumerate(columns)} for p in _parts(batches))
+        for part in chain(given, [None] if flush else []):
+            found = step(part)
+            yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) for f in arrow], schema=arrow)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -67,6 +79,26 @@ def by_batch(
     return rows.mapInArrow(run, schema)
 
 
+def filter_by_batch(rows: DataFrame, column: str, build: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The rows whose ``column`` the function that ``build`` makes once per task finds good; columns stay as they are."""
+    place = rows.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good = build()
+        for part in _parts(batches):
+            yield part.filter(pa.array(good(part.column(place).to_pylist()), pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        start = 0
+        for end in _pieces(batch):
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def _pieces(batch: pa.RecordBatch) -> list[int]:
     """Row numbers at which a piece of a batch ends."""
     size, ends = 0, []
