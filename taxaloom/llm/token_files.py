@@ -7,7 +7,7 @@ that ends in a block follows from a running maximum over the blocks before.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ from taxaloom.llm import bpe
 from taxaloom.llm.common import by_batch, whole_text
 
 BLOCK = 1 << 20        # tokens searched at a time
-RECORDS = 4_000        # documents per file, so that a file fits in one row
+FILE_BYTES = 32 << 20   # a file is closed once it holds so many, so that it fits in one row
 BASE, DIGITS = 50_000, 5  # a document's id as tokens below any special one
 
 
@@ -48,12 +48,9 @@ def write_token_files(tokens: DataFrame, path: str, eod: int) -> None:
     """
 
     def build() -> Callable:
-        def step(rows: dict[str, list]) -> dict[str, list]:
-            return {"flat": [packed(d, i, eod) for d, i in zip(rows["doc_id"], rows["ids"])]}
+        return _filled(eod, lambda rows: zip(rows["doc_id"], rows["ids"]))
 
-        return step
-
-    _write(by_batch(tokens.select("doc_id", "ids"), build, "flat binary"), path, eod)
+    _write(by_batch(tokens.select("doc_id", "ids"), build, "flat binary", flush=True), path, eod)
 
 
 def write_text_files(
@@ -69,13 +66,32 @@ def write_text_files(
     def build() -> Callable:
         encoder = bpe.encoder_of(file.value, False)
 
-        def step(rows: dict[str, list]) -> dict[str, list]:
-            return {"flat": [packed(d, encoder.text(t), eod) for d, t in zip(rows["doc_id"], rows["text"])]}
-
-        return step
+        return _filled(eod, lambda rows: zip(rows["doc_id"], encoder.texts(rows["text"])))
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    _write(by_batch(rows, build, "flat binary"), path, eod)
+    _write(by_batch(rows, build, "flat binary", flush=True), path, eod)
+
+
+def _filled(eod: int, documents: Callable[[dict[str, list]], Iterable[tuple]]) -> Callable:
+    """A step that gives files as rows; documents within a file are parted by ``eod``, the last is left open."""
+    held: list[bytes] = []
+    size, between = 0, eod.to_bytes(2, "little")
+
+    def step(rows: dict[str, list] | None) -> dict[str, list]:
+        nonlocal size
+        files = []
+        for doc_id, ids in documents(rows) if rows else ():
+            held.append(packed(doc_id, ids, eod))
+            size += len(held[-1])
+            if size >= FILE_BYTES:
+                files.append(between.join(held))
+                held.clear()
+                size = 0
+        if rows is None and held:
+            files.append(between.join(held))
+        return {"flat": files}
+
+    return step
 
 
 def _write(flat: DataFrame, path: str, eod: int) -> None:
@@ -84,7 +100,7 @@ def _write(flat: DataFrame, path: str, eod: int) -> None:
         flat.select(F.col("flat").cast("string").alias("value"))
         .write.option("lineSep", eod.to_bytes(2, "little").decode("latin-1"))
         .option("encoding", "ISO-8859-1")
-        .option("maxRecordsPerFile", RECORDS)
+        .option("maxRecordsPerFile", 1)
         .text(path)
     )
 
