@@ -10,13 +10,12 @@ two bits share the codeword of a word between them.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, permutations
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from taxaloom.llm.common import by_batch, row_key, unused, whole_text
+from taxaloom.llm.common import by_batch, kept, row_key, unused, whole_text
 from taxaloom.llm.graph import components
 from taxaloom.session import cut
 
@@ -24,6 +23,7 @@ SEED = 42
 BLOCK = 1 << 16          # words hashed at a time
 GOLAY = 0b101011100011   # generator polynomial of the Golay code
 SEGMENTS_64 = ((0, 23), (23, 23), (46, 18))
+HALF = 9                 # bits of each half of the last segment
 
 
 def shingle_hashes(words: list[bytes], n: int, start: int = 0, end: int | None = None) -> np.ndarray:
@@ -58,7 +58,7 @@ def fingerprint_of(words: list[bytes], n: int) -> int:
 def fingerprints(
     docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, fingerprint) per row, the fingerprint as a signed long.
+    """(doc_id, body, fingerprint) per row: a hash of the text and the fingerprint, both as signed longs.
 
     Null and empty texts, and those of white space, have fingerprint 0; a null
     id stays null. Any number of columns is allowed, others are not read.
@@ -67,17 +67,24 @@ def fingerprints(
     def build() -> Callable:
         def step(rows: dict[str, list]) -> dict[str, list]:
             prints = [fingerprint_of(words_of(t), words) for t in rows["text"]]
-            return {"doc_id": rows["doc_id"], "fingerprint": np.array(prints, np.uint64).astype(np.int64)}
+            return {
+                "doc_id": rows["doc_id"], "body": rows["body"],
+                "fingerprint": np.array(prints, np.uint64).astype(np.int64),
+            }
 
         return step
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    return by_batch(rows, build, "doc_id long, fingerprint long")
+    key, body = row_key(id_col, text_col)
+    rows = docs.select(key.cast("long").alias("doc_id"), body, whole_text(text_col).alias("text"))
+    return by_batch(rows, build, "doc_id long, body long, fingerprint long")
 
 
-@lru_cache(1)
 def golay_table() -> np.ndarray:
     """For each of the 2^23 words, the number (12 bits) of its codeword; made once per worker."""
+    return kept("golay", GOLAY, _golay_table)
+
+
+def _golay_table() -> np.ndarray:
     codes = np.zeros(1, np.int64)
     for i in range(12):
         codes = np.concatenate([codes, codes ^ (GOLAY << i)])
@@ -96,66 +103,64 @@ def near_codewords(table: np.ndarray, segment: np.ndarray, bits: int = 23) -> tu
     return table[segment].astype(np.int64), near
 
 
-def segment_pair_keys(prints: DataFrame) -> DataFrame:
-    """(key, id): keys that two fingerprints with at most three differing bits share.
-
-    Of three segments, two differ in at most one bit each if all differ in at
-    most three. So for each pair of segments a key holds the own codeword of
-    one and a near codeword of the other: whichever of two fingerprints gives
-    the own codeword, the other has it among the near ones.
-    """
+def segment_keys(prints: DataFrame) -> DataFrame:
+    """(key, id): keys that two fingerprints with at most three differing bits share; see :func:`keys_of`."""
 
     def build() -> Callable:
         table = golay_table()
 
         def step(rows: dict[str, list]) -> dict[str, list]:
             prints = np.array(rows["fingerprint"], np.int64)
-            parts = [
-                near_codewords(table, (prints >> at) & ((1 << bits) - 1), bits) for at, bits in SEGMENTS_64
-            ]
-            keys = []
-            for number, (i, j) in enumerate(combinations(range(3), 2)):
-                own_i, near_i = parts[i]
-                own_j, near_j = parts[j]
-                one = np.where(near_i < 0, -1, near_i << 12 | own_j[:, None])
-                other = np.where(near_j < 0, -1, own_i[:, None] << 12 | near_j)
-                other[near_j == own_j[:, None]] = -1  # the same as one of the first
-                pair = np.concatenate([one, other], axis=1)
-                keys.append(np.where(pair < 0, -1, pair | number << 24))
-            keys = np.concatenate(keys, axis=1)
-            at, column = np.nonzero(keys >= 0)
-            return {"key": keys[at, column], "id": prints[at]}
+            keys, at = keys_of(prints, table)
+            return {"key": keys, "id": prints[at]}
 
         return step
 
     return by_batch(prints.select("fingerprint"), build, "key long, id long")
 
 
-def bucket_links(
-    keys: DataFrame, close: Callable[[Column, Column], Column], prints: DataFrame | None = None,
-    confirmed: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
-) -> DataFrame:
-    """Links (a, b) that join all of ``id`` which share a ``key`` and truly link.
-
-    ``close`` compares the prints of two ids (of ``prints`` (id, print), else
-    the ids themselves) within the joins, so that only pairs that pass leave
-    them; ``confirmed`` keeps of these pairs those that link. First all of a key
-    are held against the least of it; then what the links found so far leave
-    apart is held against the others of the key. So a large group of copies
-    gives as many pairs as rows, not their square, and its components are
-    those that all pairs would give.
-    """
-
-    def printed(rows: DataFrame, of: str, name: str) -> DataFrame:
-        if prints is None:
-            return rows.withColumn(name, F.col(of))
-        return rows.join(prints.select(F.col("id").alias(of), F.col("print").alias(name)), of)
+def keys_of(prints: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of fingerprints, and the places of their fingerprints.
 
+    Three errors fall on three segments in one of two ways. If a segment is
+    free of them, another has one at most: a key holds the bits of the one and
+    a codeword near the other (30 or 35 bits), for each ordered pair of
+    segments. Else each segment has one, and a half of the short one has none:
+    a key holds that half, the own codeword of one long segment and a near
+    codeword of the other (33 bits). Whichever of two fingerprints gives the
+    own codeword, the other has it among the near ones.
+    """
+    bits = [(prints >> at) & ((1 << size) - 1) for at, size in SEGMENTS_64]
+    own, near = zip(*(near_codewords(table, word, size) for word, (_, size) in zip(bits, SEGMENTS_64)))
+    keys = []
+    for number, (i, j) in enumerate(permutations(range(3), 2)):
+        keys.append(np.where(near[j] < 0, -1, (number << 23 | bits[i][:, None]) << 12 | near[j]))
+    one = np.where(near[0] < 0, -1, near[0] << 12 | own[1][:, None])
+    other = np.where((near[1] < 0) | (near[1] == own[1][:, None]), -1, own[0][:, None] << 12 | near[1])
+    for number in range(2):
+        half = bits[2] >> HALF * number & (1 << HALF) - 1
+        for pair in (one, other):
+            keys.append(np.where(pair < 0, -1, (6 + number << HALF | half[:, None]) << 24 | pair))
+    found = np.concatenate(keys, axis=1)
+    at, column = np.nonzero(found >= 0)
+    return found[at, column], at
+
+
+def bucket_links(keys: DataFrame, close: Callable[[Column, Column], Column]) -> DataFrame:
+    """Links (a, b) that join all of ``id`` which share a ``key`` and are ``close``.
+
+    Pairs are compared within the joins, so that only those that pass leave
+    them. First all of a key are held against the least of it; then what the
+    links found so far leave apart is held against the others of the key. So a
+    large group of near copies gives as many pairs as rows, not their square,
+    and its components are those that all pairs would give.
+    """
     keys = cut(keys)
-    near = close(F.col("print_a"), F.col("print_b"))
+    near = close(F.col("a"), F.col("b"))
     least = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
-    star = keys.join(least, "key").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
-    first = cut(confirmed(printed(printed(star, "a", "print_a"), "b", "print_b").filter(near).select("a", "b")))
+    first = cut(
+        keys.join(least, "key").withColumnRenamed("id", "b").filter("a <> b").filter(near).select("a", "b").distinct()
+    )
     parts = components(first)
     shared = (
         keys.join(least.select("key"), "key", "left_semi")
@@ -168,18 +173,17 @@ def bucket_links(
     rest = split.filter("part <> main").select("key", F.col("id").alias("a"), F.col("part").alias("part_a"))
     others = split.select("key", F.col("id").alias("b"), F.col("part").alias("part_b"), "main")
     pairs = (
-        printed(rest, "a", "print_a").join(printed(others, "b", "print_b"), "key")
-        .filter("part_a <> part_b AND (part_b = main OR a < b)").filter(near)
+        rest.join(others, "key").filter("part_a <> part_b AND (part_b = main OR a < b)").filter(near)
         .select("a", "b").distinct()
     )
-    return first.union(confirmed(pairs))
+    return first.union(pairs)
 
 
 def fingerprint_links(prints: DataFrame, differing: int = 3) -> DataFrame:
     """Links between distinct fingerprints that differ in at most ``differing`` (0 to 3) bits."""
     if not 0 <= differing <= 3:
-        raise ValueError("codewords of 64 bits guarantee three differing bits")
-    return bucket_links(segment_pair_keys(prints), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= differing)
+        raise ValueError("the keys guarantee three differing bits")
+    return bucket_links(segment_keys(prints), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= differing)
 
 
 def near_duplicates(
@@ -193,180 +197,35 @@ def near_duplicates(
     component's least id unless all of its ids are null. An empty table gives
     no rows.
     """
-    prints = cut(fingerprints(docs, words, id_col, text_col))
-    nodes = cut(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    parts = components(fingerprint_links(nodes, differing))
-    placed = nodes.join(parts.withColumnRenamed("id", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")
-    )
-    placed = cut(placed)
-    named = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = cut(placed.join(named, "component").select("fingerprint", "component_id"))
-    return prints.join(ids, "fingerprint").select("doc_id", "fingerprint", "component_id")
-
-
-# --- similarity of shingle sets ---------------------------------------------
-
-WIDE_HASHES = 6                            # hashes of a shingle, 64 bits each
-WIDE_SEGMENTS = WIDE_HASHES * 64 // 23     # segments of 23 bits of a wide fingerprint
-FEW_SHINGLES = 10                          # ties of so few leave bits too uneven to tell sets apart
-MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-
-
-def _mixed(hashes: np.ndarray, times: int) -> np.ndarray:
-    """``times`` columns of hashes made from one by a multiplicative mix; the first is as given."""
-    out = [hashes]
-    for m in MIXERS[: times - 1]:
-        h = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(m)
-        out.append(h ^ (h >> np.uint64(29)))
-    return np.stack(out, axis=1)
-
-
-def wide_prints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, doc_id, body, shingles, wide, least) per row, ``id`` a hash of the words.
-
-    ``wide`` is a fingerprint of 64 * ``WIDE_HASHES`` bits from the distinct
-    shingles, whose number is ``shingles``; ``least`` for each of its segments
-    the least shingle hash under another mix.
-    """
-
-    def build() -> Callable:
-        import xxhash
-
-        def step(rows: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {k: [] for k in ("id", "shingles", "wide", "least")}
-            for text in rows["text"]:
-                found = words_of(text)
-                hashes = np.unique(shingle_hashes(found, words))
-                total = np.zeros(64 * WIDE_HASHES, np.int64)
-                least = np.full(WIDE_SEGMENTS, (1 << 64) - 1, np.uint64)
-                for at in range(0, len(hashes), BLOCK):
-                    part = _mixed(hashes[at:at + BLOCK], WIDE_HASHES)
-                    total += np.unpackbits(part.astype("<u8").view(np.uint8), axis=1).sum(0, dtype=np.int64)
-                    for n in range(WIDE_SEGMENTS):
-                        order = (part[:, 0] + np.uint64(n)) * np.uint64(MIXERS[n % len(MIXERS)])
-                        order ^= order >> np.uint64(32)
-                        order *= np.uint64(MIXERS[(n + 1) % len(MIXERS)])
-                        least[n] = min(least[n], order.min())
-                out["id"].append(np.array([xxhash.xxh3_64_intdigest(b" ".join(found))], np.uint64).view(np.int64)[0])
-                out["shingles"].append(len(hashes))
-                out["wide"].append(np.packbits(total * 2 > len(hashes)).tobytes())
-                out["least"].append(least.view(np.int64).tolist())
-            return out | {"doc_id": rows["doc_id"], "body": rows["body"]}
-
-        return step
-
-    return by_batch(_keyed(docs, id_col, text_col), build, "id long, doc_id long, body long, shingles long, wide binary, least array<long>")
-
-
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    key, body = row_key(id_col, text_col)
-    return docs.select(key.cast("long").alias("doc_id"), body, whole_text(text_col).alias("text"))
-
-
-def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(id, shingles) of (id, text): the distinct hashes of the shingles."""
-
-    def build() -> Callable:
-        def step(rows: dict[str, list]) -> dict[str, list]:
-            hashes = (np.unique(shingle_hashes(words_of(t), words)).view(np.int64) for t in rows["text"])
-            return {"id": rows["id"], "shingles": [h.tolist() for h in hashes]}
-
-        return step
-
-    return by_batch(texts.select("id", "text"), build, "id long, shingles array<long>")
-
-
-def wide_keys(sets: DataFrame) -> DataFrame:
-    """(key, id): near codewords of each segment of the wide fingerprint, with the segment's least shingle.
-
-    Two segments that differ in two bits or fewer share a near codeword. A
-    codeword alone has 12 bits, too few to part unlike documents, so it is
-    joined with a min-wise shingle.
-    """
-
-    def build() -> Callable:
-        table = golay_table()
-
-        def step(rows: dict[str, list]) -> dict[str, list]:
-            ids = np.array(rows["id"], np.int64)
-            bits = np.unpackbits(np.array([np.frombuffer(w, np.uint8) for w in rows["wide"]], np.uint8).reshape(len(ids), -1), axis=1)
-            least = np.array(rows["least"], np.int64).reshape(len(ids), WIDE_SEGMENTS)
-            weights = 1 << np.arange(23, dtype=np.int64)
-            keys, owners = [], []
-            for n in range(WIDE_SEGMENTS):
-                _, near = near_codewords(table, bits[:, 23 * n:23 * n + 23].astype(np.int64) @ weights)
-                at, column = np.nonzero(near >= 0)
-                mixed = (least[at, n].view(np.uint64) ^ (near[at, column].astype(np.uint64) << np.uint64(5)) ^ np.uint64(n)) * np.uint64(MIXERS[0])
-                keys.append((mixed ^ (mixed >> np.uint64(32))).view(np.int64))
-                owners.append(ids[at])
-            return {"key": np.concatenate(keys), "id": np.concatenate(owners)}
-
-        return step
-
-    return by_batch(sets.select("id", "wide", "least"), build, "key long, id long")
+    classes, named = _classes(docs, words, differing, id_col, text_col)
+    return classes.join(named, "fingerprint").select("doc_id", "fingerprint", F.col("first.doc_id").alias("component_id"))
 
 
-def similar_documents(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(doc_id, component_id) per row: classes of documents with similar shingle sets.
-
-    Links need a Jaccard similarity of ``similarity`` or more of the sets of
-    ``words``-word shingles (shorter texts: the whole); candidates come from
-    wide SimHash fingerprints, and their sets are made only then. Texts without
-    words are one class. Null ids and repeated rows as in :func:`near_duplicates`.
-    """
-    rows = cut(wide_prints(docs, words, id_col, text_col))
-    nodes = cut(rows.groupBy("id").agg(
-        F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "body")).alias("one"),
-        F.first("shingles").alias("shingles"), F.first("wide").alias("wide"), F.first("least").alias("least"),
-    ))
-    number = lambda n: F.conv(F.hex(F.substring("wide", 8 * n + 1, 8)), 16, -10).cast("long")
-    prints = cut(nodes.select("id", F.array(*map(number, range(WIDE_HASHES)), "shingles").alias("print")))
-    # The angle between sets of this similarity, and four standard errors of its estimate from the bits.
-    share, bits = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi), 64 * WIDE_HASHES
-    most = int(bits * share + 4 * np.sqrt(bits * share * (1 - share)))
-
-    def close(a: Column, b: Column) -> Column:
-        apart = sum((F.bit_count(a[n].bitwiseXOR(b[n])) for n in range(WIDE_HASHES)), F.lit(0))
-        fewer, more = F.least(a[WIDE_HASHES], b[WIDE_HASHES]), F.greatest(a[WIDE_HASHES], b[WIDE_HASHES])
-        # Sizes alone rule out most pairs of a few shingles; the others are held against each other as sets.
-        return F.when(fewer < FEW_SHINGLES, fewer >= similarity * more).otherwise(apart <= most)
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs)
-        wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
-        which = wanted.join(nodes, "id").select("id", F.col("one.doc_id").alias("of"), F.col("one.body").alias("of_body"))
-        texts = _keyed(docs, id_col, text_col).join(
-            which, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("body") == F.col("of_body"))
-        )
-        sets = cut(shingle_sets(texts.select("id", "text").dropDuplicates(["id"]), words))
-        for side in ("a", "b"):
-            pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("shingles").alias(f"{side}s")), side)
-        both = F.size(F.array_intersect("as", "bs"))
-        return pairs.filter(both >= similarity * (F.size("as") + F.size("bs") - both)).select("a", "b")
-
-    parts = components(bucket_links(wide_keys(nodes), close, prints, confirmed))
+def _classes(docs: DataFrame, words: int, differing: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of the rows, and (fingerprint, first): the first row of each one's class."""
+    prints = cut(fingerprints(docs, words, id_col, text_col))
+    row = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "body")
+    nodes = cut(prints.groupBy("fingerprint").agg(F.min(row).alias("first")))
+    parts = components(fingerprint_links(nodes, differing))
     placed = cut(
-        nodes.select("id", "least_id").join(parts, "id", "left")
-        .select("id", "least_id", F.coalesce("component", "id").alias("component"))
+        nodes.join(parts.withColumnRenamed("id", "fingerprint"), "fingerprint", "left")
+        .select("fingerprint", "first", F.coalesce("component", "fingerprint").alias("component"))
     )
-    named = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    return rows.select("doc_id", "id").join(
-        placed.join(named, "component").select("id", "component_id"), "id"
-    ).select("doc_id", "component_id")
+    first = placed.groupBy("component").agg(F.min("first").alias("first"))
+    return prints, cut(placed.select("fingerprint", "component").join(first, "component").select("fingerprint", "first"))
 
 
-def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row with the least id of each class of :func:`similar_documents`; columns stay as they are.
+def keep_one(
+    docs: DataFrame, words: int = 3, differing: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The first row of each class of :func:`near_duplicates`; columns stay as they are.
 
-    A row given more than once stays once. Of texts that share that id, all
-    stay; null ids stay in classes that have no other.
+    Rows are ordered by id, null last, then by a hash of the text. A row given
+    more than once stays once.
     """
-    key, body, of = unused(docs, "key", "body", "of")
-    classes = similar_documents(docs, words, similarity, id_col, text_col)
-    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(of)).distinct()
+    key, body, of, of_body = unused(docs, "key", "body", "of", "of_body")
+    _, named = _classes(docs, words, differing, id_col, text_col)
+    first = named.select(F.col("first.doc_id").alias(of), F.col("first.body").alias(of_body)).distinct()
     met = docs.select("*", *[c.alias(n) for c, n in zip(row_key(id_col, text_col), (key, body))])
-    met = met.join(kept, F.col(key).eqNullSafe(F.col(of)), "left_semi")
+    met = met.join(first, F.col(key).cast("long").eqNullSafe(F.col(of)) & (F.col(body) == F.col(of_body)), "left_semi")
     return met.dropDuplicates([key, body]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,5 +1,8 @@
+import re
+
 import numpy as np
 import pytest
+import xxhash
 
 from taxaloom.llm import graph, sharding, simhash
 from tests.llm.test_text_operators import DOCS, docs_of, words
@@ -68,33 +71,64 @@ def test_near_duplicates_table(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
 
-def test_one_of_each_class_of_similar_documents_stays(spark):
-    rng = np.random.default_rng(4)
-    texts, sets = [], []
-    for k in range(12):
-        base = [f"w{n}" for n in rng.integers(0, 5000, 200)]
-        for changes in (0, 1, 2, 4, 60):
-            copy = [*base]
-            for at in rng.integers(0, 200, changes):
-                copy[at] = f"new{rng.integers(0, 1 << 30)}"
-            texts.append(" ".join(copy))
-            sets.append({tuple(copy[i:i + 5]) for i in range(196)})
+def spread(total, parts):
+    if parts == 1:
+        return [(total,)]
+    return [(k, *rest) for k in range(total + 1) for rest in spread(total - k, parts - 1)]
+
+
+def test_any_three_errors_leave_a_shared_key():
+    """All ways in which up to three errors fall on the segments, at random places of random fingerprints."""
+    table, rng = simhash.golay_table(), np.random.default_rng(5)
+    left, right = [], []
+    for errors in [e for n in (1, 2, 3) for e in spread(n, 3)]:
+        for _ in range(400):
+            x = y = int(rng.integers(0, 1 << 64, dtype=np.uint64))
+            for (at, size), n in zip(simhash.SEGMENTS_64, errors):
+                for b in rng.choice(size, n, replace=False):
+                    y ^= 1 << (at + int(b))
+            left.append(x)
+            right.append(y)
+    found = []
+    for prints in (left, right):
+        keys, at = simhash.keys_of(np.array(prints, np.uint64).view(np.int64), table)
+        own = [set() for _ in prints]
+        for k, i in zip(keys.tolist(), at.tolist()):
+            own[i].add(k)
+        found.append(own)
+    assert all(a & b for a, b in zip(*found))
+
+
+def plain_fingerprint(text, n=3):
+    """The contract's fingerprint, bit by bit."""
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(found[i:i + n]) for i in range(len(found) - n + 1)] if len(found) >= n else [" ".join(found)] if found else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_and_classes_against_counting(spark):
+    rng = np.random.default_rng(6)
+    vocabulary = [f"Wort{n}É" for n in range(40)] + ["a\x1cb", "x\x0by", "\u2003", "\u0130"]
+    base = [" ".join(rng.choice(vocabulary, rng.integers(1, 400))) for _ in range(30)]
+    texts = base + [" ".join([*t.split(" ")[:-1], "other"]) for t in base] + ["long " * 100_000, "long " * 100_001]
     docs = docs_of(spark, texts)
-    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
-    want = classes(len(sets), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
-    missed = sum(got[i] != w for i, w in enumerate(want))
-    assert missed <= 1 and all(want[got[i]] == w for i, w in enumerate(want))
+    rows = simhash.near_duplicates(docs).collect()
+    every = [(r.doc_id, r.text) for r in docs.collect()]
+    want = {(d, plain_fingerprint(t) - (1 << 64) * (plain_fingerprint(t) >> 63)) for d, t in every}
+    assert {(r.doc_id, r.fingerprint) for r in rows} == want and len(rows) == len(every)
+    order = sorted(want, key=lambda w: (w[0] is None, w[0] or 0))
+    part = classes(len(order), lambda i, j: bin((order[i][1] ^ order[j][1]) & (2**64 - 1)).count("1") <= 3)
+    assert {(r.doc_id, r.component_id) for r in rows} == {(order[i][0], order[p][0]) for i, p in enumerate(part)}
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(
-        str(d) for d in {*got.values()})
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted({str(order[p][0]) for p in part})
+    assert simhash.keep_one(spark.createDataFrame([], DOCS)).count() == 0
 
 
-def test_short_similar_texts_are_linked(spark):
-    texts = [words(n, 100 * k) for k in range(400) for n in (8, 9)]       # 4 of 5 shingles
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
-    assert sum(got[i] != i - i % 2 for i in got) <= 2
+def test_of_one_id_with_two_texts_each_class_keeps_its_own(spark):
+    docs = spark.createDataFrame([(5, words(50)), (5, words(50, 900)), (3, words(50)), (5, words(50, 900))], DOCS.split(", __id")[0])
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()) == [(3, words(50)), (5, words(50, 900))]
 
 
 def test_best_fit_takes_the_tightest_bin():
