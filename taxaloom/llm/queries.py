@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from taxaloom.llm import (
-    bpe, chat, decontaminate, imatch, language_model, line_dedup, oracle, sharding, simhash, token_files, toxicity,
+    bpe, chat, decontaminate, fill_middle, hard_negatives, imatch, language_model, license_scan, line_dedup, oracle,
+    sharding, simhash, token_files, toxicity,
 )
 from taxaloom.llm.common import table
 from taxaloom.session import shared_folder
@@ -96,11 +97,42 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the outputs of all texts, and of the texts rebuilt from them."""
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth vector against all, labels of every seventh moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices in all texts: exact places of the base phrases, and labels of those with edits too."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("hits", lambda h: h["base"])
+    starts = F.transform(base, lambda h: h["first_word"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        license_scan.labels_in(base).alias("base_labels"), license_scan.labels_in(F.col("hits")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("hits", lambda h: h["likeness"])), F.lit(0.0)).alias("score"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_chat, op2_imatch, op3_bpe, op4_decontaminate, op5_token_counts, op6_lm_score, op7_toxicity,
-        op8_sharding, op9_line_dedup, op10_simhash,
+        op8_sharding, op9_line_dedup, op10_simhash, op11_fill_middle, op12_hard_negatives, op13_license_scan,
     )
 }
 ORACLE: dict[str, str] = {name: getattr(oracle, name) for name in QUERIES if hasattr(oracle, name)}
