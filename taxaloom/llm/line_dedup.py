@@ -1,13 +1,14 @@
 """Repeated runs of lines found by winnowing, and deleted but for the first.
 
-A window begins at each line and holds as few lines as have ``least_words``
-words. Its fingerprint is its least line hash, with the place of that line; any
-run of so many words holds a whole window, so repeated runs share one.
+Windows begin and end at each line and hold as few lines as have
+``least_words`` words. The fingerprint of a window is its least line hash with
+the place of that line; any run of so many words holds a whole window, so
+repeated runs share one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from taxaloom.llm.common import row_key, unused, whole_text
 from taxaloom.session import cut
@@ -37,98 +38,78 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def windows_of(lines: DataFrame, least_words: int) -> DataFrame:
-    """(id, body, k, anchor, key) of all windows that have enough words.
+    """(id, body, first, last, anchor, least, key) of all windows that have enough words.
 
-    ``anchor`` is the place of the least line hash, the last of equal ones;
-    ``key`` holds that hash and those of all lines, so that equal keys are
+    One begins at each line and one ends there, each with as few lines as will
+    do. ``least`` is the least of its line hashes and ``anchor`` the place of
+    it, the last of equal ones; ``key`` holds all hashes, so that equal keys are
     equal windows.
     """
-    frame = Window.partitionBy("id", "body").orderBy("before").rangeBetween(0, least_words - 1)
-    seen = lines.select(
-        "id", "body", "k",
-        F.collect_list("hash").over(frame).alias("hashes"), F.sum("words").over(frame).alias("words"),
-        F.min(F.struct(F.col("hash"), (-F.col("k")).alias("place"))).over(frame).alias("least"),
-    )
-    return seen.filter(F.col("words") >= least_words).select(
-        "id", "body", "k", (-F.col("least.place")).alias("anchor"),
-        F.xxhash64("least.hash", "hashes").alias("key"),
-    )
+    doc = Window.partitionBy("id", "body")
+    frames = {
+        1: doc.orderBy("before").rangeBetween(0, least_words - 1),
+        -1: doc.orderBy("upto").rangeBetween(1 - least_words, 0),
+    }
+    parts = []
+    for side, frame in frames.items():
+        seen = lines.withColumn("upto", F.col("before") + F.col("words")).select(
+            "id", "body", "k",
+            F.collect_list("hash").over(frame).alias("hashes"), F.sum("words").over(frame).alias("words"),
+            F.min(F.struct(F.col("hash"), (-F.col("k")).alias("place"))).over(frame).alias("least"),
+        ).filter(F.col("words") >= least_words)
+        other = F.col("k") + side * (F.size("hashes") - 1)
+        parts.append(seen.select(
+            "id", "body", F.least("k", other).alias("first"), F.greatest("k", other).alias("last"),
+            (-F.col("least.place")).alias("anchor"), F.col("least.hash").alias("least"),
+            F.xxhash64("least.hash", "hashes").alias("key"),
+        ))
+    return parts[0].unionByName(parts[1])
 
 
 def repeated_runs(docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, body, lines): the lines of each document that stand in a later run.
 
-    Documents are ordered by id, null first, then by a hash of the text. Each
-    window is matched to the one before it in its own document, or else to the
-    first of all documents: one match per window, however many copies there
-    are. Matches that follow each other on one diagonal are one; it is extended
-    both ways while lines agree, and its lines are given.
+    Documents are ordered by id, null first, then by a hash of the text. The
+    minima of the windows are the fingerprints: a run that stands twice has
+    them twice, so windows whose minimum is that of one place alone are let go.
+    The others meet their equals, and all but the first of equal windows repeat
+    an earlier one. Every line of a repeated run is in a window of the run that
+    begins or ends at some line of it: the windows that touch, each with an
+    earlier one of its own, extend a match to both ends of the run, also where
+    no single earlier document holds all of it. Each window has one partner,
+    the first, however many copies there are, and no lines of a document travel
+    to another.
     """
     lines = cut(lines_of(docs, id_col, text_col))
     windows = cut(windows_of(lines, least_words))
-    here = Window.partitionBy("key", "id", "body").orderBy("k")
-    own = windows.withColumn("back", F.col("k") - F.lag("k").over(here))
-    first = (
-        windows.groupBy("key")
-        .agg(F.min(F.struct("id", "body", "k", "anchor")).alias("first"), F.count("*").alias("n"))
-        .filter("n > 1").select("key", "first")
-    )
-    inside = own.filter("back IS NOT NULL").select(
-        "id", "body", "k", "anchor", F.col("id").alias("from_id"), F.col("body").alias("from_body"),
-        F.col("back").alias("shift"),
-    )
-    across = (
-        own.filter("back IS NULL").join(first, "key")
-        .filter("NOT (id <=> first.id AND body = first.body)")
-        .select("id", "body", "k", "anchor", F.col("first.id").alias("from_id"), F.col("first.body").alias("from_body"),
-                (F.col("k") - F.col("first.k")).alias("shift"))
-    )
-    line = Window.partitionBy("id", "body", "from_id", "from_body", "shift").orderBy("k")
-    matches = inside.unionByName(across)
-    heads = matches.withColumn("last", F.lag("k").over(line)).filter("last IS NULL OR last < k - 1").drop("last")
-    arrays = cut(
-        lines.groupBy("id", "body").agg(F.sort_array(F.collect_list(F.struct("k", "hash", "line"))).alias("ls"))
-        .select("id", "body", F.col("ls.hash").alias("hashes"), F.col("ls.line").alias("lines"))
-    )
-    source = arrays.select(F.col("id").alias("from_id"), F.col("body").alias("from_body"), F.col("hashes").alias("from_hashes"))
-    both = heads.join(
-        source, heads["from_id"].eqNullSafe(source["from_id"]) & (heads["from_body"] == source["from_body"])
-    ).select("id", "body", "anchor", "shift", "from_hashes")
-    both = both.join(
-        arrays.select(F.col("id").alias("at_id"), F.col("body").alias("at_body"), "hashes", "lines"),
-        F.col("id").eqNullSafe(F.col("at_id")) & (F.col("body") == F.col("at_body")),
-    )
-    there = F.col("anchor") - F.col("shift")
-    left = F.least(F.col("anchor"), there)
-    right = F.least(F.size("hashes") - F.col("anchor"), F.size("from_hashes") - there)
-    back = F.reverse(_equal(F.slice("hashes", F.col("anchor") - left + 1, left), F.slice("from_hashes", there - left + 1, left)))
-    ahead = _equal(F.slice("hashes", F.col("anchor") + 1, right), F.slice("from_hashes", there + 1, right))
-    run = both.select(
-        "id", "body", "lines",
-        (F.col("anchor") - _leading(back, left)).alias("begin"), _leading(ahead, right).alias("after"), "anchor",
-    )
-    found = run.select("id", "body", F.explode(F.slice("lines", F.col("begin") + 1, F.col("anchor") + F.col("after") - F.col("begin"))).alias("line"))
-    return found.groupBy("id", "body").agg(F.sort_array(F.collect_set("line")).alias("lines"))
-
-
-def _equal(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: x == y)
-
-
-def _leading(equal: Column, n: Column) -> Column:
-    """How many of the first ``n`` are true without a gap."""
-    at = F.array_position(equal, False).cast("int")
-    return F.when(at == 0, n).otherwise(at - 1)
-
-
-def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    places = windows.select("least", "id", "body", "anchor").distinct()
+    shared = places.groupBy("least").agg(F.count("*").alias("places")).filter("places > 1").select("least")
+    met = windows.join(shared, "least", "left_semi").select("key", "id", "body", "first", "last").distinct()
+    start = F.struct("id", "body", "first")
+    earliest = met.groupBy("key").agg(F.min(start).alias("start"), F.count("*").alias("n")).filter("n > 1")
+    later = met.join(earliest.select("key", "start"), "key").filter(~start.eqNullSafe(F.col("start")))
+    # Neighbours overlap: a run of windows gives its lines once.
+    order = Window.partitionBy("id", "body").orderBy("first", "last")
+    reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = later.select("id", "body", F.greatest("first", F.coalesce(reached + 1, F.lit(0))).alias("first"), "last")
+    found = fresh.filter("first <= last").select("id", "body", F.explode(F.sequence("first", "last")).alias("k"))
+    numbered = lines.select("id", "body", "k", "line")
+    of = [found["id"].eqNullSafe(numbered["id"]), found["body"] == numbered["body"], found["k"] == numbered["k"]]
+    named = found.join(numbered, of[0] & of[1] & of[2]).select(numbered["id"], numbered["body"], "line")
+    return named.groupBy("id", "body").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+
+
+def dedup_lines(
+    docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text",
+    counter: str = "lines_deleted",
+) -> DataFrame:
     """``docs`` without later repeats of runs of ``least_words`` words; all rows and columns stay.
 
-    Adds ``lines_deleted``. Lines are kept or deleted whole, also lines shorter
+    Adds their number as ``counter``. Lines are kept or deleted whole, also lines shorter
     than that within a run; blank lines stay. Null texts stay null, texts all
     of whose lines repeat become empty. Repeated rows are one document given
     more than once and get the same text. Columns of ``docs`` may have any
-    names but ``lines_deleted``.
+    names but ``counter``.
     """
     key, body, gone, of, of_body = unused(docs, "key", "body", "gone", "of", "of_body")
     runs = repeated_runs(docs, least_words, id_col, text_col).select(
@@ -143,5 +124,5 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str = "
     )
     return met.select(
         *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce(F.size(gone), F.lit(0)).alias("lines_deleted"),
+        F.coalesce(F.size(gone), F.lit(0)).alias(counter),
     )

@@ -1,5 +1,8 @@
 import hashlib
+import os
 import re
+import subprocess
+import sys
 import zlib
 from array import array
 from collections import Counter
@@ -211,38 +214,34 @@ def test_all_windows_and_short_items_are_found(spark):
 # --- line dedup --------------------------------------------------------------
 
 def lines_left(texts, least=50):
-    """By brute force: later windows, and the runs around them on their diagonal."""
-    out, first, texts = [], {}, [t.split("\n") for t in texts]
-    full = [[(n, s.strip(" \t\r\f\x0b")) for n, s in enumerate(t) if s.strip(" \t\r\f\x0b")] for t in texts]
+    """Texts without any line that is in a run of ``least`` words which also stands earlier, all pairs of runs tried."""
+    full = [[(n, x.strip(" \t\r\f\x0b")) for n, x in enumerate(t.split("\n")) if x.strip(" \t\r\f\x0b")] for t in texts]
+    every = [(d, k) for d, lines in enumerate(full) for k in range(len(lines))]
+    out = []
     for d, lines in enumerate(full):
-        gone, own = set(), {}
+        gone = set()
         for k in range(len(lines)):
-            n, key = 0, []
-            for _, line in lines[k:]:
-                key.append(line)
-                n += len(re.split(r"[ \t]+", line))
-                if n >= least:
+            for e, j in every:
+                if (e, j) >= (d, k):
                     break
-            if n < least:
-                continue
-            key = tuple(key)
-            at = (d, own[key]) if key in own else first.get(key)
-            own[key] = k
-            first.setdefault(key, (d, k))
-            if at is None:
-                continue
-            e, j = at
-            same = lambda s: 0 <= k + s < len(lines) and 0 <= j + s < len(full[e]) and lines[k + s][1] == full[e][j + s][1]  # noqa: E731,B023
-            low, high = 0, 0
-            while same(low - 1):
-                low -= 1
-            while same(high):
-                high += 1
-            gone |= {lines[i][0] for i in range(k + low, k + high)}
-        out.append("\n".join(s for n, s in enumerate(texts[d]) if n not in gone))
+                run, n = 0, 0
+                while k + run < len(lines) and j + run < len(full[e]) and lines[k + run][1] == full[e][j + run][1]:
+                    n += len(re.split(r"[ \t]+", lines[k + run][1]))
+                    run += 1
+                if n >= least:
+                    gone |= {lines[i][0] for i in range(k, k + run)}
+        out.append("\n".join(s for n, s in enumerate(texts[d].split("\n")) if n not in gone))
     return out
 
 
+def test_the_end_of_a_run_first_seen_elsewhere_goes(spark):
+    """The first line stands alone in an earlier document than the whole run."""
+    a, b = words(60), words(45, 500)
+    docs = spark.createDataFrame([(1, a), (2, f"{a}\n{b}"), (3, f"{a}\n{b}"), (4, b)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: a, 2: b, 3: "", 4: b}
+
+
 def test_later_runs_of_lines_go(spark, empty):
     rng = np.random.default_rng(3)
     pool = [words(int(n), 1000 * i) for i, n in enumerate(rng.integers(1, 40, 12))] + ["", "  ", words(63, 77)]
@@ -303,3 +302,28 @@ def test_probabilities_are_normalised():
     cells = np.arange(0, 5000, 7)
     log_p = language_model.train(cells, np.ones(len(cells), np.int64), steps=5)
     assert np.allclose((10.0 ** log_p.astype(float)).sum(1), 1, atol=1e-4)
+
+
+# --- workers that cannot import the package ------------------------------------
+
+def test_workers_need_no_package(tmp_path):
+    """In a session of its own, started elsewhere; only the driver's process can import the package."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+seen = spark.range(1).mapInArrow(
+    lambda batches: (b for b in batches if __import__("importlib").util.find_spec("taxaloom") is None), "id long").count()
+assert seen == 1, "workers can import the package"
+sys.path.insert(0, {root!r})
+from taxaloom.llm import bpe, simhash, toxicity
+docs = spark.createDataFrame([(1, "some text"), (2, "Some text"), (3, None)], "doc_id long, text string")
+assert bpe.decode(bpe.encode(docs, {VOCABULARY!r}), {VOCABULARY!r}).filter("text <> ''").count() == 2
+assert sorted(r.component_id for r in simhash.near_duplicates(docs).collect()) == [1, 1, 3]
+assert toxicity.keep_clean(docs, toxicity.Model({{"text": 9.0}}, [3.0, 4.0])).count() == 1
+"""
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300,
+                         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert run.returncode == 0, run.stderr[-2000:]
