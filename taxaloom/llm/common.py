@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Texts are handed to Python functions in pieces of about so many characters.
-PIECE_CHARS = 8 << 20
+PIECE_CHARS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +98,16 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for end in _pieces(batch):
             yield batch.slice(start, end - start)
             start = end
+        del batch
+        give_back_memory()
+
+
+def give_back_memory() -> None:
+    """Freed memory goes back to the system; a worker that waits for its next task would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def _pieces(batch: pa.RecordBatch) -> list[int]:
