@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from taxaloom.llm import bpe, decontaminate, line_dedup, simhash, toxicity
-from taxaloom.llm.common import table
+from taxaloom.llm.common import table, unused
 from taxaloom.llm.queries import VOCABULARY
 from taxaloom.session import cut
 
@@ -18,14 +18,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without later repeats of runs of 50 words or more; n_chars as the text is then."""
-    cleaned = line_dedup.dedup_lines(docs)
-    n_chars = F.when(F.col("lines_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    (deleted,) = unused(docs, "lines_deleted")
+    cleaned = line_dedup.dedup_lines(docs, counter=deleted)
+    n_chars = F.when(F.col(deleted) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: five-word shingles, similarity 0.8 or more."""
-    return simhash.keep_one(docs)
+    """One document of each class of SimHash near-duplicates: three-word shingles, three differing bits at most."""
+    return simhash.keep_one(docs, words=3, differing=3)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
