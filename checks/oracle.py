@@ -21,9 +21,17 @@ CURATION_SCORE = """CASE WHEN data_source_id = 1 THEN 1.0::DOUBLE
 PARTS: dict[str, str] = {name: duck_table(name) for name in TABLES}
 
 
+CAPITAL = "[A-Z][\\p{Ll}-]+"
+
+
+def _is_word(word: str) -> str:
+    return f"(regexp_full_match(coalesce({word}, ''), '[\\p{{Ll}}-]{{2,}}') AND {word} NOT IN ({CONNECTORS}))"
+
+
 def _decomposed(source: str, column: str = "name") -> str:
     return f"""
-SELECT * EXCLUDE (toks, rest, kinds, lead_pos, pos, tail_pos, signed),
+SELECT * EXCLUDE (toks, rest, kinds, lead_pos, pos, tail_pos, signed, t0, t1, t2, p, mixed, nested),
+  named AND mixed AS is_hybrid, CASE WHEN named AND nested THEN regexp_extract(t2[2], '[^()]+') END AS subgenus,
   CASE WHEN named THEN genus0 END AS genus,
   CASE WHEN named THEN list_transform(pos, lambda i: rest[i]) ELSE [] END AS epithets,
   CASE WHEN named THEN 1 + len(pos) ELSE 0 END AS cardinality,
@@ -57,18 +65,33 @@ FROM (
         SELECT *, coalesce(list_filter(range(1, len(rest) + 1), lambda i:
             kinds[i] IN ('o', 'c') OR (kinds[i] = 'r' AND coalesce(kinds[i + 1], '') <> 'e'))[1], len(rest) + 1) AS lead_pos
         FROM (
-          SELECT *, regexp_full_match(toks[1], '[A-Z][a-zë-]+') AND NOT is_virus AS named,
+          SELECT *, regexp_full_match(toks[1], '{CAPITAL}') AND NOT is_virus AS named,
             list_transform(rest, lambda w: CASE WHEN w IN ({MARKS}) THEN 'r' WHEN w IN ({CONNECTORS}) THEN 'c'
-                WHEN regexp_full_match(w, '[a-zë-]{{2,}}') THEN 'e' ELSE 'o' END) AS kinds
+                WHEN regexp_full_match(w, '[\\p{{Ll}}-]{{2,}}') THEN 'e' ELSE 'o' END) AS kinds
           FROM (
-            SELECT *, string_split(clean, ' ') AS toks, string_split(clean, ' ')[2:] AS rest,
+            SELECT *, toks[2:] AS rest, clean <> array_to_string(t2, ' ') AS mixed, len(t2) > len(toks) AS nested,
               regexp_matches(clean, '(?i)\\b[a-z]*(virus|viruses|viroid|phage)\\b') AS is_virus
-            FROM (SELECT *, trim(regexp_replace(coalesce({column}, ''), '\\s+', ' ', 'g')) AS clean
-                  FROM {source})))))))
+            FROM (
+              SELECT *, CASE WHEN regexp_full_match(t2[1], '{CAPITAL}') AND regexp_full_match(coalesce(t2[2], ''), '\\({CAPITAL}\\)')
+                  AND {_is_word('t2[3]')} THEN t2[1:1] || t2[3:] ELSE t2 END AS toks
+              FROM (
+                SELECT *, CASE WHEN NOT regexp_full_match(t1[1], '{CAPITAL}') THEN t1
+                    WHEN t1[p] IN ('×', 'x') AND {_is_word('t1[p + 1]')} THEN t1[1:p - 1] || t1[p + 1:]
+                    WHEN t1[p] LIKE '×%' AND {_is_word('substr(t1[p], 2)')} THEN t1[1:p - 1] || [substr(t1[p], 2)] || t1[p + 1:]
+                    ELSE t1 END AS t2
+                FROM (
+                  SELECT *, CASE WHEN regexp_full_match(coalesce(t1[2], ''), '\\({CAPITAL}\\)') THEN 3 ELSE 2 END AS p
+                  FROM (
+                    SELECT *, CASE WHEN t0[1] IN ('×', 'x') AND regexp_full_match(coalesce(t0[2], ''), '{CAPITAL}') THEN t0[2:]
+                        WHEN regexp_full_match(t0[1], '×{CAPITAL}') THEN [substr(t0[1], 2)] || t0[2:] ELSE t0 END AS t1
+                    FROM (SELECT *, string_split(clean, ' ') AS t0
+                          FROM (SELECT *, trim(regexp_replace(coalesce({column}, ''), '\\s+', ' ', 'g')) AS clean
+                                FROM {source}))))))))))))
 """
 
 
-PARTS["nm"] = f"SELECT * FROM ({_decomposed('names_in')}) WHERE clean <> ''"
+PARTS["nm_all"] = _decomposed("names_in")
+PARTS["nm"] = "SELECT * FROM nm_all WHERE clean <> ''"
 PARTS["rc"] = f"""SELECT d.*, coalesce(s.curation, 'NotCurated') AS curation, s.title_short, s.updated_at
 FROM ({_decomposed('name_records')}) d LEFT JOIN data_sources s ON d.data_source_id = s.id"""
 PARTS["keys"] = "SELECT DISTINCT match_key, cardinality, genus, epithets, canonical_stem FROM nm"
@@ -191,16 +214,25 @@ PARTS["pairs"] = _scored("""SELECT p.profile, p.match_key, p.cardinality AS n_ca
   p.authors_text AS n_authors, p.year AS n_year, m.matched_key, m.match_type, m.edit_distance, m.stem_edit_distance,
   rc.name AS matched_name, rc.canonical_full, rc.cardinality, rc.rank, rc.authors_text, rc.year, rc.parse_quality,
   rc.data_source_id, rc.record_id, rc.current_record_id, rc.is_synonym, rc.curation, rc.title_short,
-  rc.classification_path, rc.classification_ranks
+  rc.classification_path, rc.classification_ranks, rc.classification_ids, rc.canonical_simple, rc.outlink,
+  rc.local_id, rc.entry_date
   FROM profiles p JOIN matched_forms m USING (match_key) JOIN rc ON rc.match_key = m.matched_key""")
 PARTS["best0"] = f"SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY profile ORDER BY {ORDER}) = 1"
 PARTS["per0"] = f"""SELECT * FROM pairs
 QUALIFY row_number() OVER (PARTITION BY profile, data_source_id ORDER BY {ORDER}) = 1"""
-_RESOLVED = """SELECT f.*, c.name AS current_name, c.canonical_full AS current_canonical_full, c.cardinality AS current_cardinality,
+_RESOLVED = """SELECT f.*, c.name AS current_name, c.canonical_full AS current_canonical_full,
+  c.canonical_simple AS current_canonical_simple, c.cardinality AS current_cardinality,
   CASE WHEN c.name IS NULL THEN 'N/A' WHEN f.is_synonym THEN 'Synonym' ELSE 'Accepted' END AS taxonomic_status
 FROM {} f LEFT JOIN rc c ON f.data_source_id = c.data_source_id AND f.current_record_id = c.record_id"""
 PARTS["best"] = _RESOLVED.format("best0")
 PARTS["per"] = _RESOLVED.format("per0")
+PARTS["every"] = _RESOLVED.format("pairs")
+PARTS["ties"] = f"""SELECT profile, string_agg(data_source_id || ':' || record_id, '|' ORDER BY {ORDER}) AS tied
+FROM (SELECT *, rank() OVER (PARTITION BY profile ORDER BY sort_score DESC) AS place FROM pairs)
+WHERE place = 1 GROUP BY profile HAVING count(*) > 1"""
+PARTS["common_lists"] = """SELECT data_source_id, record_id, string_agg(language_code || ':' || name, '|' ORDER BY language_code, name) AS common
+FROM (SELECT DISTINCT data_source_id, record_id, language_code, name FROM vernaculars WHERE language_code IN ('eng', 'deu'))
+GROUP BY data_source_id, record_id"""
 PARTS["sources_num"] = """SELECT m.match_key, count(DISTINCT data_source_id) AS data_sources_num
 FROM matched_forms m JOIN rc ON rc.match_key = m.matched_key GROUP BY m.match_key"""
 PARTS["failed"] = """SELECT row_id, coalesce(name, '') AS name,
@@ -215,22 +247,47 @@ _FLAT_VALUES = """printf('%.5f', f.sort_score) AS "SortScore", f.match_type AS "
 _FLAT_EMPTY = """SELECT row_id, 0::INT AS position, 'SortedMatch' AS "Kind", '0.0' AS "SortScore", 'NoMatch' AS "MatchType",
   '' AS "EditDistance", name AS "ScientificName", '' AS "MatchedName", '' AS "MatchedCanonical", '' AS "TaxonId",
   '' AS "CurrentName", '' AS "TaxonomicStatus", '' AS "DataSourceId", '' AS "DataSourceTitle", '' AS "ClassificationPath", {} AS "Error" """
-PARTS["flat"] = f"""
+# A run with options: capitalized names, species groups, uninomials, chosen sources.
+PARTS["capital_in"] = "SELECT row_id, name, upper(substr(name, 1, 1)) || substr(name, 2) AS verified FROM names_in"
+_OPTED = ["keys", "exact_hits", "stem_hits", "partial_probes", "partial_hits", "genus_hits", "fuzzy_hits", "uninomial_hits",
+          "partial_fuzzy_hits", "group_hits", "profiles", "rows_in", "pairs", "best0", "best", "per", "ties", "sources_num"]
+
+
+def _opted(text: str) -> str:
+    for name in [*_OPTED, "nm", "per0", "matched_forms"]:
+        text = re.sub(rf"\b{name}\b(?!\.)", f"opt_{name}", text)
+    return text
+
+
+for _name in _OPTED:
+    PARTS[f"opt_{_name}"] = _opted(PARTS[_name])
+PARTS["opt_nm"] = f"SELECT * FROM ({_decomposed('capital_in', 'verified')}) WHERE clean <> ''"
+PARTS["opt_matched_forms"] = _opted(_labelled(_longest(_union(
+    "exact_hits", "group_hits", "stem_hits", "fuzzy_hits", "uninomial_hits", "partial_hits", "partial_fuzzy_hits", "genus_hits"))))
+PARTS["opt_per0"] = _opted(PARTS["per0"].replace("FROM pairs", "FROM pairs WHERE data_source_id IN (1, 2, 5, 7)"))
+
+
+def _flat_of(listed: str) -> str:
+    return f"""
 SELECT row_id, 0::INT AS position, 'BestMatch' AS "Kind", {_FLAT_VALUES} FROM rows_in r JOIN best f USING (profile)
 UNION ALL
 SELECT row_id, rn::INT AS position, CASE WHEN rn = 1 THEN 'BestMatch' ELSE 'SortedMatch' END, {_FLAT_VALUES}
 FROM rows_in r JOIN (SELECT *, row_number() OVER (PARTITION BY profile ORDER BY {ORDER}) AS rn
-                     FROM per) f USING (profile)
+                     FROM {listed}) f USING (profile)
 UNION ALL {_FLAT_EMPTY.format("''")} FROM rows_in WHERE profile NOT IN (SELECT profile FROM best)
 UNION ALL {_FLAT_EMPTY.format("error")} FROM failed"""
 
+
+PARTS["flat"] = _flat_of("per")
+PARTS["flat_all"] = _flat_of("every")
+
 # Searches.
 def _facet(key: str) -> str:
     return f"nullif(regexp_extract(query, '(^| ){key}:([^ ]+)', 2), '')"
 
 
 PARTS["nparts"] = """SELECT *, list_filter(string_split(name_text, ' ')[2:], lambda w:
-    regexp_full_match(w, '[a-zë-]{2,}\\.?') AND w NOT IN ('subsp.', 'ssp.', 'var.', 'f.')) AS nwords,
+    regexp_full_match(w, '[\\p{Ll}-]{2,}\\.?') AND w NOT IN ('subsp.', 'ssp.', 'var.', 'f.')) AS nwords,
   list_filter(string_split(name_text, ' ')[2:], lambda w: regexp_full_match(w, '-[0-9]{4}|[0-9]{4}-?([0-9]{4})?'))[1] AS nyear,
   list_filter(string_split(name_text, ' ')[2:], lambda w: regexp_matches(w, '^[A-Z]')) AS nauthors
 FROM (SELECT *, nullif(trim(regexp_extract(query, '(^| )n:([^:]*)( [a-z]+:|$)', 2)), '') AS name_text FROM searches)"""
@@ -275,6 +332,12 @@ PARTS["found"] = f"""SELECT s.query_id, s.all_results, r.* FROM found_forms s JO
        OR (r.year >= coalesce(s.year_from, 0) AND r.year <= coalesce(s.year_to, 9999)))"""
 
 
+PARTS["found_current"] = _RESOLVED.format("found")
+PARTS["found_listed"] = f"""SELECT *, row_number() OVER (PARTITION BY query_id, match_key ORDER BY {ORDER}) AS rn,
+  'FacetedSearch' AS match_type FROM found_current"""
+PARTS["found_names"] = "SELECT query_id AS row_id, match_key AS name FROM found GROUP BY ALL"
+
+
 def uuid5(text: str) -> str:
     digest = f"sha1(unhex('90181196fecf5082a4c1411d4f314cda') || encode({text}))"
     variant = f"substr('89ab', (strpos('0123456789abcdef', substr({digest}, 17, 1)) - 1) % 4 + 1, 1)"

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,6 +28,9 @@ CHOSEN = [1, 2, 5, 7]  # for the operators that choose sources
 EVERY = [0]            # results from all sources
 
 
+_trees: dict[tuple[str, str], search.TaxonTree] = {}
+
+
 class Tables:
     """Stand-in tables at one scale; those prepared for matching are stored once."""
 
@@ -53,6 +56,14 @@ class Tables:
     def scored(self) -> DataFrame:
         return ranking.scored_records(self.records, self.data_sources)
 
+    @property
+    def tree(self) -> search.TaxonTree:
+        """The classifications as intervals, stored once."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _trees:
+            _trees[key] = search.taxon_tree(self.records)
+        return _trees[key]
+
     @property
     def keys(self) -> DataFrame:
         return prepare.name_keys(self.names)
@@ -72,11 +83,11 @@ class Tables:
             lambda: match.match_cascade(self.keys, self.record_keys),
         )
 
-    def verification(self, sources: list[int] | None = None) -> plan.Verification:
+    def verification(self, sources: list[int] | None = None, **options) -> plan.Verification:
         return plan.Verification(
             names=self.names, errors=prepare.error_rows(self.names_in), profiles=self.profiles,
             matches=self.matches(), records=self.scored, prepared_records=self.records,
-            sources=sources,
+            sources=sources, **options,
         )
 
     def fresh(self) -> str:
@@ -142,23 +153,75 @@ def read_data_sources(t: Tables) -> DataFrame:
     return readers.read_data_sources(t.spark, path)
 
 
-_DOCS = """SELECT {id} AS id, r.name, coalesce(f.match_type, 'NoMatch') AS match_type, coalesce(f.curation, 'NotCurated') AS curation,
-  coalesce(n.data_sources_num, 0) AS data_sources_num, coalesce(f.record_id, '') AS best_record_id
-FROM rows_in r LEFT JOIN best f USING (profile) LEFT JOIN sources_num n ON n.match_key = r.match_key
-UNION ALL SELECT {id}, r.name, 'NoMatch', 'NotCurated', 0, '' FROM failed r""".format(id=o.uuid5("r.name"))
+_TOLD = ["local_id", "entry_date", "outlink", "canonical_simple", "current_canonical_simple", "classification_ids"]
 
 
-@query(_DOCS)
-def write_json_docs(t: Tables) -> DataFrame:
+def _documents(prefix: str = "", listed: str = "per") -> str:
+    """Documents of a run over parts with a prefix, as flat text columns."""
+    p = prefix
+    told = ", ".join(f"coalesce(f.{c}, '') AS {c}" for c in _TOLD)
+    none = ", ".join(f"'' AS {c}" for c in _TOLD)
+    return f"""SELECT {o.uuid5('r.name')} AS id, r.name, coalesce(f.match_type, 'NoMatch') AS match_type,
+  coalesce(f.curation, 'NotCurated') AS curation, coalesce(n.data_sources_num, 0) AS data_sources_num,
+  coalesce(f.record_id, '') AS best_record_id, {told}, coalesce(t.tied, '') AS tied, coalesce(c.common, '') AS common,
+  coalesce(l.record_ids, '') AS record_ids, coalesce(l.commons, '') AS commons
+FROM {p}rows_in r LEFT JOIN {p}best f USING (profile) LEFT JOIN {p}sources_num n ON n.match_key = r.match_key
+LEFT JOIN {p}ties t ON t.profile = r.profile
+LEFT JOIN common_lists c ON c.data_source_id = f.data_source_id AND c.record_id = f.current_record_id
+LEFT JOIN (SELECT profile, string_agg(x.data_source_id || ':' || x.record_id, '|' ORDER BY {o.ORDER}) AS record_ids,
+             string_agg(coalesce(v.common, '-'), ' ' ORDER BY {o.ORDER}) AS commons
+           FROM (SELECT profile, data_source_id, record_id, current_record_id, sort_score, matched_name FROM {p}{listed}) x
+           LEFT JOIN (SELECT data_source_id AS of_source, record_id AS of_record, common FROM common_lists) v
+             ON v.of_source = x.data_source_id AND v.of_record = x.current_record_id
+           GROUP BY profile) l ON l.profile = r.profile
+UNION ALL SELECT {o.uuid5('r.name')} AS id, r.name, 'NoMatch', 'NotCurated', 0, '', {none}, '', '', '', '' FROM failed r"""
+
+
+def _read_documents(t: Tables, run: plan.Verification) -> DataFrame:
+    """Documents of a run written as JSON and read back."""
     path = t.fresh()
-    writers.write_json_docs(t.verification(EVERY).documents(), path)
+    writers.write_json_docs(run.documents(), path)
+    best = F.col("bestResult")
+    ids = lambda r: F.concat_ws(":", r["dataSourceId"].cast("string"), r["recordId"])
+
+    def common(r):
+        return F.array_join(F.transform(r["vernaculars"], lambda v: F.concat_ws(":", v["languageCode"], v["name"])), "|")
+
+    shown = {
+        "best_record_id": best["recordId"], "local_id": best["localId"], "entry_date": best["entryDate"],
+        "outlink": best["outlink"], "canonical_simple": best["matchedCanonicalSimple"],
+        "current_canonical_simple": best["currentCanonicalSimple"], "classification_ids": best["classificationIds"],
+        "tied": F.array_join(F.transform("bestResults", ids), "|"), "common": common(best),
+        "record_ids": F.array_join(F.transform("results", ids), "|"),
+        "commons": F.array_join(F.transform("results", lambda r: F.coalesce(common(r), F.lit("-"))), " "),
+    }
     return readers.read_result_docs(t.spark, path).select(
         "id", "name", F.col("matchType").alias("match_type"), "curation",
         F.coalesce("dataSourcesNum", F.lit(0)).cast("long").alias("data_sources_num"),
-        F.coalesce("bestResult.recordId", F.lit("")).alias("best_record_id"),
+        *[F.coalesce(c, F.lit("")).alias(n) for n, c in shown.items()],
     )
 
 
+@query(_documents())
+def write_json_docs(t: Tables) -> DataFrame:
+    return _read_documents(t, t.verification(EVERY, vernaculars=t.vernaculars, languages="eng, deu ,en"))
+
+
+@query(_documents(listed="every"))
+def all_matches_docs(t: Tables) -> DataFrame:
+    return _read_documents(t, t.verification(EVERY, every=True, vernaculars=t.vernaculars, languages=["deu", "eng", "german"]))
+
+
+@query(_documents("opt_"))
+def verify_options(t: Tables) -> DataFrame:
+    """A whole run with options, to documents; sources and languages as texts."""
+    run = plan.verify(
+        t.names_in, t.records, t.data_sources, sources="1, 2,5 ,-3,7", capitalize=True, species_group=True,
+        uninomials=True, vernaculars=t.vernaculars, languages="eng, deu ,en",
+    )
+    return _read_documents(t, run)
+
+
 _RESULTS = "per"
 
 
@@ -186,6 +249,11 @@ def flat_rows(t: Tables) -> DataFrame:
     return t.verification(EVERY).flat()
 
 
+@query("SELECT * FROM flat_all")
+def flat_rows_all(t: Tables) -> DataFrame:
+    return t.verification(EVERY, every=True).flat()
+
+
 @query("SELECT * EXCLUDE (row_id, position) FROM flat")
 def write_delimited(t: Tables) -> DataFrame:
     path = t.fresh()
@@ -214,23 +282,23 @@ def name_ids(t: Tables) -> DataFrame:
     return prepare.name_ids(t.names_in)
 
 
-_DECOMPOSED = """SELECT {id} AS id, name, coalesce(canonical_full, '') AS canonical_full, coalesce(canonical_simple, '') AS canonical_simple,
+_DECOMPOSED = """SELECT {id} AS id, coalesce(name, '') AS name, is_hybrid, coalesce(subgenus, '') AS subgenus, coalesce(canonical_full, '') AS canonical_full, coalesce(canonical_simple, '') AS canonical_simple,
   coalesce(canonical_stem, '') AS canonical_stem, cardinality::INT AS cardinality, coalesce(genus, '') AS genus, array_to_string(epithets, '|') AS epithets,
   rank, authors_text, coalesce(year, 0) AS year, parse_quality, is_virus, match_key FROM {table}"""
 
 
 def _decomposed(df: DataFrame, key: str) -> DataFrame:
-    blank = [F.coalesce(c, F.lit("")).alias(c) for c in ("canonical_full", "canonical_simple", "canonical_stem", "genus")]
+    blank = [F.coalesce(c, F.lit("")).alias(c) for c in ("name", "canonical_full", "canonical_simple", "canonical_stem", "genus", "subgenus")]
     return df.select(
-        F.col(key).cast("string").alias("id"), "name", *blank, "cardinality", _text("epithets"), "rank",
+        F.col(key).cast("string").alias("id"), "is_hybrid", *blank, "cardinality", _text("epithets"), "rank",
         "authors_text", F.coalesce("year", F.lit(0)).alias("year"), "parse_quality", "is_virus", "match_key",
     )
 
 
-@query(_DECOMPOSED.format(id="row_id::VARCHAR", table="nm")
+@query(_DECOMPOSED.format(id="row_id::VARCHAR", table="nm_all")
        + " UNION ALL " + _DECOMPOSED.format(id="record_id", table="rc"))
 def decompose_names(t: Tables) -> DataFrame:
-    names = prepare.decompose_names(t.names_in.filter("trim(name) <> ''"))
+    names = prepare.decompose_names(t.names_in)
     records = prepare.decompose_names(t.name_records)
     return _decomposed(names, "row_id").unionByName(_decomposed(records, "record_id"))
 
@@ -300,11 +368,12 @@ def _stage(hits: str, relaxed: bool = False) -> str:
     return _STAGE.format(o._labelled(hits, relaxed))
 
 
-@query("""SELECT row_id, trim(n.name) AS name, h.n_records, h.data_sources_num FROM names_in n
-JOIN (SELECT name, count(*) AS n_records, count(DISTINCT data_source_id) AS data_sources_num FROM name_records GROUP BY name) h
-  ON trim(n.name) = h.name""")
+@query("""SELECT row_id, n.name, data_source_id, record_id, 'Exact' AS match_type, 0::INT AS edit_distance, 0::INT AS stem_edit_distance
+FROM names_in n JOIN name_records r ON trim(regexp_replace(n.name, '\\s+', ' ', 'g')) = trim(regexp_replace(r.name, '\\s+', ' ', 'g'))""")
 def match_exact_string(t: Tables) -> DataFrame:
-    return match.match_exact_string(t.names_in, t.name_records)
+    return match.match_exact_string(t.names_in, t.name_records).select(
+        "row_id", "name", "data_source_id", "record_id", "match_type", "edit_distance", "stem_edit_distance"
+    )
 
 
 @query(_stage("SELECT * FROM exact_hits WHERE kept > 0"))
@@ -413,16 +482,18 @@ def attach_vernaculars(t: Tables) -> DataFrame:
 
 
 @query(f"""SELECT id AS input, record_id, data_source_id, matched_name FROM (
-  SELECT DISTINCT CASE WHEN row_id % 2 = 0 THEN trim(name) ELSE {o.uuid5('trim(name)')} END AS id, trim(name) AS name
+  SELECT DISTINCT CASE row_id % 3 WHEN 0 THEN trim(name) WHEN 1 THEN replace(trim(name), ' ', '%20')
+    ELSE {o.uuid5('trim(name)')} END AS id, trim(name) AS name
   FROM names_in WHERE trim(name) <> '') i
 JOIN (SELECT name AS matched_name, data_source_id, record_id FROM name_records) r ON i.name = r.matched_name
 QUALIFY row_number() OVER (PARTITION BY id, data_source_id ORDER BY record_id) = 1""")
 def lookup_name_strings(t: Tables) -> DataFrame:
     names = prepare.clean_names(t.names_in)
     ids = prepare.name_ids(names).select(
-        F.when(F.col("row_id") % 2 == 0, F.col("name")).otherwise(F.col("id")).alias("id")
+        F.when(F.col("row_id") % 3 == 0, F.col("name"))
+        .when(F.col("row_id") % 3 == 1, F.replace("name", F.lit(" "), F.lit("%20"))).otherwise(F.col("id")).alias("id")
     )
-    return lookup.lookup_name_strings(ids, t.name_records).select(
+    return lookup.lookup_name_strings(ids, t.records).select(
         "input", "record_id", "data_source_id", "matched_name"
     )
 
@@ -491,10 +562,10 @@ def score_matches(t: Tables) -> DataFrame:
     return found.select("profile", "matched_key", "data_source_id", "record_id", *_scores_as_text())
 
 
-@query(f"SELECT profile, record_id, (row_number() OVER (PARTITION BY profile ORDER BY {o.ORDER}))::INT AS rn FROM per0")
+@query(f"SELECT profile, data_source_id, record_id, (row_number() OVER (PARTITION BY profile ORDER BY {o.ORDER}))::INT AS rn FROM pairs")
 def rank_results(t: Tables) -> DataFrame:
-    found = ranking.best_per_source(t.profiles, t.matches(), t.scored)
-    return ranking.rank_results(found).select("profile", "record_id", "rn")
+    found = t.verification(EVERY).all_matches()
+    return ranking.rank_results(found).select("profile", "data_source_id", "record_id", "rn")
 
 
 @query("SELECT row_id, name, data_source_id, record_id, matched_name, match_type, printf('%.5f', sort_score) AS sort_score FROM rows_in JOIN best0 USING (profile)")
@@ -561,9 +632,15 @@ def keep_input_order(t: Tables) -> DataFrame:
     return results.keep_input_order(t.verification(EVERY).flat())
 
 
-@query("SELECT row_id, trim(name) AS name FROM names_in WHERE row_id < 5000 AND trim(name) <> ''")
+@query("""SELECT rule, row_id, trim(name) AS name FROM (SELECT *, row_number() OVER (ORDER BY row_id) AS place FROM names_in)
+JOIN (VALUES ('plain', 5000), ('vernaculars', 50), ('relaxed', 50), ('given', 7)) v(rule, n) ON place <= n WHERE trim(name) <> ''""")
 def cap_names(t: Tables) -> DataFrame:
-    return prepare.clean_names(prepare.cap_names(t.names_in))
+    rules = {"plain": {}, "vernaculars": {"vernaculars": True}, "relaxed": {"relaxed": True}, "given": {"limit": 7, "relaxed": True}}
+    parts = [
+        prepare.clean_names(prepare.cap_names(t.names_in, **options)).select(F.lit(rule).alias("rule"), "row_id", "name")
+        for rule, options in rules.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(_STAGE.format(o._labelled(o._union("exact_hits", "stem_hits", "genus_hits"))))
@@ -611,74 +688,75 @@ def valid_searches(t: Tables) -> DataFrame:
     )
 
 
-def _report(facet: str, values: str, gender: bool = True) -> str:
-    return f"""SELECT facet, word, n_searches, n_records
-FROM (SELECT {facet} AS facet, count(*) AS n_searches FROM facets WHERE {facet} IS NOT NULL GROUP BY {facet}) a
-JOIN (SELECT word, count(*) AS n_records FROM ({values}) WHERE word IS NOT NULL GROUP BY word) b
-  ON {o._agrees('facet', 'word', gender)}"""
+_FOUND = "SELECT query_id, data_source_id, record_id FROM facets JOIN rc ON "
 
 
-_SPECIES = "SELECT epithets[1] AS word FROM rc"
+def _some(facet: str, words: str, gender: bool = True) -> str:
+    """Records one of whose ``words`` the facet finds."""
+    return _FOUND + f"len(list_filter({words}, lambda w: {o._agrees(facet, 'w', gender)})) > 0"
 
 
-@query(_report("genus", "SELECT genus AS word FROM rc", gender=False))
+@query(_FOUND + o._agrees("facets.genus", "rc.genus", gender=False))
 def facet_genus(t: Tables) -> DataFrame:
-    return search.facet_genus(_facets(t), t.records.filter("genus is not null"))
+    return search.facet_genus(_facets(t), t.records)
 
 
-@query(_report("species", _SPECIES))
+@query(_some("species", "epithets[1:1]"))
 def facet_species(t: Tables) -> DataFrame:
     return search.facet_species(_facets(t), t.records)
 
 
-@query(_report("infraspecies", "SELECT unnest(list_distinct(epithets[2:])) AS word FROM rc"))
+@query(_some("infraspecies", "epithets[2:]"))
 def facet_infraspecies(t: Tables) -> DataFrame:
     return search.facet_infraspecies(_facets(t), t.records)
 
 
-@query(_report("any_epithet", "SELECT unnest(list_distinct(epithets)) AS word FROM rc"))
+@query(_some("any_epithet", "epithets"))
 def facet_any_epithet(t: Tables) -> DataFrame:
     return search.facet_any_epithet(_facets(t), t.records)
 
 
-@query(f"SELECT * FROM ({_report('species', _SPECIES)}) WHERE facet NOT LIKE '%.' AND length(facet) > 1 AND facet <> word")
+@query(f"""SELECT DISTINCT query_id, facet, word, data_source_id, record_id
+FROM (SELECT query_id, species AS facet, 1 AS since, 1 AS until FROM facets UNION ALL SELECT query_id, infraspecies, 2, 99 FROM facets
+      UNION ALL SELECT query_id, any_epithet, 1, 99 FROM facets) f
+JOIN (SELECT data_source_id, record_id, unnest(epithets) AS word, generate_subscripts(epithets, 1) AS place FROM rc) r
+  ON place BETWEEN since AND until
+WHERE facet NOT LIKE '%.' AND length(facet) > 1 AND facet <> word AND {o._agrees('facet', 'word')}""")
 def facet_gender(t: Tables) -> DataFrame:
     return search.facet_gender(_facets(t), t.records)
 
 
-@query(_report("author", "SELECT unnest(list_distinct(string_split(authors_text, '|'))) AS word FROM rc WHERE authors_text <> ''", gender=False))
+@query(_some("author", "list_filter(string_split(authors_text, '|'), lambda x: x <> '')", gender=False))
 def facet_author(t: Tables) -> DataFrame:
     return search.facet_author(_facets(t), t.records)
 
 
-@query("""SELECT coalesce(year_from, 0) AS year_from, coalesce(year_to, 0) AS year_to, n_searches, year, n_records
-FROM (SELECT year_from, year_to, count(*) AS n_searches FROM facets WHERE year_from IS NOT NULL OR year_to IS NOT NULL GROUP BY ALL) a
-JOIN (SELECT year, count(*) AS n_records FROM rc WHERE year IS NOT NULL GROUP BY year) b
-  ON year >= coalesce(year_from, 0) AND year <= coalesce(year_to, 9999)""")
+@query(_FOUND + """coalesce(year_from, year_to) IS NOT NULL AND rc.year >= coalesce(year_from, rc.year)
+  AND rc.year <= coalesce(year_to, rc.year)""")
 def facet_year(t: Tables) -> DataFrame:
-    found = search.facet_year(_facets(t), t.records)
-    return found.select(
-        F.coalesce("year_from", F.lit(0)).alias("year_from"),
-        F.coalesce("year_to", F.lit(0)).alias("year_to"), "n_searches", "year", "n_records",
-    )
+    return search.facet_year(_facets(t), t.records)
 
 
-@query("SELECT query_id, '3,5' AS sources FROM facets")
+@query("""SELECT query_id, data_source_id, record_id FROM (
+  SELECT query_id, unnest(list_distinct(CASE WHEN query_id % 2 = 0 THEN [3, 5] ELSE sources END)) AS chosen FROM facets)
+JOIN rc ON chosen = data_source_id""")
 def facet_sources(t: Tables) -> DataFrame:
-    chosen = search.facet_sources(_facets(t), [3, 5])
-    return chosen.select("query_id", F.array_join(F.col("sources").cast("array<string>"), ",").alias("sources"))
+    """Sources of the searches, and for every other one those of the caller in their place."""
+    facets = _facets(t)
+    chosen = search.facet_sources(facets.filter("query_id % 2 = 0"), [3, 5])
+    both = chosen.unionByName(facets.filter("query_id % 2 <> 0"))
+    return search.records_of_sources(both, t.records)
 
 
-@query("""SELECT a.taxon, a.data_source_id, n_searches, match_key
-FROM (SELECT taxon, coalesce(sources[1], 1) AS data_source_id, count(*) AS n_searches FROM facets WHERE taxon IS NOT NULL GROUP BY ALL) a
-JOIN lineages l ON a.taxon = l.taxon AND a.data_source_id = l.data_source_id""")
+@query("""SELECT query_id, rc.data_source_id, rc.record_id FROM facets
+JOIN lineages l ON facets.taxon = l.taxon AND l.data_source_id = coalesce(sources[1], 1) JOIN rc ON rc.match_key = l.match_key""")
 def facet_taxon(t: Tables) -> DataFrame:
-    return search.facet_taxon(_facets(t), t.records)
+    return search.facet_taxon(_facets(t), t.records, t.tree)
 
 
 @query("""SELECT query_id, match_key AS name, data_source_id, record_id, printf('%.5f', sort_score) AS sort_score FROM found WHERE all_results""")
 def facet_all(t: Tables) -> DataFrame:
-    found = search.search_records(search.facet_all(_facets(t)), t.records, t.scored)
+    found = search.search_records(search.facet_all(_facets(t)), t.records, t.scored, t.tree)
     return found.select(
         "query_id", F.col("matched_key").alias("name"), "data_source_id", "record_id",
         F.format_string("%.5f", "sort_score").alias("sort_score"),
@@ -692,7 +770,7 @@ QUALIFY row_number() OVER (PARTITION BY query_id, match_key ORDER BY {o.ORDER})
 
 
 def _searched(t: Tables) -> DataFrame:
-    found = search.search_batch(_facets(t), t.records, t.scored)
+    found = search.search_batch(_facets(t), t.records, t.scored, t.tree)
     return found.withColumn("sort_score", F.format_string("%.5f", "sort_score"))
 
 
@@ -706,6 +784,22 @@ def order_by_name(t: Tables) -> DataFrame:
     return results.order_by_name(_searched(t))
 
 
+_SEARCH_FLAT = f"""
+SELECT r.row_id, 0::INT AS position, 'BestMatch' AS "Kind", {o._FLAT_VALUES}
+FROM found_names r JOIN found_listed f ON f.query_id = r.row_id AND f.match_key = r.name AND rn = 1
+UNION ALL SELECT r.row_id, rn::INT, CASE WHEN rn = 1 THEN 'BestMatch' ELSE 'SortedMatch' END, {o._FLAT_VALUES}
+FROM found_names r JOIN found_listed f ON f.query_id = r.row_id AND f.match_key = r.name AND all_results
+UNION ALL {o._FLAT_EMPTY.format(
+    "CASE WHEN coalesce(species, infraspecies, any_epithet) IS NULL THEN 'the search needs sp:, isp: or asp:' ELSE '' END")}
+FROM (SELECT *, query_id AS row_id, query AS name FROM facets) WHERE query_id NOT IN (SELECT query_id FROM found)"""
+
+
+@query(_SEARCH_FLAT)
+def search_docs(t: Tables) -> DataFrame:
+    """Searches to documents, and these to flat rows."""
+    return results.flat_rows(search.search_documents(_facets(t), t.records, t.scored, t.tree))
+
+
 @query(f"""SELECT query_id, {o.uuid5('query')} AS id, query AS name, 'NoMatch' AS match_type FROM facets
 WHERE query_id NOT IN (SELECT query_id FROM found)""")
 def search_placeholder(t: Tables) -> DataFrame:
@@ -720,11 +814,13 @@ def error_rows(t: Tables) -> DataFrame:
 
 
 def _run_stream(t: Tables, path: str):
+    """Four files, a micro-batch each."""
     source = t.fresh()
     names = t.names_stream.select("row_id", "name")
-    names.write.parquet(source)
-    stream = t.spark.readStream.schema(names.schema).option("maxFilesPerTrigger", 4).parquet(source)
-    run = verify_stream(stream, t.name_records, t.data_sources, path, t.fresh())
+    for part in range(4):
+        names.filter(F.col("row_id") % 4 == part).coalesce(1).write.parquet(f"{source}/{part}")
+    stream = t.spark.readStream.schema(names.schema).option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
+    run = verify_stream(stream, t.name_records, t.data_sources, path, t.fresh(), trigger={"availableNow": True})
     run.awaitTermination()
     return run
 
@@ -736,14 +832,14 @@ _STREAM_FLAT = (
 )
 
 
-@query()
-def stream_metrics_query(t: Tables) -> DataFrame:
+def _stream_metrics(t: Tables) -> DataFrame:
     path = t.fresh()
     _run_stream(t, path)
-    return stream_metrics(t.spark, path)
+    return stream_metrics(t.spark, path).drop("names_per_second")
 
 
-QUERIES["stream_metrics"] = QUERIES.pop("stream_metrics_query")
+query("""SELECT row_id % 4 AS batch_id, count(*) AS names, count(*) FILTER (trim(coalesce(name, '')) = '') AS errors
+FROM names_stream GROUP BY row_id % 4""", "stream_metrics")(_stream_metrics)
 
 
 def _verify_stream(t: Tables) -> DataFrame:

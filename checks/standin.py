@@ -59,6 +59,7 @@ NAME_RECORDS = f"""
 SELECT CAST(data_source_id AS INT) AS data_source_id, CAST(k AS STRING) AS record_id,
        CASE WHEN k % 50 = 49 THEN genus || ' mosaic virus'
             WHEN k % 100 = 57 THEN lower(genus) || ' ' || epithet || ' ' || CAST(k AS STRING)
+            WHEN k % 100 = 31 THEN genus || ' (Nidus) ' || epithet || ' ' || author
             ELSE canonical || CASE k % 7
                    WHEN 0 THEN ''
                    WHEN 1 THEN ' ' || author || ', ' || CAST(1750 + p_size AS STRING)
@@ -77,7 +78,12 @@ SELECT CAST(data_source_id AS INT) AS data_source_id, CAST(k AS STRING) AS recor
        CASE WHEN k % 6 = 5 THEN 'kingdom|family'
             WHEN k % 9 = 4 THEN 'kingdom||genus|species'
             ELSE 'kingdom|family|genus|species' END AS classification_ranks,
-       'https://example.org/' || CAST(k AS STRING) AS outlink
+       'https://example.org/' || CAST(k AS STRING) AS outlink,
+       CASE WHEN k % 13 = 0 THEN NULL ELSE 'L' || CAST(k AS STRING) END AS local_id,
+       CASE WHEN k % 17 = 0 THEN NULL
+            ELSE CAST(2000 + p_size AS STRING) || '-01-' || CAST(10 + k % 20 AS STRING) END AS entry_date,
+       CASE WHEN k % 11 = 3 THEN ''
+            ELSE '0|t' || CAST(p_size AS STRING) || '|g|' || CAST(k AS STRING) END AS classification_ids
 FROM (
   SELECT pieces.*, first_key,
          CASE WHEN k % 16 = 0 THEN genus
@@ -93,7 +99,7 @@ FROM (
 
 NAMES_IN = f"""
 SELECT o_orderkey AS row_id,
-       CASE o_orderkey % 18
+       CASE o_orderkey % 21
          WHEN 0 THEN binomial
          WHEN 1 THEN lower(substr(binomial, 1, 1)) || substr(binomial, 2)
          WHEN 2 THEN genus || ' ' || typo
@@ -111,7 +117,12 @@ SELECT o_orderkey AS row_id,
          WHEN 14 THEN upper(genus) || ' mosaic virus'
          WHEN 15 THEN binomial || ' var. ' || third || ' ' || author2 || ', 1800'
          WHEN 16 THEN genus || ' novellus ' || epithet
-         ELSE substr(genus, 1, 1) || 'z' || substr(genus, 3) || ' ' || typo || ' spider' END AS name
+         WHEN 17 THEN substr(genus, 1, 1) || 'z' || substr(genus, 3) || ' ' || typo || ' spider'
+         WHEN 18 THEN genus || ' (' || upper(substr(epithet, 1, 1)) || substr(epithet, 2, 4) || ') ' || epithet
+         WHEN 19 THEN CASE o_orderkey % 4 WHEN 0 THEN genus || ' × ' || epithet
+                WHEN 1 THEN genus || ' ×' || epithet || ' ' || author WHEN 2 THEN genus || ' x ' || epithet
+                ELSE '×' || genus || ' ' || epithet END
+         ELSE genus || ' ' || substr(epithet, 1, 3) || 'üöü' END AS name
 FROM (
   SELECT pieces.*, o_orderkey, o_orderpriority, genus || ' ' || epithet AS binomial,
          substr(epithet, 1, 3) || 'x' || substr(epithet, 4) AS typo

@@ -27,17 +27,22 @@ SUFFIXES = [
 ]
 
 VIRUS = r"(?i)\b[a-z]*(virus|viruses|viroid|phage)\b"
-GENUS = r"^([A-Z][a-zë-]+)( |$)"
+CAPITAL = r"[A-Z][\p{Ll}-]+"  # a genus or subgenus
 YEAR = r"\b((?:1[6-9]|20)[0-9]{2})\b"
 
 _MARK = "(?:" + "|".join(m.replace(".", r"\.") for m in RANK_MARKS) + ")"
-_WORD = "(?!(?:" + "|".join(CONNECTORS) + ")(?: |$))[a-zë-]{2,}(?= |$)"
-_HEAD = rf"^[A-Z][a-zë-]+(?= |$)(?: (?:{_MARK} )?{_WORD})*"
+_WORD = "(?!(?:" + "|".join(CONNECTORS) + r")(?: |$))[\p{Ll}-]{2,}(?= |$)"
+_HEAD = rf"^{CAPITAL}(?= |$)(?: (?:{_MARK} )?{_WORD})*"
 _RANKED = rf"(?:^| ){_MARK} {_WORD}"
 _STRAY = rf"(?:^| ){_WORD}"
+# A hybrid sign before the genus, or before the epithet that follows genus and subgenus.
+_HYBRID_GENUS = rf"^(?:× ?|x )(?={CAPITAL}(?: |$))"
+_HYBRID = rf"^({CAPITAL}(?: \({CAPITAL}\))?) (?:× ?|x )(?={_WORD})"
+# What stands in brackets after the genus is a subgenus if an epithet follows, else an author.
+_SUBGENUS = rf"^({CAPITAL}) \(({CAPITAL})\) (?={_WORD})"
 _BETWEEN_AUTHORS = r"[(),;&\[\]]| (?:ex|in|et|and) "
 _YEAR_AFTER_BRACKET = r"\) ?,? ?(?:1[6-9]|20)[0-9]{2}"
-_ENDING = r" ([a-zë-]{3,}?)(?:" + "|".join(SUFFIXES) + ")(?= |$)"
+_ENDING = r" ([\p{Ll}-]{3,}?)(?:" + "|".join(SUFFIXES) + ")(?= |$)"
 
 
 def cleaned(name: Column) -> Column:
@@ -72,21 +77,32 @@ def name_id(name: Column) -> Column:
 def decomposed(df: DataFrame, name: str = "name") -> DataFrame:
     """Add the parts of a scientific name (rules D1-D7).
 
-    A name-like string starts with a genus. Its epithets are the lower-case
-    words that follow, with or without a rank mark, and, inside an authorship,
-    those right after a rank mark. ``match_key`` is the string under which a
-    name meets records: the canonical form without ranks, or, where there is
-    none, the lower-cased virus name or the string as it stands.
+    A name-like string starts with a genus, which a subgenus in brackets may
+    follow; signs of hybrids before genus or epithet are noted and left out.
+    Its epithets are the lower-case words that follow, with or without a rank
+    mark, and, inside an authorship, those right after a rank mark.
+    ``match_key`` is the string under which a name meets records: the canonical
+    form without ranks, or, where there is none, the lower-cased virus name or
+    the string as it stands. A null or blank name has no parts.
     """
     c = F.col
     df = df.withColumn("clean", cleaned(c(name)))
     df = df.withColumns({
         "is_virus": c("clean").rlike(VIRUS),
-        "_head": F.regexp_extract("clean", _HEAD, 0),
+        "_unmixed": F.regexp_replace(F.regexp_replace("clean", _HYBRID_GENUS, ""), _HYBRID, "$1 "),
     })
+    df = df.withColumns({
+        "_subgenus": F.regexp_extract("_unmixed", _SUBGENUS, 2),
+        "_plain": F.regexp_replace("_unmixed", _SUBGENUS, "$1 "),
+    })
+    df = df.withColumn("_head", F.regexp_extract("_plain", _HEAD, 0))
     df = df.withColumns({
         "_named": (c("_head") != "") & ~c("is_virus"),
-        "_tail": F.substr(c("clean"), F.length("_head") + 1),
+        "_tail": F.substr(c("_plain"), F.length("_head") + 1),
+    })
+    df = df.withColumns({
+        "subgenus": F.when(c("_named") & (c("_subgenus") != ""), c("_subgenus")),
+        "is_hybrid": c("_named") & (c("_unmixed") != c("clean")),
     })
     ranked = F.array_join(F.regexp_extract_all("_tail", F.lit(_RANKED), 0), "")
     df = df.withColumns({
@@ -125,7 +141,7 @@ def decomposed(df: DataFrame, name: str = "name") -> DataFrame:
     df = df.withColumn(
         "profile", F.concat_ws("|", "match_key", "rank", "authors_text", c("year").cast("string"))
     )
-    return df.drop("_head", "_named", "_tail", "_authorship")
+    return df.drop("_head", "_named", "_tail", "_authorship", "_unmixed", "_plain", "_subgenus")
 
 
 def _authors_text(authorship: Column) -> Column:

@@ -6,6 +6,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
+from taxaloom.functions.text import language_codes
+
+VERNACULARS = "array<struct<name string, language string, language_code string>>"
+
 
 def resolve_current(matches: DataFrame, prepared_records: DataFrame) -> DataFrame:
     """Add the accepted name of the record. ``shown_name`` is set where it differs."""
@@ -30,27 +34,54 @@ def resolve_current(matches: DataFrame, prepared_records: DataFrame) -> DataFram
     })
 
 
+def _common_names(vernaculars: DataFrame, languages: str | Iterable[str]) -> DataFrame:
+    """Vernaculars in the languages of a list or a comma-separated text of three-letter codes; ``all`` keeps every one."""
+    text = languages if isinstance(languages, str) else ",".join(languages)
+    wanted = language_codes(F.lit(text))
+    chosen = F.array_contains(wanted, "all") | F.array_contains(wanted, F.col("language_code"))
+    return vernaculars.filter(chosen).select(
+        "data_source_id",
+        F.col("record_id").alias("current_record_id"),
+        F.col("name").alias("vernacular"),
+        "language",
+        "language_code",
+    )
+
+
 def attach_vernaculars(
-    matches: DataFrame, vernaculars: DataFrame, languages: Iterable[str]
+    matches: DataFrame, vernaculars: DataFrame, languages: str | Iterable[str]
 ) -> DataFrame:
     """Common names of the matched records, one row each.
 
-    Languages are three-letter codes; ``all`` keeps every language. Names hang
-    on the accepted record, so synonyms find them too. Each matched record
-    appears once, however many inputs it answers.
+    Names hang on the accepted record, so synonyms find them too. Each matched
+    record appears once, however many inputs it answers.
     """
-    wanted = {code for code in languages if len(code) == 3}
     records = matches.select("data_source_id", "record_id", "current_record_id").distinct()
-    if "all" not in wanted:
-        vernaculars = vernaculars.filter(F.col("language_code").isin(sorted(wanted)))
-    common = vernaculars.select(
-        "data_source_id",
-        F.col("record_id").alias("current_record_id"),
-        F.col("name").alias("vernacular"),
-        "language",
-        "language_code",
+    return records.join(_common_names(vernaculars, languages), ["data_source_id", "current_record_id"])
+
+
+def with_vernaculars(
+    matches: DataFrame, vernaculars: DataFrame | None = None, languages: str | Iterable[str] | None = None
+) -> DataFrame:
+    """Every row of ``matches`` with the common names of its accepted record as an
+    array, ordered by language and name; null where there are none.
+
+    Only accepted records of matches are listed. A list is as long as the
+    common names of one record.
+    """
+    if vernaculars is None or not languages:
+        return matches.withColumn("vernaculars", F.lit(None).cast(VERNACULARS))
+    key = ["data_source_id", "current_record_id"]
+    wanted = matches.select(*key).distinct()
+    one = F.struct(F.col("language_code"), F.col("vernacular"), F.col("language"))
+    named = F.transform(
+        F.array_sort(F.collect_set(one)),
+        lambda v: F.struct(
+            v["vernacular"].alias("name"), v["language"].alias("language"), v["language_code"].alias("language_code")
+        ),
     )
-    return records.join(common, ["data_source_id", "current_record_id"])
+    lists = _common_names(vernaculars, languages).join(wanted, key, "left_semi").groupBy(*key).agg(named.alias("vernaculars"))
+    return matches.join(lists, key, "left")
 
 
 def lineage(records: DataFrame) -> DataFrame:
@@ -76,10 +107,12 @@ def lineage(records: DataFrame) -> DataFrame:
     )
 
 
-def sources_matched(matches: DataFrame, records: DataFrame) -> DataFrame:
-    """In how many sources each match key was found."""
-    found = matches.select("matched_key").distinct()
-    held = records.select("matched_key", "data_source_id").join(found, "matched_key", "left_semi").distinct()
+def sources_matched(matches: DataFrame, records: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """In how many sources each match key was found. ``held`` are the distinct
+    forms and sources of an index, else those of found records are taken."""
+    if held is None:
+        found = matches.select("matched_key").distinct()
+        held = records.select("matched_key", "data_source_id").join(found, "matched_key", "left_semi").distinct()
     return (
         matches.select("match_key", "matched_key")
         .join(held, "matched_key")

@@ -28,8 +28,10 @@ def lookup_name_strings(
     wanted = inputs.select(
         "input", F.coalesce(given, name_id(F.col("text")), F.lit("")).alias("name_id")
     )
+    # Prepared records hold the identifier already.
+    identifier = F.col("name_id") if "name_id" in records.columns else name_id(F.col("name"))
     held = filter_sources(records, sources).select(
-        name_id(F.col("name")).alias("name_id"),
+        identifier.alias("name_id"),
         F.col("name").alias("matched_name"),
         "data_source_id", "record_id", "current_record_id", "is_synonym", "classification_path",
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from taxaloom.functions.names import stemmed
+from taxaloom.functions.names import cleaned, stemmed
 from taxaloom.operators.fuzzy import spread_stems, stem_neighbours
 from taxaloom.session import cut
 
@@ -167,12 +167,17 @@ def labelled(hits: DataFrame, relaxed: bool = False) -> DataFrame:
 
 
 def match_exact_string(names: DataFrame, records: DataFrame) -> DataFrame:
-    """Name-strings found literally, with the number of records and sources."""
-    held = records.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.countDistinct("data_source_id").alias("data_sources_num"),
-    )
-    return names.select("row_id", F.trim("name").alias("name")).join(cut(held), "name")
+    """Every record whose name-string is that of an input row, but for white space.
+
+    Distinct strings meet the records first; the pairs are stored, so that rows
+    of a hot string can be split when they join them.
+    """
+    rows = names.withColumn("string", cleaned(F.col("name"))).filter("string <> ''")
+    held = records.withColumnsRenamed({"name": "matched_name"}).withColumn("string", cleaned(F.col("matched_name")))
+    found = cut(held.join(rows.select("string").distinct(), "string"))
+    return rows.join(found, "string").drop("string").withColumns({
+        "match_type": F.lit("Exact"), "edit_distance": F.lit(0), "stem_edit_distance": F.lit(0),
+    })
 
 
 def match_exact_canonical(keys: DataFrame, records: DataFrame) -> DataFrame:
@@ -236,6 +241,7 @@ def match_cascade(
     relaxed: bool = False,
     uninomials: bool = False,
     traces: DataFrame | None = None,
+    stems: DataFrame | None = None,
 ) -> DataFrame:
     """Matches of the first stage that finds anything, for every key.
 
@@ -243,21 +249,23 @@ def match_cascade(
     once. Only keys that neither their own form nor its stem settles go through
     the similarity join, and among these only keys without a partial match
     bring their remainders. A key is left to the earliest stage that found it,
-    as if found names had left after each stage. ``traces`` come from a stored
-    index, together with its ``records``.
+    as if found names had left after each stage. ``traces`` and ``stems``, the
+    records' keys by their stem, come from a stored index, together with its
+    ``records``.
     """
     keys, records = cut(keys), records if traces is not None else cut(records)
+    stems = records if stems is None else stems
     probes = candidates(
         keys, exact_probes(species_group), partial_probes(PARTIAL), genus_probes()
     )
     by_stem = candidates(keys, stem_probes(STEM))
     direct = cut(
-        longest_first(probe_keys(probes, records).unionByName(probe_stems(by_stem, records)))
+        longest_first(probe_keys(probes, records).unionByName(probe_stems(by_stem, stems)))
     )
     rest = keys.join(direct.filter(F.col("stage") <= STEM), "match_key", "left_anti")
     without_part = rest.join(direct.filter(F.col("stage") == PARTIAL), "match_key", "left_anti")
     unsettled = candidates(rest, stem_probes(FUZZY, uninomials)).unionByName(
         candidates(without_part, partial_probes(PARTIAL_FUZZY))
     )
-    similar = probe_similar(unsettled, records, relaxed, traces)
+    similar = probe_similar(unsettled, stems, relaxed, traces)
     return labelled(longest_first(direct.unionByName(similar)), relaxed)

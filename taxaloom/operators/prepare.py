@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from taxaloom.functions import names as fn
+from taxaloom.functions.text import source_ids
+
 
 def clean_names(names: DataFrame, keep_blank: bool = False) -> DataFrame:
     """Trim all whitespace and drop blank names."""
@@ -14,10 +16,14 @@ def clean_names(names: DataFrame, keep_blank: bool = False) -> DataFrame:
     return trimmed if keep_blank else trimmed.filter(F.col("name") != "")
 
 
+def is_blank(name: Column) -> Column:
+    """Whether a name is null or white space only."""
+    return fn.cleaned(name) == ""
+
+
 def error_rows(names: DataFrame) -> DataFrame:
     """Names that cannot be verified, each with its error."""
-    blank = F.trim(F.regexp_replace(F.coalesce("name", F.lit("")), r"(?U)\s+", " ")) == ""
-    return names.filter(blank).select(
+    return names.filter(is_blank(F.col("name"))).select(
         "row_id",
         F.coalesce("name", F.lit("")).alias("name"),
         F.when(F.col("name").isNull(), "name is missing").otherwise("name is blank").alias("error"),
@@ -46,13 +52,25 @@ def distinct_names(names: DataFrame) -> DataFrame:
     return names.groupBy("name").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def cap_names(names: DataFrame, limit: int = 5000) -> DataFrame:
-    """The first names of the input, counted before blanks are dropped."""
+def cap_names(
+    names: DataFrame, limit: int | None = None, vernaculars: bool = False, relaxed: bool = False
+) -> DataFrame:
+    """The first names of the input, counted before blanks are dropped: ``limit``,
+    else 5000, or 50 where common names or relaxed matching are asked for."""
+    if limit is None:
+        limit = 50 if vernaculars or relaxed else 5000
     return names.orderBy("row_id").limit(limit)
 
 
-def filter_sources(records: DataFrame, ids: Iterable[int] | None) -> DataFrame:
-    """Records of the chosen sources. ``[0]`` or nothing keeps all; negatives are void."""
+def filter_sources(records: DataFrame, ids: Iterable[int] | str | None) -> DataFrame:
+    """Records of the chosen sources. ``[0]`` or nothing keeps all; negatives are void.
+
+    Ids may be a comma-separated text, in which a bad item voids the list.
+    """
+    if isinstance(ids, str):
+        wanted = F.coalesce(source_ids(F.lit(ids), strict=True), F.array().cast("array<int>"))
+        everything = (F.size(wanted) == 0) | (wanted == F.array(F.lit(0)))
+        return records.filter(everything | F.array_contains(wanted, F.col("data_source_id").cast("int")))
     wanted = sorted({i for i in ids or [] if i >= 0})
     if not wanted or wanted == [0]:
         return records
@@ -61,14 +79,15 @@ def filter_sources(records: DataFrame, ids: Iterable[int] | None) -> DataFrame:
 
 def prepared_names(names: DataFrame, capitalize: bool = False) -> DataFrame:
     """Clean, decomposed names; ``name`` stays as it came in."""
-    kept = names.filter(F.trim(F.regexp_replace("name", r"(?U)\s+", " ")) != "")
+    kept = names.filter(~is_blank(F.col("name")))
     if not capitalize:
         return fn.decomposed(kept)
     return fn.decomposed(capitalize_names(kept), "verified").drop("verified")
 
 
 def prepared_records(records: DataFrame) -> DataFrame:
-    return fn.decomposed(records)
+    """Decomposed records with the identifiers of their name-strings."""
+    return fn.decomposed(records).withColumn("name_id", fn.name_id(F.col("name")))
 
 
 def name_keys(names: DataFrame) -> DataFrame:

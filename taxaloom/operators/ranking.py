@@ -24,6 +24,7 @@ from taxaloom.functions.scores import (
     parse_quality_score,
     with_scores,
 )
+from taxaloom.operators.order import placed
 from taxaloom.session import cut
 
 # What tells records of one form apart when they are scored against a name.
@@ -31,6 +32,7 @@ RECORD_CLASS = ["matched_key", "matched_rank", "matched_authors_text", "matched_
 RECORD_SCORES = ["curation_score", "acceptance_score", "parse_quality_score"]
 TIES = ["matched_name", "data_source_id", "record_id"]
 ENTRIES = ["rank_entry", "authorship_entry"]
+OPTIONAL = ["local_id", "entry_date", "classification_ids"]  # columns that records may lack
 
 
 def name_profiles(prepared: DataFrame) -> DataFrame:
@@ -63,6 +65,7 @@ def scored_records(prepared: DataFrame, data_sources: DataFrame) -> DataFrame:
         F.col("match_key").alias("matched_key"),
         F.col("name").alias("matched_name"),
         F.col("canonical_full").alias("matched_canonical_full"),
+        F.col("canonical_simple").alias("matched_canonical_simple"),
         F.col("cardinality").alias("matched_cardinality"),
         F.col("rank").alias("matched_rank"),
         F.col("authors_text").alias("matched_authors_text"),
@@ -76,6 +79,7 @@ def scored_records(prepared: DataFrame, data_sources: DataFrame) -> DataFrame:
         "classification_path",
         "classification_ranks",
         "outlink",
+        *[F.col(c) if c in prepared.columns else F.lit(None).cast("string").alias(c) for c in OPTIONAL],
         curation_score().alias("curation_score"),
         acceptance_score().alias("acceptance_score"),
         parse_quality_score().alias("parse_quality_score"),
@@ -257,7 +261,22 @@ def all_matches(profiles: DataFrame, matches: DataFrame, records: DataFrame) ->
 
 
 def rank_results(results: DataFrame) -> DataFrame:
-    """Add ``rn``, the place within the profile. Meant for results per source,
-    of which a profile has no more than there are sources."""
+    """Add ``rn``, the place within the profile, whatever a profile holds.
+
+    All results are numbered in one order, profile first, by ranges (see
+    :func:`~taxaloom.operators.order.placed`), so a profile with a third of
+    them spans many tasks. The place within a profile is the one among all,
+    less that of the profile's first row.
+    """
+    numbered = placed(results, [F.asc("profile"), *match_order()])
+    first = numbered.groupBy("profile").agg(F.min("place").alias("_first"))
+    return numbered.join(first, "profile").withColumn("rn", (F.col("place") - F.col("_first") + 1).cast("int")).drop(
+        "place", "_first"
+    )
+
+
+def rank_per_source(results: DataFrame) -> DataFrame:
+    """:func:`rank_results` for at most one result per profile and source: a
+    profile has no more than there are sources, so a window holds few rows."""
     window = W.partitionBy("profile").orderBy(*match_order())
     return results.withColumn("rn", F.row_number().over(window))

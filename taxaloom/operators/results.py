@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from taxaloom.functions.names import name_id
 from taxaloom.operators.ranking import TIES
 from taxaloom.session import cut
 
+# Columns of flat rows.
 FLAT_COLUMNS = [
     "Kind", "SortScore", "MatchType", "EditDistance", "ScientificName", "MatchedName",
     "MatchedCanonical", "TaxonId", "CurrentName", "TaxonomicStatus", "DataSourceId",
@@ -15,11 +18,12 @@ FLAT_COLUMNS = [
 ]
 
 RESULT_FIELDS = [
-    "data_source_id", "data_source_title", "curation", "record_id", "outlink", "matched_name",
-    "matched_cardinality", "matched_canonical_full", "current_record_id", "current_name",
-    "current_cardinality", "current_canonical_full", "taxonomic_status", "is_synonym",
-    "classification_path", "classification_ranks", "edit_distance", "stem_edit_distance",
-    "match_type", "sort_score",
+    "data_source_id", "data_source_title", "curation", "record_id", "local_id", "outlink", "entry_date",
+    "matched_name", "matched_cardinality", "matched_canonical_simple", "matched_canonical_full",
+    "current_record_id", "current_name", "current_cardinality", "current_canonical_simple",
+    "current_canonical_full", "taxonomic_status", "is_synonym", "classification_path",
+    "classification_ranks", "classification_ids", "edit_distance", "stem_edit_distance",
+    "match_type", "sort_score", "vernaculars",
 ]
 SCORE_FIELDS = [
     "cardinality_score", "rank_score", "fuzzy_less_score", "curation_score",
@@ -27,29 +31,31 @@ SCORE_FIELDS = [
 ]
 
 
-def _result() -> Column:
+def result_struct() -> Column:
     return F.struct(*RESULT_FIELDS, F.struct(*SCORE_FIELDS).alias("score_details"))
 
 
-def _in_order() -> Column:
+def in_order() -> Column:
     """Results of a group in the order of the ranking."""
-    keyed = F.struct((-F.col("sort_score")).alias("_key"), *TIES, _result().alias("_result"))
+    keyed = F.struct((-F.col("sort_score")).alias("_key"), *TIES, result_struct().alias("_result"))
     return F.transform(F.array_sort(F.collect_list(keyed)), lambda r: r["_result"])
 
 
 def profile_documents(
-    best: DataFrame, results: DataFrame | None = None, sources: DataFrame | None = None
+    best: DataFrame, results: DataFrame | None = None, sources: DataFrame | None = None,
+    tied: DataFrame | None = None,
 ) -> DataFrame:
-    """One document per profile. ``results`` holds at most one record per source
-    and profile, so the collected arrays are as short as the list of sources."""
+    """One document per profile. ``results`` and ``tied`` hold records as rows;
+    a document's lists are as long as what it has to show."""
     documents = best.select(
-        "profile", "match_key", "match_type", "curation", _result().alias("best_result")
+        "profile", "match_key", "match_type", "curation", result_struct().alias("best_result")
     )
-    if results is not None:
-        lists = results.groupBy("profile").agg(_in_order().alias("results"))
-        documents = documents.join(lists, "profile", "left")
-    else:
-        documents = documents.withColumn("results", F.slice(F.array("best_result"), 1, 0))
+    for rows, name in ((results, "results"), (tied, "best_results")):
+        if rows is not None:
+            lists = rows.groupBy("profile").agg(in_order().alias(name))
+            documents = documents.join(lists, "profile", "left")
+        else:
+            documents = documents.withColumn(name, F.slice(F.array("best_result"), 1, 0))
     if sources is not None:
         documents = documents.join(sources, "match_key", "left")
     else:
@@ -59,14 +65,14 @@ def profile_documents(
 
 def nest_results(
     names: DataFrame, best: DataFrame, results: DataFrame | None = None,
-    sources: DataFrame | None = None,
+    sources: DataFrame | None = None, tied: DataFrame | None = None,
 ) -> DataFrame:
     """One document per input row.
 
     Documents are put together per profile, stored, and joined to the rows
     once. Against a stored table the rows of a hot profile can be split.
     """
-    documents = cut(profile_documents(best, results, sources))
+    documents = cut(profile_documents(best, results, sources, tied))
     rows = names.select("row_id", name_id(F.col("name")).alias("id"), "name", "profile")
     return rows.join(documents, "profile", "left").select(
         "row_id",
@@ -74,6 +80,7 @@ def nest_results(
         "name",
         F.coalesce("match_type", F.lit("NoMatch")).alias("match_type"),
         "best_result",
+        "best_results",
         "results",
         F.coalesce("data_sources_num", F.lit(0).cast("long")).alias("data_sources_num"),
         F.coalesce("curation", F.lit("NotCurated")).alias("curation"),
@@ -102,43 +109,17 @@ def with_errors(documents: DataFrame, errors: DataFrame) -> DataFrame:
     return documents.unionByName(failed, allowMissingColumns=True)
 
 
-def flat_rows(documents: DataFrame) -> DataFrame:
-    """The 14 text columns, best row first, then the results.
-
-    The first element of the results is a best match too; a document without
-    both gives one empty row.
-    """
-    results = F.coalesce("results", F.slice(F.array("best_result"), 1, 0))
-
-    def row(kind: Column, result: Column) -> Column:
-        return F.struct(kind.alias("Kind"), result.alias("r"))
-
-    best = F.when(
-        F.col("best_result").isNotNull(),
-        F.array(row(F.lit("BestMatch"), F.col("best_result"))),
-    ).when(
-        F.size(results) == 0, F.array(row(F.lit("SortedMatch"), F.lit(None)))
-    ).otherwise(F.slice(F.array(row(F.lit("SortedMatch"), F.col("best_result"))), 1, 0))
-    rest = F.transform(
-        results,
-        lambda r, i: row(F.when(i == 0, "BestMatch").otherwise("SortedMatch"), r),
-    )
-    rows = documents.select(
-        "row_id", "name", "error", F.posexplode(F.concat(best, rest)).alias("position", "row")
-    )
-    r = F.col("row.r")
+def _flat(result: Callable[[str], Column], kind: Column, found: Column) -> list[Column]:
+    """The columns of a flat row but for those of the input; empty where nothing was ``found``."""
 
     def text(field: str) -> Column:
-        return F.coalesce(r[field].cast("string"), F.lit(""))
+        return F.coalesce(result(field).cast("string"), F.lit(""))
 
-    return rows.select(
-        "row_id",
-        "position",
-        F.col("row.Kind").alias("Kind"),
-        F.when(r.isNull(), "0.0").otherwise(F.format_string("%.5f", r["sort_score"])).alias("SortScore"),
-        F.when(r.isNull(), "NoMatch").otherwise(r["match_type"]).alias("MatchType"),
+    return [
+        kind.alias("Kind"),
+        F.when(found, F.format_string("%.5f", result("sort_score"))).otherwise("0.0").alias("SortScore"),
+        F.when(found, result("match_type")).otherwise("NoMatch").alias("MatchType"),
         text("edit_distance").alias("EditDistance"),
-        F.col("name").alias("ScientificName"),
         text("matched_name").alias("MatchedName"),
         text("matched_canonical_full").alias("MatchedCanonical"),
         text("record_id").alias("TaxonId"),
@@ -147,8 +128,63 @@ def flat_rows(documents: DataFrame) -> DataFrame:
         text("data_source_id").alias("DataSourceId"),
         text("data_source_title").alias("DataSourceTitle"),
         text("classification_path").alias("ClassificationPath"),
-        F.coalesce("error", F.lit("")).alias("Error"),
+    ]
+
+
+def _kind(position: Column) -> Column:
+    """The best row and the first of the results are best matches both."""
+    return F.when(position <= 1, "BestMatch").otherwise("SortedMatch")
+
+
+def flat_rows(documents: DataFrame) -> DataFrame:
+    """The 14 text columns, best row first, then the results.
+
+    The first element of the results is a best match too; a document without
+    both gives one empty row.
+    """
+    none = F.slice(F.array("best_result"), 1, 0)
+    best = F.when(F.col("best_result").isNotNull(), F.array("best_result")).otherwise(none)
+    both = F.concat(best, F.coalesce("results", none))
+    rows = documents.select(
+        "row_id", "name", "error", F.when(F.col("best_result").isNull(), 1).otherwise(0).alias("place"),
+        F.posexplode_outer(both).alias("position", "r"),
+    ).withColumn("place", F.col("place") + F.col("position"))
+    found = F.col("r").isNotNull()
+    kind = F.when(found, _kind(F.col("place"))).otherwise("SortedMatch")
+    return rows.select(
+        "row_id", F.coalesce("position", F.lit(0)).alias("position"), "name", "error",
+        *_flat(lambda c: F.col("r")[c], kind, found),
+    ).select("row_id", "position", *_named_columns())
+
+
+def _named_columns() -> list[Column]:
+    given = {"ScientificName": F.col("name"), "Error": F.coalesce("error", F.lit(""))}
+    return [given[c].alias(c) if c in given else F.col(c) for c in FLAT_COLUMNS]
+
+
+def flat_matches(
+    names: DataFrame, errors: DataFrame, best: DataFrame, ranked: DataFrame | None = None
+) -> DataFrame:
+    """The rows of :func:`flat_rows` without documents between, from results as rows.
+
+    ``ranked`` results have their place ``rn`` in the profile. They are
+    formatted once per profile and stored, and no list of a profile is put
+    together, so a profile may have any number of results.
+    """
+    position = F.col("position")
+    placed = best.withColumn("position", F.lit(0))
+    if ranked is not None:
+        placed = placed.unionByName(ranked.withColumnRenamed("rn", "position"), allowMissingColumns=True)
+    formatted = cut(placed.select("profile", "position", *_flat(F.col, _kind(position), F.lit(True))))
+    rows = names.select("row_id", "name", "profile").join(formatted, "profile", "left").drop("profile")
+    rows = rows.withColumn("error", F.lit(None).cast("string")).unionByName(
+        errors.select("row_id", "name", "error"), allowMissingColumns=True
     )
+    empty = {"Kind": "SortedMatch", "SortScore": "0.0", "MatchType": "NoMatch"}
+    return rows.select(
+        "row_id", F.coalesce("position", F.lit(0)).alias("position"), "name", "error",
+        *[F.coalesce(c, F.lit(empty.get(c, ""))).alias(c) for c in FLAT_COLUMNS if c not in ("ScientificName", "Error")],
+    ).select("row_id", "position", *_named_columns())
 
 
 def keep_input_order(rows: DataFrame) -> DataFrame:
@@ -157,8 +193,10 @@ def keep_input_order(rows: DataFrame) -> DataFrame:
 
 
 def order_by_name(documents: DataFrame) -> DataFrame:
-    """Rows by name; those of equal names by their place in the input, if they have one."""
-    return documents.orderBy("name", *[c for c in ("row_id", "position") if c in documents.columns])
+    """Rows by name; those of equal names by their place in the input or by search,
+    so that a name of very many rows is no single range."""
+    order = [c for c in ("row_id", "query_id", "position", "record_id") if c in documents.columns]
+    return documents.orderBy("name", *order)
 
 
 def batch_metadata(

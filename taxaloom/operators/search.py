@@ -9,10 +9,18 @@ epithet facets, and records grouped by what the other facets look at.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import partial, reduce
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from taxaloom.functions.names import RANK_MARKS, name_id, stemmed
+from taxaloom.functions.names import RANK_MARKS, cleaned, name_id, stemmed
 from taxaloom.functions.scores import with_scores
+from taxaloom.functions.text import source_ids
+from taxaloom.operators.attach import resolve_current, with_vernaculars
+from taxaloom.operators.order import placed
+from taxaloom.operators.results import in_order, result_struct
 from taxaloom.session import cut
 
 # Keys of the query language.
@@ -24,27 +32,32 @@ FACETS = [
 ]
 MAIN_SOURCE = 1  # its classification answers tx: where no source is given
 ANY = "*"
+RECORD = ["data_source_id", "record_id"]  # what names a record
+YEAR_LEVELS = 32   # sizes of blocks of years, from one up by powers of two
+STRIP = 64         # places of a strip of the classification's order
 
 _NEXT = rf"(?=\s+(?:{'|'.join(KEYS)}):|\s*$)"
 _MARKS = "|".join(m.replace(".", r"\.") for m in RANK_MARKS)
-_N_WORDS = rf"^[A-Z][a-zë-]*\.?((?: (?:{_MARKS}|[a-zë-]{{2,}}\.?)(?= |$))*)"
+_N_WORDS = rf"^[A-Z][\p{{Ll}}-]*\.?((?: (?:{_MARKS}|[\p{{Ll}}-]{{2,}}\.?)(?= |$))*)"
 _YEARS = r"(?:^| )(-[0-9]{4}|[0-9]{4}-?(?:[0-9]{4})?)(?= |$)"
 
 
 def _value(key: str) -> Column:
-    found = F.trim(F.regexp_extract("query", rf"(?:^|\s){key}:(.*?){_NEXT}", 1))
+    found = F.trim(F.regexp_extract("_query", rf"(?:^|\s){key}:(.*?){_NEXT}", 1))
     return F.when(found != "", found)
 
 
 def extract_facets(searches: DataFrame) -> DataFrame:
-    """Facets of each ``query`` as columns. Parts of ``n:`` fill what is not given; a list of sources without a number counts as not given."""
-    df = searches.withColumn("name_text", _value("n"))
+    """Facets of each ``query`` as columns. Parts of ``n:`` fill what is not given; a list of
+    sources without a number counts as not given, bad and negative items are skipped."""
+    df = searches.withColumn("_query", cleaned(F.col("query")))
+    df = df.withColumn("name_text", _value("n"))
     words = F.regexp_extract("name_text", _N_WORDS, 1)
     df = df.withColumns({
         "_words": F.split(
             F.trim(F.regexp_replace(words, rf"(?:^| )(?:{_MARKS})(?= |$)", "")), " "
         ),
-        "_genus": F.regexp_extract("name_text", r"^([A-Z][a-zë-]*\.?)(?: |$)", 1),
+        "_genus": F.regexp_extract("name_text", r"^([A-Z][\p{Ll}-]*\.?)(?: |$)", 1),
         "_tail": F.regexp_replace("name_text", _N_WORDS, ""),
     })
     author = F.btrim(F.regexp_replace("_tail", _YEARS, ""), F.lit(" (),"))
@@ -61,7 +74,7 @@ def extract_facets(searches: DataFrame) -> DataFrame:
         "_year": F.coalesce(_value("y"), present(F.regexp_extract("_tail", _YEARS, 1))),
         "taxon": _value("tx"),
         "all_results": F.coalesce(_value("all").startswith("t"), F.lit(False)),
-        "_ds": F.array_compact(F.transform(F.split(_value("ds"), ","), lambda s: F.trim(s).try_cast("int"))),
+        "_ds": source_ids(_value("ds")),
     }).withColumn("sources", F.when(F.size("_ds") > 0, F.col("_ds")))
     since = F.regexp_extract("_year", "^([0-9]{4})", 1)
     until = F.regexp_extract("_year", "([0-9]{4})$", 1)
@@ -133,111 +146,184 @@ def _wanted(facets: DataFrame, *columns: str) -> DataFrame:
     return facets.select(F.explode(values).alias("facet")).distinct()
 
 
-def facet_report(
-    facets: DataFrame, facet: str, values: DataFrame, gender: bool = False
-) -> DataFrame:
-    """What a facet finds: per facet word the record words, each with the
-    number of records and of searches behind it. ``values`` holds ``word``
-    once per record."""
-    held = values.groupBy("word").agg(F.count(F.lit(1)).alias("n_records"))
-    asked = (
-        facets.filter(F.col(facet).isNotNull())
-        .groupBy(F.col(facet).alias("facet"))
-        .agg(F.count(F.lit(1)).alias("n_searches"))
-    )
-    pairs = facet_words(asked.select("facet"), held.select("word"), gender)
-    return pairs.join(asked, "facet").join(held, "word")
+def _with_words(facets: DataFrame, facet: str, words: DataFrame, gender: bool = False) -> DataFrame:
+    """(query_id, data_source_id, record_id): records that a facet finds by one of their ``words``.
+
+    Distinct facet words meet distinct record words; then records are listed
+    once per facet word, however many of their words it finds and however many
+    searches ask for it, and stored, so that the searches of a frequent one can
+    be split among tasks.
+    """
+    pairs = facet_words(_wanted(facets, facet), words.select("word").distinct(), gender)
+    hits = cut(words.join(pairs, "word").select("facet", *RECORD).distinct())
+    asked = facets.select("query_id", F.col(facet).alias("facet"))
+    return asked.join(hits, "facet").select("query_id", *RECORD)
+
+
+def _words(records: DataFrame, words: Column) -> DataFrame:
+    """Records with each of an array's words."""
+    return records.select(*RECORD, F.explode(words).alias("word"))
+
+
+def _later_epithets() -> Column:
+    return F.slice("epithets", F.lit(2), F.size("epithets"))
 
 
 def facet_genus(facets: DataFrame, records: DataFrame) -> DataFrame:
-    return facet_report(facets, "genus", records.select(F.col("genus").alias("word")))
+    """Records of the genus of each search."""
+    return _with_words(facets, "genus", _words(records, F.array_compact(F.array("genus"))))
 
 
 def facet_species(facets: DataFrame, records: DataFrame) -> DataFrame:
-    words = records.select(F.get("epithets", 0).alias("word")).filter("word is not null")
-    return facet_report(facets, "species", words, gender=True)
+    """Records whose first epithet is that of the search, in any gender."""
+    return _with_words(facets, "species", _words(records, F.slice("epithets", 1, 1)), gender=True)
 
 
 def facet_infraspecies(facets: DataFrame, records: DataFrame) -> DataFrame:
-    words = records.select(F.explode(F.array_distinct(F.slice("epithets", F.lit(2), F.size("epithets")))).alias("word"))
-    return facet_report(facets, "infraspecies", words, gender=True)
+    """Records with the epithet of the search after their first, in any gender."""
+    return _with_words(facets, "infraspecies", _words(records, _later_epithets()), gender=True)
 
 
 def facet_any_epithet(facets: DataFrame, records: DataFrame) -> DataFrame:
-    words = records.select(F.explode(F.array_distinct("epithets")).alias("word"))
-    return facet_report(facets, "any_epithet", words, gender=True)
+    """Records with the epithet of the search anywhere, in any gender."""
+    return _with_words(facets, "any_epithet", _words(records, F.col("epithets")), gender=True)
 
 
 def facet_gender(facets: DataFrame, records: DataFrame) -> DataFrame:
-    """Whole species facets with the epithets of other gender they find."""
-    found = facet_species(facets, records)
-    return found.filter(~_abbreviated(F.col("facet")) & (F.col("facet") != F.col("word")))
+    """(query_id, facet, word, data_source_id, record_id): records that a whole epithet
+    of a search finds by an epithet of another gender, wherever each stands."""
+    roles = {"species": F.slice("epithets", 1, 1), "infraspecies": _later_epithets(), "any_epithet": F.col("epithets")}
+    found = []
+    for facet, epithets in roles.items():
+        words = _words(records, F.array_distinct(epithets))
+        pairs = facet_words(_wanted(facets, facet), words.select("word").distinct(), gender=True)
+        pairs = pairs.filter(~_abbreviated(F.col("facet")) & (F.col("facet") != F.col("word")))
+        hits = cut(words.join(pairs, "word"))
+        asked = facets.select("query_id", F.col(facet).alias("facet"))
+        found.append(asked.join(hits, "facet").select("query_id", "facet", "word", *RECORD))
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def facet_author(facets: DataFrame, records: DataFrame) -> DataFrame:
-    words = records.select(F.explode(F.array_distinct("authors")).alias("word"))
-    return facet_report(facets, "author", words)
+    """Records with the author of each search among theirs."""
+    return _with_words(facets, "author", _words(records, F.col("authors")))
 
 
 def _in_years(year: Column) -> Column:
-    since = F.coalesce("year_from", F.lit(0))
-    until = F.coalesce("year_to", F.lit(9999))
-    return (year >= since) & (year <= until)
+    since, until = F.col("year_from"), F.col("year_to")
+    return (since.isNull() | (year >= since)) & (until.isNull() | (year <= until))
+
+
+def _blocks(first: Column, last: Column) -> Column:
+    """The fewest aligned blocks of 1, 2, 4 ... numbers that make up a range, two of a size at most."""
+
+    def of_size(level: Column) -> Column:
+        size = F.pow(F.lit(2.0), level).cast("long")
+        low, high = F.ceil(first / size), F.floor((last + 1) / size) - 1
+        at = lambda n: F.struct(level.alias("level"), n.cast("long").alias("block"))
+        return F.array_compact(F.array(
+            F.when((low <= high) & (low % 2 == 1), at(low)), F.when((low <= high) & (high % 2 == 0), at(high))
+        ))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(YEAR_LEVELS - 1)), of_size))
 
 
 def facet_year(facets: DataFrame, records: DataFrame) -> DataFrame:
-    """Years of records in the range of each search, with their records.
+    """Records with a year in the range of each search; both ends count, either may be open.
 
-    Ranges meet the distinct years, of which names hold a few hundred at most
-    (1600-2099), spelled out as an equi-join.
+    A range is cut into aligned blocks of years, a year is in one block of each
+    size, and both meet in an equi-join: each year of a range exactly once.
     """
-    held = (
-        records.filter(F.col("year").isNotNull())
-        .groupBy("year")
-        .agg(F.count(F.lit(1)).alias("n_records"))
-    )
-    asked = (
-        facets.filter(F.coalesce("year_from", "year_to").isNotNull())
-        .groupBy("year_from", "year_to")
-        .agg(F.count(F.lit(1)).alias("n_searches"))
-    )
-    first = F.greatest(F.coalesce("year_from", F.lit(1600)), F.lit(1600))
-    last = F.least(F.coalesce("year_to", F.lit(2099)), F.lit(2099))
-    spelled = asked.filter(first <= last).withColumn("year", F.explode(F.sequence(first, last)))
-    return spelled.join(held, "year")
+    years = records.select("year").filter("year >= 0").distinct()
+    dated = facets.filter(F.coalesce("year_from", "year_to").isNotNull())
+    ranges = dated.select("year_from", "year_to").distinct()
+    blocks = ranges.withColumn("at", F.explode(_blocks(
+        F.greatest(F.coalesce("year_from", F.lit(0)), F.lit(0)).cast("long"),
+        F.coalesce("year_to", F.lit((1 << YEAR_LEVELS - 1) - 1)).cast("long"),
+    ))).select("year_from", "year_to", "at.level", "at.block")
+    leveled = years.select("year", F.explode(F.sequence(F.lit(0), F.lit(YEAR_LEVELS - 1))).alias("level"))
+    in_blocks = leveled.withColumn("block", F.floor(F.col("year") / F.pow(F.lit(2.0), F.col("level"))).cast("long"))
+    pairs = blocks.join(in_blocks, ["level", "block"]).select("year_from", "year_to", "year")
+    hits = cut(pairs.join(records.select(*RECORD, "year"), "year"))
+    same = [dated[c].eqNullSafe(hits[c]) for c in ("year_from", "year_to")]
+    return dated.join(hits, same[0] & same[1]).select(dated["query_id"], *[hits[c] for c in RECORD])
 
 
-def facet_taxon(facets: DataFrame, records: DataFrame) -> DataFrame:
-    """Canonical forms below each higher taxon, by the classification of the
-    first source of the search or else of the main source."""
-    asked = (
-        facets.filter(F.col("taxon").isNotNull())
-        .select("taxon", _classifying_source().alias("data_source_id"))
-        .groupBy("taxon", "data_source_id")
-        .agg(F.count(F.lit(1)).alias("n_searches"))
-    )
-    return asked.join(_classified(records, asked), ["taxon", "data_source_id"]).select(
-        "taxon", "data_source_id", "n_searches", "match_key"
+def records_of_sources(facets: DataFrame, records: DataFrame) -> DataFrame:
+    """Records of the sources that each search names."""
+    asked = facets.select("query_id", F.explode(F.array_distinct("sources")).alias("data_source_id"))
+    return asked.join(cut(records.select(*RECORD)), "data_source_id").select("query_id", *RECORD)
+
+
+class TaxonTree(NamedTuple):
+    """Classifications of all sources as intervals: in the order of their paths,
+    what lies below a taxon is a range."""
+
+    forms: DataFrame  # data_source_id, match_key, place: where a form's path stands
+    taxa: DataFrame   # data_source_id, taxon, first, last: places of the paths below a taxon
+
+
+def taxon_tree(records: DataFrame) -> TaxonTree:
+    """Number the distinct paths of each source and note the range below each of their taxa.
+
+    Paths are ordered taxon by taxon, so all that begin alike stand together. A
+    taxon of one name at several places of a tree has several ranges.
+    """
+    parts = F.split("classification_path", r"\|")
+    # The least of all characters parts the taxa of a path, else "Ab" comes between "A" and "A|B".
+    path = F.array_join(parts, "\u0001").alias("path")
+    classified = records.filter("classification_path <> ''").select("data_source_id", "match_key", path)
+    paths = cut(placed(classified.select("data_source_id", "path").distinct(), [F.asc("data_source_id"), F.asc("path")]))
+    taxa = F.split("path", "\u0001")
+    each = paths.select("data_source_id", "place", taxa.alias("taxa"), F.posexplode(taxa).alias("depth", "taxon"))
+    ranges = each.groupBy("data_source_id", F.slice("taxa", F.lit(1), F.col("depth") + 1).alias("node"), "taxon").agg(
+        F.min("place").alias("first"), F.max("place").alias("last")
     )
+    forms = classified.join(paths, ["data_source_id", "path"]).select("data_source_id", "match_key", "place").distinct()
+    return TaxonTree(cut(forms), cut(ranges.drop("node")))
 
 
 def _classifying_source() -> Column:
     return F.coalesce(F.try_element_at("sources", F.lit(1)), F.lit(MAIN_SOURCE))
 
 
-def _classified(records: DataFrame, asked: DataFrame) -> DataFrame:
-    """Canonical forms below the taxa that are ``asked`` for, by source."""
-    taxa = F.array_distinct(F.split("classification_path", r"\|"))
-    wanted = asked.select("taxon", "data_source_id")
+def _below(asked: DataFrame, tree: TaxonTree) -> DataFrame:
+    """(taxon, by_source, match_key): forms below the taxa that are ``asked`` for, each once.
+
+    A range is spelled out in strips of places, of which a form is in one; so
+    it gives few more rows than a ``STRIP``-th of the paths below it.
+    """
+    strip = lambda c: F.floor(F.col(c) / STRIP)
+    ranges = (
+        asked.select("taxon", "by_source").distinct()
+        .join(tree.taxa.withColumnRenamed("data_source_id", "by_source"), ["taxon", "by_source"])
+        .withColumn("strip", F.explode(F.sequence(strip("first"), strip("last"))))
+    )
+    forms = tree.forms.withColumnRenamed("data_source_id", "by_source").withColumn("strip", strip("place"))
     return (
-        records.select("match_key", "data_source_id", F.explode(taxa).alias("taxon"))
-        .join(wanted, ["taxon", "data_source_id"], "left_semi")
-        .distinct()
+        ranges.join(forms, ["by_source", "strip"]).filter("place >= first AND place <= last")
+        .select("taxon", "by_source", "match_key").distinct()
     )
 
 
-def _forms_found(searches: DataFrame, records: DataFrame) -> DataFrame:
-    """Pairs ``(search, match_key)`` that agree in genus, epithets and taxon."""
+def facet_taxon(facets: DataFrame, records: DataFrame, tree: TaxonTree | None = None) -> DataFrame:
+    """Records of the forms below the taxon of each search, by the classification
+    of the first source of the search or else of the main source."""
+    asked = facets.filter(F.col("taxon").isNotNull()).select("query_id", "taxon", _classifying_source().alias("by_source"))
+    below = _below(asked, tree or taxon_tree(records))
+    hits = cut(below.join(records.select("match_key", *RECORD), "match_key").drop("match_key"))
+    return asked.join(hits, ["taxon", "by_source"]).select("query_id", *RECORD)
+
+
+def _forms_found(
+    searches: DataFrame, records: DataFrame, tree: TaxonTree | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The searches with their ``signature``, and the forms of each signature.
+
+    A signature is what a search asks of canonical forms: genus, epithets and
+    taxon. Forms are found once for each, stored, and meet the searches last,
+    whatever authors, years and sources these ask for.
+    """
     forms = (
         records.filter(F.col("cardinality") > 1)
         .select("match_key", "genus", "epithets")
@@ -248,18 +334,24 @@ def _forms_found(searches: DataFrame, records: DataFrame) -> DataFrame:
         .when(F.col("infraspecies").isNotNull(), "infraspecies")
         .otherwise("any")
     )
-    asked = searches.withColumns({
+    asked_of_forms = [
+        "role", "epithet_facet", "genus_facet", "infraspecies", "any_epithet", "taxon", "by_source",
+    ]
+    signed = searches.withColumns({
         "role": role,
         "epithet_facet": F.coalesce("species", "infraspecies", "any_epithet"),
         "genus_facet": F.coalesce("genus", F.lit(ANY)),
-    })
+        "by_source": F.when(F.col("taxon").isNotNull(), _classifying_source()),
+    }).withColumn("signature", F.to_json(F.struct(*asked_of_forms)))
+    asked = cut(signed.select("signature", *asked_of_forms).distinct())
     epithets = facet_words(
         asked.select(F.col("epithet_facet").alias("facet")).distinct(),
         forms.select(F.explode("epithets").alias("word")).distinct(),
         gender=True,
     )
     genera = facet_words(
-        _wanted(asked, "genus"), forms.select(F.col("genus").alias("word")).distinct()
+        asked.select(F.col("genus_facet").alias("facet")).filter(F.col("facet") != ANY).distinct(),
+        forms.select(F.col("genus").alias("word")).distinct(),
     )
     roles = F.when(F.col("place") == 0, F.array(F.lit("species"), F.lit("any"))).otherwise(
         F.array(F.lit("infraspecies"), F.lit("any"))
@@ -276,21 +368,21 @@ def _forms_found(searches: DataFrame, records: DataFrame) -> DataFrame:
     listed = named.select("match_key", "role", "epithet_facet", "genus_facet").unionByName(
         by_epithet.select("match_key", "role", "epithet_facet", F.lit(ANY).alias("genus_facet"))
     )
-    found = asked.join(listed, ["role", "epithet_facet", "genus_facet"])
     words = F.split("match_key", " ")
     later, every = F.slice(words, F.lit(3), F.size(words)), F.slice(words, F.lit(2), F.size(words))
-    found = cut(
-        found.filter(
-            _some_word("infraspecies", later) & _some_word("any_epithet", every)
-        ).drop("role", "epithet_facet", "genus_facet")
+    found = asked.join(listed, ["role", "epithet_facet", "genus_facet"]).filter(
+        _some_word("infraspecies", later) & _some_word("any_epithet", every)
+    ).select("signature", "match_key", "taxon", "by_source")
+    if asked.filter("taxon IS NOT NULL").isEmpty():
+        return signed.drop(*asked_of_forms[:3], "by_source"), cut(found.select("signature", "match_key"))
+    found = cut(found)
+    below = found.filter("taxon IS NOT NULL")
+    below = below.join(
+        _below(asked.filter("taxon IS NOT NULL"), tree or taxon_tree(records)),
+        ["taxon", "by_source", "match_key"], "left_semi",
     )
-    below = found.filter(F.col("taxon").isNotNull()).withColumn(
-        "data_source_id", _classifying_source()
-    )
-    with_taxon = below.join(
-        _classified(records, below), ["match_key", "taxon", "data_source_id"], "left_semi"
-    ).drop("data_source_id")
-    return found.filter(F.col("taxon").isNull()).unionByName(with_taxon)
+    forms_of = found.filter("taxon IS NULL").unionByName(below).select("signature", "match_key")
+    return signed.drop(*asked_of_forms[:3], "by_source"), cut(forms_of)
 
 
 def _some_word(facet: str, words: Column) -> Column:
@@ -373,9 +465,9 @@ def _class_columns() -> list[Column]:
     ]
 
 
-def _asked_of_records(found: DataFrame) -> DataFrame:
+def _asked_of_records(signed: DataFrame, found: DataFrame) -> DataFrame:
     """Searches with their forms and what they ask of the records."""
-    return found.select(
+    return signed.join(found, "signature").select(
         "search", "match_key", "year_from", "year_to",
         F.coalesce("author", F.lit(ANY)).alias("author_facet"),
         F.explode(_source_facets()).alias("source_facet"),
@@ -383,7 +475,9 @@ def _asked_of_records(found: DataFrame) -> DataFrame:
     )
 
 
-def search_batch(facets: DataFrame, records: DataFrame, scored: DataFrame) -> DataFrame:
+def search_batch(
+    facets: DataFrame, records: DataFrame, scored: DataFrame, tree: TaxonTree | None = None
+) -> DataFrame:
     """Names found by each search: the best record and the number of records.
 
     ``records`` are prepared, ``scored`` the same with their scores. Equal
@@ -391,10 +485,10 @@ def search_batch(facets: DataFrame, records: DataFrame, scored: DataFrame) -> Da
     """
     valid = facets.filter(F.coalesce("species", "infraspecies", "any_epithet").isNotNull())
     searches = cut(valid.select(*FACETS).distinct().withColumn("search", _search_key()))
-    found = _forms_found(searches, records)
+    signed, found = _forms_found(searches, records, tree)
     groups = _record_groups(searches, _ranked_records(_of_forms(scored, found)))
     hits = (
-        _asked_of_records(found)
+        _asked_of_records(signed, found)
         .join(groups, ["match_key", "author_facet", "source_facet", "dated"])
         .filter(~F.col("dated") | _in_years(F.col("year")))
     )
@@ -430,17 +524,19 @@ def _search_key() -> Column:
     return F.to_json(F.struct(*FACETS))
 
 
-def search_records(facets: DataFrame, records: DataFrame, scored: DataFrame) -> DataFrame:
+def search_records(
+    facets: DataFrame, records: DataFrame, scored: DataFrame, tree: TaxonTree | None = None
+) -> DataFrame:
     """All records behind the names of searches that ask for all results."""
     wanted = facets.filter("all_results").filter(
         F.coalesce("species", "infraspecies", "any_epithet").isNotNull()
     )
     searches = cut(wanted.select(*FACETS).distinct().withColumn("search", _search_key()))
-    found = _forms_found(searches, records)
+    signed, found = _forms_found(searches, records, tree)
     scored = _of_forms(scored, found)
     classes = scored.select(*_class_columns()).distinct()
     hits = (
-        _asked_of_records(found)
+        _asked_of_records(signed, found)
         .join(_listed(searches, classes), ["match_key", "author_facet", "source_facet"])
         .filter(~F.col("dated") | _in_years(F.col("year")))
         .select("search", "match_key", "source", "authors_text", "year")
@@ -464,9 +560,47 @@ def search_records(facets: DataFrame, records: DataFrame, scored: DataFrame) ->
 def search_placeholder(facets: DataFrame, found: DataFrame) -> DataFrame:
     """One row for each search without hits: the query text and its identifier."""
     empty = facets.join(found.select("query_id").distinct(), "query_id", "left_anti")
+    errors = ["error"] if "error" in facets.columns else []
     return empty.select(
         "query_id",
         name_id(F.col("query")).alias("id"),
         F.col("query").alias("name"),
         F.lit("NoMatch").alias("match_type"),
+        *errors,
     )
+
+
+def search_documents(
+    facets: DataFrame, records: DataFrame, scored: DataFrame, tree: TaxonTree | None = None,
+    vernaculars: DataFrame | None = None, languages: str | Iterable[str] | None = None,
+) -> DataFrame:
+    """One document for each name that a search finds, as :func:`~taxaloom.operators.results.nest_results`
+    gives for names; ``row_id`` is the search's. Searches that ask for all results
+    list all records of a name, the others its best alone. A search without
+    hits has one document with its text, and its error if it is no valid one.
+    """
+    best = search_batch(facets, records, scored, tree).select("query_id", "cardinality", *RECORD)
+    told = partial(_told, records=records, vernaculars=vernaculars, languages=languages)
+    best = told(cut(best).join(_ranked_records(scored), RECORD))
+    lists = told(search_records(facets, records, scored, tree))
+    lists = lists.groupBy("query_id", "matched_key").agg(in_order().alias("results"))
+    found = cut(best.select("query_id", "matched_key", "cardinality", "curation", result_struct().alias("best_result")))
+    documents = found.join(lists, ["query_id", "matched_key"], "left").select(
+        F.col("query_id").alias("row_id"), name_id(F.col("matched_key")).alias("id"), F.col("matched_key").alias("name"),
+        F.lit("FacetedSearch").alias("match_type"), "cardinality", "best_result", "results", "curation",
+    )
+    empty = search_placeholder(valid_searches(facets), found).select(
+        F.col("query_id").alias("row_id"), "id", "name", "match_type", F.lit("NotCurated").alias("curation"), "error"
+    )
+    none = F.lit(None)
+    documents = documents.unionByName(empty, allowMissingColumns=True)
+    return documents.withColumns({
+        "best_results": F.slice(F.array("best_result"), 1, 0), "data_sources_num": none.cast("long"),
+    })
+
+
+def _told(
+    rows: DataFrame, records: DataFrame, vernaculars: DataFrame | None, languages: str | Iterable[str] | None
+) -> DataFrame:
+    rows = rows.withColumns({"match_type": F.lit("FacetedSearch"), "stem_edit_distance": F.lit(0)})
+    return with_vernaculars(resolve_current(rows, records), vernaculars, languages)

@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from taxaloom.operators import attach, match, prepare, ranking, results
-from taxaloom.session import cut
+from taxaloom.session import bucketed, cut
 
 
 @dataclass(frozen=True)
 class RecordIndex:
-    """Records prepared once for many runs, such as the batches of a stream."""
+    """Records prepared once for many runs, such as the batches of a stream.
+
+    All but the records themselves is stored in buckets of what it is joined
+    on, so that a run shuffles its own names only.
+    """
 
     prepared: DataFrame        # decomposed records
-    keys: DataFrame            # distinct match keys
+    keys: DataFrame            # distinct match keys, by key
+    stems: DataFrame           # the same by stem
     traces: DataFrame          # their stems, spread for the similarity join
-    entries: DataFrame         # first record per form and agreement
+    entries: DataFrame         # first record per form and agreement, with its accepted name
     source_entries: DataFrame  # the same per source
+    held: DataFrame            # in which sources a form is
     relaxed: bool
 
 
@@ -29,12 +36,18 @@ def build_index(
     prepared = cut(prepare.prepared_records(records))
     keys = cut(prepare.record_keys(prepared))
     scored = ranking.scored_records(prepared, data_sources)
+    # The first record of all sources is the first of the first records of each.
+    per_source = cut(ranking.record_index(scored, per_source=True))
+    best = ranking.first_of(per_source, ["matched_key", *ranking.ENTRIES], ranking.record_order())
+    by_entry = ["matched_key", *ranking.ENTRIES]
     return RecordIndex(
         prepared=prepared,
-        keys=keys,
-        traces=cut(match.record_traces(keys, relaxed)),
-        entries=cut(ranking.record_index(scored)),
-        source_entries=cut(ranking.record_index(scored, per_source=True)),
+        keys=bucketed(keys, "matched_key"),
+        stems=bucketed(keys, "matched_stem"),
+        traces=bucketed(match.record_traces(keys, relaxed), "trace"),
+        entries=bucketed(attach.resolve_current(best, prepared), *by_entry),
+        source_entries=bucketed(attach.resolve_current(per_source, prepared), *by_entry),
+        held=bucketed(scored.select("matched_key", "data_source_id").distinct(), "matched_key"),
         relaxed=relaxed,
     )
 
@@ -49,14 +62,22 @@ class Verification:
     matches: DataFrame    # match key -> keys of records
     records: DataFrame    # records with their own scores
     prepared_records: DataFrame
-    sources: list[int] | None
+    sources: list[int] | str | None
     index: RecordIndex | None = None
+    every: bool = False   # list all records of the chosen sources, not the best of each
+    vernaculars: DataFrame | None = None
+    languages: str | Iterable[str] | None = None
+
+    def _told(self, found: DataFrame) -> DataFrame:
+        """Matched records with their accepted and common names."""
+        if "current_name" not in found.columns:  # an index has it
+            found = attach.resolve_current(found, self.prepared_records)
+        return attach.with_vernaculars(found, self.vernaculars, self.languages)
 
     def best(self) -> DataFrame:
         """First record of each profile, with its accepted name."""
         entries = self.index.entries if self.index else None
-        found = ranking.best_result(self.profiles, self.matches, self.records, entries)
-        return attach.resolve_current(found, self.prepared_records)
+        return self._told(ranking.best_result(self.profiles, self.matches, self.records, entries))
 
     def per_source(self) -> DataFrame:
         """First record of each profile in each chosen source."""
@@ -64,21 +85,27 @@ class Verification:
         entries = None
         if self.index:
             entries = prepare.filter_sources(self.index.source_entries, self.sources)
-        found = ranking.best_per_source(self.profiles, self.matches, chosen, entries)
-        return attach.resolve_current(found, self.prepared_records)
+        return self._told(ranking.best_per_source(self.profiles, self.matches, chosen, entries))
 
     def all_matches(self) -> DataFrame:
         """Every record of the chosen sources, for each profile."""
         chosen = prepare.filter_sources(self.records, self.sources)
         return ranking.all_matches(self.profiles, self.matches, chosen)
 
+    def listed(self) -> DataFrame | None:
+        """What is listed after the best record: nothing without sources, else one
+        record of each or, with ``every``, all."""
+        if not self.sources:
+            return None
+        return self._told(self.all_matches()) if self.every else self.per_source()
+
     def tied(self) -> DataFrame:
         """All records that share the best score of a profile."""
         found = ranking.best_result(self.profiles, self.matches, self.records)
         return ranking.best_results(found, self.matches, self.records)
 
     def sources_num(self) -> DataFrame:
-        return attach.sources_matched(self.matches, self.records)
+        return attach.sources_matched(self.matches, self.records, self.index.held if self.index else None)
 
     def per_row(self, found: DataFrame) -> DataFrame:
         """Results of profiles as results of input rows."""
@@ -86,12 +113,17 @@ class Verification:
 
     def documents(self) -> DataFrame:
         """One document per input row, errors included."""
-        lists = self.per_source() if self.sources else None
-        nested = results.nest_results(self.names, self.best(), lists, self.sources_num())
+        nested = results.nest_results(
+            self.names, self.best(), self.listed(), self.sources_num(), self._told(self.tied())
+        )
         return results.with_errors(nested, self.errors)
 
     def flat(self) -> DataFrame:
-        return results.flat_rows(self.documents())
+        """The flat rows of the documents, without putting these together."""
+        found = self.listed()
+        if found is not None:
+            found = ranking.rank_results(found) if self.every else ranking.rank_per_source(found)
+        return results.flat_matches(self.names, self.errors, self.best(), found)
 
 
 def verify(
@@ -99,16 +131,22 @@ def verify(
     records: DataFrame | RecordIndex,
     data_sources: DataFrame,
     *,
-    sources: list[int] | None = None,
+    sources: list[int] | str | None = None,
+    all_matches: bool = False,
     capitalize: bool = False,
     species_group: bool = False,
     relaxed: bool = False,
     uninomials: bool = False,
+    vernaculars: DataFrame | None = None,
+    languages: str | Iterable[str] | None = None,
 ) -> Verification:
     """Match ``names (row_id, name)`` to ``records`` and prepare their ranking.
 
     ``records`` are plain, or prepared by ``prepare.prepared_records`` and
-    stored, or a whole index that several runs share.
+    stored, or a whole index that several runs share. With ``sources``, ids or
+    a comma-separated text of ids, the best record of each is listed after the
+    best of all, with ``all_matches`` all of its records. ``vernaculars`` and
+    ``languages`` give each record its common names.
     """
     index = records if isinstance(records, RecordIndex) else None
     if index:
@@ -134,6 +172,7 @@ def verify(
             relaxed,
             uninomials,
             index.traces if index else None,
+            index.stems if index else None,
         )
     )
     return Verification(
@@ -145,6 +184,9 @@ def verify(
         prepared_records=prepared,
         sources=sources,
         index=index,
+        every=all_matches,
+        vernaculars=vernaculars,
+        languages=languages,
     )
 
 

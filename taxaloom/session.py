@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +58,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scope: ContextVar[str | None] = ContextVar("folder of the running scope", default=None)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`cut` writes within are removed at the end, as those of a
+    micro-batch once its output is written."""
+    folder = f"{shared_folder(spark)}/scope-{uuid.uuid4().hex}"
+    outer = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(outer)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -62,6 +82,21 @@ def cut(df: DataFrame) -> DataFrame:
     again, a lost executor costs nothing, and join sizes are known from files.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    path = f"{_scope.get() or shared_folder(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` stored in buckets of ``columns`` and sorted by them: joins on all of
+    these neither shuffle nor sort it. There are as many buckets as partitions
+    of a shuffle, so that the other side is dealt out alike."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"taxaloom_{uuid.uuid4().hex}"
+    (
+        df.repartition(buckets, *columns)  # a task writes one bucket
+        .write.bucketBy(buckets, *columns).sortBy(*columns)
+        .option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    )
+    return spark.table(name)

@@ -4,8 +4,8 @@ import pytest
 
 from conftest import unscalable
 from taxaloom.functions.names import decomposed
-from taxaloom.operators import match, prepare
-from taxaloom.operators.fuzzy import spread_stems, stem_neighbours
+from taxaloom.operators import fuzzy, match, prepare
+from taxaloom.operators.fuzzy import deletions, half_deletions, spread_stems, stem_neighbours
 
 
 def distance(a: str, b: str) -> int:
@@ -57,6 +57,28 @@ def test_no_stem_join_group_grows_with_a_common_genus(frame):
     assert largest < 10
 
 
+def test_halves_have_few_keys(frame):
+    stems = frame([("Abcdefghij klmnopqrst",), ("Ab c",), ("Ab",), ("A",)], "stem string")
+    for size, slack in ((lambda n: n + 4, 0), (lambda n: 5 * n + 12, 2)):
+        counts = half_deletions(stems, "stem", slack).groupBy("stem").count().collect()
+        assert all(r["count"] <= size(len(r.stem)) for r in counts) and len(counts) == 4
+    assert deletions(stems, "stem", 2).filter("length(stem) > 9").count() > 200
+
+
+def test_halves_that_many_stems_share(frame, monkeypatch):
+    """A genus in every stem is no key; the result stays that of all pairs."""
+    monkeypatch.setattr(fuzzy, "CROWDED", 10)
+    rng = random.Random(11)
+    right = {"Commongenus " + "".join(rng.choice("abcd") for _ in range(rng.randint(4, 8))) for _ in range(300)}
+    left = {s[:k] + rng.choice(["", "x"]) + s[k + rng.randint(0, 1):] for s in list(right)[:80] for k in (3, len(s) - 2)}
+    expected = {(a, b, distance(a, b)) for a in left for b in right if distance(a, b) <= 2 and a.count(" ") == b.count(" ")}
+    traces = spread_stems(frame([(s,) for s in right], "matched_stem string"), "matched_stem", 2)
+    assert traces.filter("matched_stem IS NULL").count() > 0
+    assert traces.filter("matched_stem IS NOT NULL").groupBy("trace").count().agg({"count": "max"}).first()[0] < 60
+    found = neighbours(frame, left, right, 2, guard=False)
+    assert {tuple(r) for r in found.select("stem", "matched_stem", "stem_edit_distance").collect()} == expected
+
+
 RECORDS = [
     "Adiantum davidii var. longispinum", "Pardosa moesta Banks, 1892", "Bubo bubo (Linnaeus, 1758)",
     "Bubo bubo bubo", "Bubo", "Plantago major L.", "Pomatomus saltatrix", "Pomatomus",

@@ -104,7 +104,7 @@ def test_more_than_a_hundred_epithets_are_kept(frame):
     from taxaloom.functions.names import decomposed
 
     name = "Aus " + " ".join(f"{'abcdefghij'[k // 10 % 10]}{'abcdefghij'[k % 10]}albus" for k in range(130))
-    row = decomposed(frame([(name,)], "name string")).first()
+    row = fn.decomposed(frame([(name,)], "name string")).first()
     assert row.cardinality == 131 and len(row.epithets) == 130
 
 
@@ -114,3 +114,16 @@ def test_unicode_spaces_are_spaces(frame):
     names = frame([(1, " Aus bus "), (2, "  ")], "row_id long, name string")
     assert [r.name for r in clean_names(names).collect()] == ["Aus bus"]
     assert [r.row_id for r in error_rows(names).collect()] == [2]
+
+
+@pytest.mark.parametrize("name,key,subgenus,hybrid", [
+    ("Bus (Cus) albus", "Bus albus", "Cus", False), ("Bus (Cus) albus L., 1758", "Bus albus", "Cus", False),
+    ("Bus × albus", "Bus albus", None, True), ("Bus ×albus Smith", "Bus albus", None, True), ("Bus x albus", "Bus albus", None, True),
+    ("Bus (Cus) × albus", "Bus albus", "Cus", True), ("× Bus albus", "Bus albus", None, True), ("×Bus", "Bus", None, True),
+    ("Bus müelleri", "Bus müelleri", None, False), ("Bus (Smith) 1900", "Bus", None, False),
+    ("Bus (Smith) ex Jones", "Bus", None, False), ("Bus albus (Smith, 1900)", "Bus albus", None, False),
+    ("Büs albus var. nïger", "Büs albus nïger", None, False), (None, "verbatim:", None, False), ("  ", "verbatim:", None, False),
+])
+def test_subgenera_hybrids_and_accents(frame, name, key, subgenus, hybrid):
+    row = fn.decomposed(frame([(name,)], "name string")).first()
+    assert (row.match_key, row.subgenus, row.is_hybrid) == (key, subgenus, hybrid)

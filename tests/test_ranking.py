@@ -1,9 +1,10 @@
 import itertools
 import random
+import re
 
 from pyspark.sql import functions as F
 
-from conftest import unscalable
+from conftest import physical, unscalable
 from taxaloom.functions import scores
 from taxaloom.operators import ranking
 from taxaloom.plans.verify import verify
@@ -123,6 +124,55 @@ def test_rank_results_has_no_gaps(frame):
     assert counts.filter("m <> n").count() == 0
 
 
+def windows_of(df):
+    """What the windows of a plan are partitioned by."""
+    return re.findall(r"Window \[.*\], \[(.*?)\](?:, \[|\n)", physical(df))
+
+
+def test_places_of_all_matches(frame):
+    """A third of all results is of one profile; no task holds a profile."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(3000):
+        profile = "hot" if i % 3 == 0 else f"p{rng.randint(0, 300)}"
+        rows.append((profile, rng.choice([0.5, 0.25, 0.75]), f"n{rng.randint(0, 9)}", rng.randint(1, 4), f"{i:05d}"))
+    results = frame(rows, "profile string, sort_score double, matched_name string, data_source_id int, record_id string")
+    ranked = ranking.rank_results(results.repartition(7))
+    assert not any(w.startswith("profile") for w in windows_of(ranked))
+    want = {}
+    for n, r in enumerate(sorted(rows, key=lambda r: (r[0], -r[1], *r[2:]))):
+        want.setdefault(r[0], []).append(r[4])
+    got = {}
+    for r in ranked.orderBy("profile", "rn").collect():
+        got.setdefault(r.profile, []).append(r.record_id)
+        assert len(got[r.profile]) == r.rn
+    assert got == want
+    assert ranking.rank_results(results.limit(0)).count() == 0
+
+
+def test_all_matches_in_flat_rows_and_documents(frame):
+    done = run(frame, sources=[0], all_matches=True)
+    pairs = done.all_matches().collect()
+    order = lambda p: (-p.sort_score, p.matched_name, p.data_source_id, p.record_id)
+    by_profile = {}
+    for p in sorted(pairs, key=order):
+        by_profile.setdefault(p.profile, []).append(p.record_id)
+    profiles = {r.row_id: r.profile for r in done.names.collect()}
+    flat = {}
+    for r in done.flat().orderBy("row_id", "position").collect():
+        flat.setdefault(r.row_id, []).append((r.Kind, r.TaxonId))
+    for row_id, profile in profiles.items():
+        ids = by_profile.get(profile)
+        kinds = ["BestMatch", "BestMatch"] + ["SortedMatch"] * (len(ids or []) - 1)
+        want = list(zip(kinds, [ids[0], *ids])) if ids else [("SortedMatch", "")]
+        assert flat[row_id] == want
+    for d in done.documents().collect():
+        assert [r.record_id for r in d.results or []] == by_profile.get(profiles[d.row_id], [])
+        tied = [p for p in pairs if p.profile == profiles[d.row_id] and p.sort_score == max(
+            q.sort_score for q in pairs if q.profile == p.profile)]
+        assert [r.record_id for r in d.best_results or []] == ([p.record_id for p in sorted(tied, key=order)] if len(tied) > 1 else [])
+
+
 def test_a_hot_form_is_never_paired_off(frame):
     """All names and records share a form: candidates stay within the entries
     of the index, far below the pairs, and the choice is that of all pairs."""

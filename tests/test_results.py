@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from taxaloom.operators import attach, lookup, results
+from taxaloom.operators import attach, lookup, match, results
 from taxaloom.plans.verify import build_index, map_checklist, no_match_rows, verify
 from taxaloom.session import cut
 from taxaloom.sources import readers, writers
@@ -154,3 +154,32 @@ def test_source_stats(frame):
     extra = sources.unionByName(frame([(9, "Nine", "S9", "NotCurated", "2024-01-01")], SOURCES))
     counts = {r.id: r.record_count for r in attach.source_stats(records, extra).collect()}
     assert counts == {1: 2, 4: 2, 9: 0}
+
+
+def test_flat_rows_without_documents(done, documents):
+    plain = results.flat_rows(documents)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, done.flat().collect()))
+
+
+def test_documents_with_common_names_and_ties(frame, spark, tmp_path):
+    names, records, sources = tables(frame)
+    common = frame([(1, "a", "bus bird", "English", "eng"), (1, "a", "oiseau", "French", "fra"), (4, "c", "x", "German", "deu")],
+                   "data_source_id int, record_id string, name string, language string, language_code string")
+    more = records.unionByName(records.filter("record_id = 'a'").withColumn("record_id", F.lit("e")))
+    run = verify(names, more, sources, sources="1, 4", vernaculars=common, languages="fra, eng,german")
+    writers.write_json_docs(run.documents(), f"{tmp_path}/docs")
+    docs = {d.name: d for d in readers.read_result_docs(spark, f"{tmp_path}/docs").collect() if d.name}
+    # The synonym has the names of its accepted record.
+    assert [(v.name, v.languageCode) for v in docs["Aus cus"].bestResult.vernaculars] == [("bus bird", "eng"), ("oiseau", "fra")]
+    assert [r.vernaculars and r.vernaculars[0].name for r in docs["Aus bus"].results] == ["bus bird", None]
+    assert [r.recordId for r in docs["Aus bus"].bestResults] == ["a", "e"] and docs["Aus cus"].bestResults is None
+    none = verify(names, records, sources, sources="1,x").documents()
+    assert none.filter("size(results) = 2").count() == 2  # a bad item voids the list: all sources
+
+
+def test_exact_strings(frame):
+    names, records, _ = tables(frame)
+    odd = frame([(9, " Aus\u00a0bus "), (10, "aus bus"), (11, None), (12, "Aus bus")], "row_id long, name string")
+    rows = match.match_exact_string(names.unionByName(odd), records).collect()
+    assert {(r.row_id, r.record_id, r.match_type) for r in rows} == {
+        (0, "c", "Exact"), (1, "b", "Exact"), (9, "c", "Exact"), (12, "c", "Exact")}

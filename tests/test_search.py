@@ -1,8 +1,12 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import unscalable
 from taxaloom.functions.names import decomposed
-from taxaloom.operators import ranking, search
+from taxaloom.operators import ranking, results, search
+from taxaloom.session import cut
 
 RECORD = (
     "data_source_id int, record_id string, name string, is_synonym boolean,"
@@ -117,3 +121,85 @@ def test_gender_finds_other_endings(frame):
 def test_short_patterns_meet_each_word_once(frame):
     words = frame([(f"a{i:03d}",) for i in range(300)], "word string")
     assert search.facet_words(frame([("a.",), ("a0.",)], "facet string"), words).count() == 400
+
+
+FACETS = [
+    (search.facet_genus, "g:Pom. sp:x", {"1", "2", "3"}), (search.facet_species, "sp:majus", {"4", "5"} & {"5"}),
+    (search.facet_infraspecies, "isp:daurica", {"6"}), (search.facet_any_epithet, "asp:bubo", {"7", "8"}),
+    (search.facet_author, "sp:x au:Linn.", {"1", "2", "7"}), (search.facet_year, "sp:x y:1758-1766", {"1", "2", "7"}),
+    (search.facet_year, "sp:x y:1888", {"5"}), (search.facet_year, "sp:x y:1766-", {"1", "2", "5"}),
+    (search.facet_year, "sp:x y:-1700", {"3"}), (search.facet_year, "sp:x y:1800-1700", set()),
+    (search.records_of_sources, "sp:x ds:12,3,12", {"3", "5", "8"}), (search.records_of_sources, "sp:x ds:99", set()),
+    (search.facet_taxon, "sp:x tx:Animalia", {"1", "2", "3"}), (search.facet_taxon, "sp:x tx:Biota ds:3", {"8"}),
+    (search.facet_taxon, "sp:x tx:Bio", set()),
+]
+
+
+def test_facets_give_records(frame, tables):
+    asked = facets(frame, *[q for _, q, _ in FACETS])
+    for n, (facet, query, expected) in enumerate(FACETS):
+        found = facet(asked.filter(f"query_id = {n}"), tables[0])
+        assert unscalable(found) == []
+        rows = [r.record_id for r in found.collect()]
+        assert set(rows) == expected and len(rows) == len(set(rows)), query
+
+
+def test_year_blocks_cover_each_year_once(frame):
+    ranges = [(a, b) for a in range(0, 40, 3) for b in (a - 1, a, a + 1, a + 7, 1999)] + [(1750, 1799)]
+    df = frame(ranges, "first long, last long")
+    for r in df.select("first", "last", search._blocks(F.col("first"), F.col("last")).alias("blocks")).collect():
+        years = [y for b in r.blocks for y in range(b.block << b.level, b.block + 1 << b.level)]
+        assert sorted(years) == list(range(r.first, r.last + 1)) and len(r.blocks) <= 2 * 11
+
+
+def test_taxa_are_ranges(frame):
+    """Names that begin alike, a taxon at two places, and one that is its own parent."""
+    rng = random.Random(4)
+    taxa = ["A", "AB", "A B", "B", "C", "A|B|C"]
+    paths = ["|".join(rng.choice(taxa) for _ in range(rng.randint(1, 5))) for _ in range(400)] + ["", "A||B"]
+    rows = [(rng.randint(1, 3), str(i), f"Gen{chr(97 + i % 26)} spe{chr(97 + i // 26)}", False, str(i), p, "", "") for i, p in enumerate(paths)]
+    prepared = decomposed(frame(rows, RECORD))
+    tree = search.taxon_tree(prepared)
+    spans = tree.taxa.collect()
+    assert all(r.first <= r.last for r in spans)
+    asked = facets(frame, *[f"sp:x tx:{t} ds:{s}" for t in ("A", "AB", "B", "C") for s in (1, 2, 3)])
+    got = {(r.query_id, r.record_id) for r in search.facet_taxon(asked, prepared, tree).collect()}
+    want = {
+        (q, r[1]) for q, (t, s) in enumerate((t, s) for t in ("A", "AB", "B", "C") for s in (1, 2, 3))
+        for r in rows if r[0] == s and t in r[5].split("|")
+    }
+    assert got == want and len(want) > 300
+
+
+def test_equal_epithets_and_many_authors_store_forms_once(frame, tables, monkeypatch):
+    """1,000 searches that differ in their author alone have one signature."""
+    stored = []
+    monkeypatch.setattr(search, "cut", lambda df: stored.append(cut(df)) or stored[-1])
+    asked = facets(frame, *[f"sp:saltator au:A{n}." for n in range(1000)])
+    signed, found = search._forms_found(
+        cut(asked.select(*search.FACETS).distinct().withColumn("search", search._search_key())), tables[0])
+    assert signed.count() == 1000 and found.count() == 1
+    assert max(df.count() for df in stored) <= 2
+
+
+def test_search_documents_and_their_rows(frame, tables):
+    asked = facets(frame, "sp:saltator all:t", "sp:salt.", "g:Bubo", "sp:nihil")
+    common = frame([(1, "1", "bluefish", "English", "eng")],
+                   "data_source_id int, record_id string, name string, language string, language_code string")
+    documents = cut(search.search_documents(asked, *tables, vernaculars=common, languages="eng"))
+    rows = {(d.row_id, d.name): d for d in documents.collect()}
+    assert set(rows) == {(0, "Pomatomus saltator"), (1, "Pomatomus saltator"), (1, "Pomatomus saltatrix"), (2, "g:Bubo"), (3, "sp:nihil")}
+    first = rows[0, "Pomatomus saltator"]
+    assert first.best_result.record_id == "1" and [r.record_id for r in first.results] == ["1", "3"]
+    assert [v.name for v in first.best_result.vernaculars] == ["bluefish"] and first.match_type == "FacetedSearch"
+    assert rows[1, "Pomatomus saltator"].results is None and rows[2, "g:Bubo"].error and not rows[3, "sp:nihil"].error
+    flat = results.flat_rows(documents).collect()
+    assert sorted((r.row_id, r.position, r.Kind, r.TaxonId) for r in flat) == [
+        (0, 0, "BestMatch", "1"), (0, 1, "BestMatch", "1"), (0, 2, "SortedMatch", "3"), (1, 0, "BestMatch", "1"),
+        (1, 0, "BestMatch", "2"), (2, 0, "SortedMatch", ""), (3, 0, "SortedMatch", "")]
+
+
+def test_rows_of_one_name_are_ordered_by_search(frame):
+    df = frame([(q, "same", str(r)) for q in range(5) for r in range(3)], "query_id int, name string, record_id string")
+    got = [(r.query_id, r.record_id) for r in results.order_by_name(df.repartition(4)).collect()]
+    assert got == sorted(got)

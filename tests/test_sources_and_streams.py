@@ -1,8 +1,11 @@
+import os
+
 from pyspark.sql import functions as F
 
 from conftest import physical
-from taxaloom.plans.verify import verify
-from taxaloom.session import cut, shared_folder
+from taxaloom.operators import match, prepare
+from taxaloom.plans.verify import build_index, verify
+from taxaloom.session import cut, scope, shared_folder
 from taxaloom.sources import readers, writers
 from taxaloom.streaming.verify_stream import stream_metrics, verify_stream
 from test_results import tables
@@ -70,3 +73,49 @@ def test_stream_equals_batch(frame, spark, tmp_path):
     assert sorted(map(tuple, rows.drop("batch").collect())) == sorted(map(tuple, batch.collect()))
     progress = stream_metrics(spark, f"{tmp_path}/out").collect()
     assert sum(r.names for r in progress) == 6 and all(r.names_per_second > 0 for r in progress)
+    assert sum(r.errors for r in progress) == 2
+
+
+def above(plan, leaf):
+    """For each scan of ``leaf`` in a plan's text, the operators between it and the join it is for."""
+    stack, found = [], []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        name = line.strip(" :+-*()0123456789")
+        stack = [(d, n) for d, n in stack if d < depth] + [(depth, name)]
+        if leaf in line:
+            path = []
+            for _, n in reversed(stack[:-1]):
+                if "Join" in n:
+                    break
+                path.append(n.split(" ")[0])
+            found.append(path)
+    return found
+
+
+def test_batches_do_not_shuffle_the_index(frame, spark, tmp_path):
+    names, records, sources = tables(frame)
+    index = build_index(records, sources)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = verify(names, index, sources, sources=[1, 4])
+        keys = cut(prepare.name_keys(done.names))
+        plans = [
+            done.best(), done.per_source(), done.sources_num(),
+            match.probe_keys(match.candidates(keys, match.exact_probes()), index.keys),
+            match.probe_stems(match.candidates(keys, match.stem_probes(match.STEM)), index.stems),
+            match.probe_similar(match.candidates(keys, match.stem_probes(match.FUZZY)), index.stems, traces=index.traces),
+        ]
+        scans = [path for df in plans for path in above(physical(df), "spark_catalog.default.taxaloom_")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(scans) >= 7 and not any("Exchange" in n for path in scans for n in path)
+
+
+def test_tables_of_a_scope_are_removed(frame, spark):
+    with scope(spark):
+        inside = cut(frame([(1,)], "n int"))
+        folder = os.path.dirname(inside.inputFiles()[0].removeprefix("file://"))
+        assert os.path.isdir(folder)
+    assert not os.path.isdir(folder)
+    assert cut(frame([(1,)], "n int")).count() == 1
