@@ -140,12 +140,13 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
         (F.octet_length(text) + F.lit(overhead)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("text_hash"),
+        F.monotonically_increasing_id().alias("row"),  # stored here, so it is the same wherever it is read
     ))
     groups = cut(rows.groupBy("text_hash", "size").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")))
     total = groups.agg(F.sum("bytes")).first()[0] or 0
     share = total / shards
     bundles = shards * FINE
-    piece = F.pmod(F.xxhash64("doc_id"), F.lit(PIECES))
+    piece = F.pmod(F.xxhash64("doc_id", "row"), F.lit(PIECES))
     # A group is one unit from 1/FINE of a share on; beyond a share its pieces are.
     named = groups.select(
         "text_hash", "size",
