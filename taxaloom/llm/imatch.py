@@ -14,6 +14,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from taxaloom.llm.common import whole_text
+from taxaloom.operators.order import placed
 from taxaloom.session import cut
 
 RAREST, COMMONEST = 1000, 5
@@ -122,20 +123,18 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """(deal, at, guest, doc_id, text, next_text): each document and the text after it, by ascending id.
 
     Documents of ``IDS`` ids in a row are put in order together, and the first
-    of the next ids is their guest, so no task sees all. Only the least ids of
-    these portions, one in ``IDS``, are put in order as a whole. The last
-    document is followed by the first. Equal ids are ordered by text; null ids
-    come first.
+    of the next ids is their guest, so no task sees all. The portions, of which
+    there are as many as documents if ids are sparse, are put in order by ranges.
+    The last document is followed by the first. Equal ids are ordered by text;
+    null ids come first.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     rows = rows.withColumn("deal", F.coalesce(F.expr(f"doc_id div {IDS}"), F.lit(-(1 << 62))))
-    heads = cut(rows.groupBy("deal").agg(F.min("doc_id").alias("least")))
-    order = Window.orderBy("deal")
-    # One row per portion; its predecessor, or for the first portion the last one.
-    last = heads.agg(F.max("deal")).first()[0]
-    before = heads.select(
-        F.col("deal").alias("of"), "least", F.coalesce(F.lag("deal").over(order), F.lit(last)).alias("to")
-    )
+    heads = cut(placed(rows.groupBy("deal").agg(F.min("doc_id").alias("least")), [F.asc("deal")]))
+    portions = heads.count()
+    # The predecessor of each portion; that of the first is the last one.
+    previous = heads.select(F.col("deal").alias("to"), F.pmod(F.col("place") + 1, F.lit(max(portions, 1))).alias("place"))
+    before = heads.withColumnRenamed("deal", "of").join(previous, "place").drop("place")
     guests = rows.join(
         before, (F.col("deal") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("least"))
     ).select("doc_id", "text", F.col("to").alias("deal"), F.lit(1).alias("guest"))

@@ -100,6 +100,18 @@ def test_texts_outside_the_band_keep_their_terms(spark):
     assert rows[1191].fingerprint != rows[1190].fingerprint
 
 
+def test_each_document_is_followed_by_the_next_id(spark):
+    """Dense and sparse ids, repeated ones and a null id, which comes first."""
+    ids = [None, *range(-3, 5), *range(0, 10**7, 2 * 10**5), 7 << 40, 7 << 40]
+    rows = sorted(((i, f"t{n}") for n, i in enumerate(ids)), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = imatch.with_next(docs).filter("guest = 0").collect()
+    after = dict(zip((t for _, t in rows), [*(t for _, t in rows[1:]), rows[0][1]]))
+    assert {r.text: r.next_text for r in got} == after and len(got) == len(rows)
+    one = imatch.with_next(docs.limit(1)).filter("guest = 0").first()
+    assert one.next_text == one.text
+
+
 def test_unlike_texts_share_no_fingerprint(spark):
     texts = ["", *[f"w{k}" for k in range(60)], *[f"w{k} x{k}" for k in range(60)]]
     rows = imatch.edited_likeness(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
