@@ -25,7 +25,8 @@ HEADLINE = [
     "match_partial_fuzzy", "match_partial_fuzzy_relaxed", "match_genus_part", "match_cascade",
     "sources_matched", "best_result", "best_per_source", "best_results", "all_matches",
     "resolve_current", "nest_results", "flat_rows", "extract_facets", "facet_species",
-    "search_batch", "lookup_name_strings", "attach_vernaculars", "source_stats",
+    "search_batch", "lookup_name_strings", "attach_vernaculars", "source_stats", "rank_results",
+    "verify_options",
 ]
 
 

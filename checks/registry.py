@@ -17,7 +17,7 @@ from checks.standin import once, spark_table
 from taxaloom.functions import scores
 from taxaloom.operators import attach, lookup, match, prepare, ranking, results, search
 from taxaloom.plans import verify as plan
-from taxaloom.session import shared_folder
+from taxaloom.session import cut, shared_folder
 from taxaloom.sources import readers, writers
 from taxaloom.streaming.verify_stream import stream_metrics, verify_stream
 
@@ -357,7 +357,8 @@ def score_bands(t: Tables) -> DataFrame:
 # --- Match stages ----------------------------------------------------------
 
 def _per_row(t: Tables, matches: DataFrame) -> DataFrame:
-    return t.names.select("row_id", "match_key").join(matches, "match_key")
+    """Matches of keys as matches of rows; stored first, so that rows of a hot key can be split."""
+    return t.names.select("row_id", "match_key").join(cut(matches), "match_key")
 
 
 _STAGE = """SELECT r.row_id, m.* FROM rows_in r JOIN (SELECT match_key, matched_key, match_type,

@@ -162,19 +162,14 @@ def _named_columns() -> list[Column]:
     return [given[c].alias(c) if c in given else F.col(c) for c in FLAT_COLUMNS]
 
 
-def flat_matches(
-    names: DataFrame, errors: DataFrame, best: DataFrame, ranked: DataFrame | None = None
-) -> DataFrame:
+def flat_matches(names: DataFrame, errors: DataFrame, placed: DataFrame) -> DataFrame:
     """The rows of :func:`flat_rows` without documents between, from results as rows.
 
-    ``ranked`` results have their place ``rn`` in the profile. They are
-    formatted once per profile and stored, and no list of a profile is put
-    together, so a profile may have any number of results.
+    ``placed`` has the best result of a profile at ``position`` 0 and those
+    listed after it from 1 on. They are formatted once per profile and stored,
+    and no list of a profile is put together, so it may have any number of them.
     """
     position = F.col("position")
-    placed = best.withColumn("position", F.lit(0))
-    if ranked is not None:
-        placed = placed.unionByName(ranked.withColumnRenamed("rn", "position"), allowMissingColumns=True)
     formatted = cut(placed.select("profile", "position", *_flat(F.col, _kind(position), F.lit(True))))
     rows = names.select("row_id", "name", "profile").join(formatted, "profile", "left").drop("profile")
     rows = rows.withColumn("error", F.lit(None).cast("string")).unionByName(

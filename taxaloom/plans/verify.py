@@ -68,24 +68,34 @@ class Verification:
     vernaculars: DataFrame | None = None
     languages: str | Iterable[str] | None = None
 
+    def _resolved(self, found: DataFrame) -> DataFrame:
+        """Matched records with their accepted names, which those of an index have already."""
+        if "current_name" in found.columns:
+            return found
+        return attach.resolve_current(found, self.prepared_records)
+
     def _told(self, found: DataFrame) -> DataFrame:
         """Matched records with their accepted and common names."""
-        if "current_name" not in found.columns:  # an index has it
-            found = attach.resolve_current(found, self.prepared_records)
-        return attach.with_vernaculars(found, self.vernaculars, self.languages)
+        return attach.with_vernaculars(self._resolved(found), self.vernaculars, self.languages)
 
-    def best(self) -> DataFrame:
-        """First record of each profile, with its accepted name."""
+    def _best(self) -> DataFrame:
         entries = self.index.entries if self.index else None
-        return self._told(ranking.best_result(self.profiles, self.matches, self.records, entries))
+        return ranking.best_result(self.profiles, self.matches, self.records, entries)
 
-    def per_source(self) -> DataFrame:
-        """First record of each profile in each chosen source."""
+    def _per_source(self) -> DataFrame:
         chosen = prepare.filter_sources(self.records, self.sources)
         entries = None
         if self.index:
             entries = prepare.filter_sources(self.index.source_entries, self.sources)
-        return self._told(ranking.best_per_source(self.profiles, self.matches, chosen, entries))
+        return ranking.best_per_source(self.profiles, self.matches, chosen, entries)
+
+    def best(self) -> DataFrame:
+        """First record of each profile, with its accepted name."""
+        return self._told(self._best())
+
+    def per_source(self) -> DataFrame:
+        """First record of each profile in each chosen source."""
+        return self._told(self._per_source())
 
     def all_matches(self) -> DataFrame:
         """Every record of the chosen sources, for each profile."""
@@ -119,11 +129,20 @@ class Verification:
         return results.with_errors(nested, self.errors)
 
     def flat(self) -> DataFrame:
-        """The flat rows of the documents, without putting these together."""
-        found = self.listed()
-        if found is not None:
-            found = ranking.rank_results(found) if self.every else ranking.rank_per_source(found)
-        return results.flat_matches(self.names, self.errors, self.best(), found)
+        """The flat rows of the documents, without putting these together.
+
+        The best and the listed results meet the records of accepted names together.
+        """
+        placed = self._best().withColumn("position", F.lit(0))
+        if self.sources:
+            if self.every:
+                # Beside rows of an index, which have accepted names, those of the records need them first.
+                found = self._resolved(self.all_matches()) if self.index else self.all_matches()
+                ranked = ranking.rank_results(found)
+            else:
+                ranked = ranking.rank_per_source(self._per_source())
+            placed = placed.unionByName(ranked.withColumnRenamed("rn", "position"), allowMissingColumns=True)
+        return results.flat_matches(self.names, self.errors, self._told(placed))
 
 
 def verify(

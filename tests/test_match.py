@@ -1,6 +1,8 @@
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import unscalable
 from taxaloom.functions.names import decomposed
@@ -79,6 +81,22 @@ def test_halves_that_many_stems_share(frame, monkeypatch):
     assert {tuple(r) for r in found.select("stem", "matched_stem", "stem_edit_distance").collect()} == expected
 
 
+@pytest.mark.parametrize("far", [1, 2])
+def test_words_of_documents_against_a_sample_of_all_pairs(frame, spark, far):
+    """The English words of the supplied documents; a sample of them is held against all."""
+    path = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001") + "/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+    texts = spark.read.parquet(path).filter("lang = 'en'").select(F.lower("text").alias("text"))
+    found = texts.select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]+"), 0)).alias("w")).distinct()
+    every = sorted(r.w for r in found.collect())
+    assert len(every) > 500
+    sample = every[::len(every) // 40]
+    expected = {(a, b, d) for a in sample for b in every if abs(len(a) - len(b)) <= far and (d := distance(a, b)) <= far}
+    rows = neighbours(frame, sample, every, far, guard=False).select("stem", "matched_stem", "stem_edit_distance")
+    assert {tuple(r) for r in rows.collect()} == expected
+
+
 RECORDS = [
     "Adiantum davidii var. longispinum", "Pardosa moesta Banks, 1892", "Bubo bubo (Linnaeus, 1758)",
     "Bubo bubo bubo", "Bubo", "Plantago major L.", "Pomatomus saltatrix", "Pomatomus",

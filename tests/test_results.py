@@ -72,6 +72,10 @@ def test_index_gives_the_same_rows(frame, documents):
     indexed = verify(names, build_index(records, sources), sources, sources=[1, 4]).flat()
     plain = results.flat_rows(documents)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, indexed.collect()))
+    every = {"sources": [0], "all_matches": True}
+    plain, indexed = verify(names, records, sources, **every), verify(names, build_index(records, sources), sources, **every)
+    assert sorted(map(tuple, plain.flat().collect())) == sorted(map(tuple, indexed.flat().collect()))
+    assert sorted(map(tuple, results.flat_rows(plain.documents()).collect())) == sorted(map(tuple, plain.flat().collect()))
 
 
 def test_delimited_round_trip(documents, spark, tmp_path):
