@@ -134,7 +134,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     portions = heads.count()
     # The predecessor of each portion; that of the first is the last one.
     previous = heads.select(F.col("deal").alias("to"), F.pmod(F.col("place") + 1, F.lit(max(portions, 1))).alias("place"))
-    before = heads.withColumnRenamed("deal", "of").join(previous, "place").drop("place")
+    # Stored, so that texts meet it without a shuffle where portions are few.
+    before = cut(heads.withColumnRenamed("deal", "of").join(previous, "place").drop("place"))
     guests = rows.join(
         before, (F.col("deal") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("least"))
     ).select("doc_id", "text", F.col("to").alias("deal"), F.lit(1).alias("guest"))
