@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-from taxaloom.operators import fuzzy
+from taxaloom.operators import fuzzy, ranking
+from taxaloom.operators.order import placed
 from taxaloom.session import cut
 
 
@@ -20,3 +22,26 @@ def test_traces_of_stems_are_not_sent_to_all_tasks(spark, distance):
     met = fuzzy.stem_neighbours(stems, traces, distance, guard_short_words=False)
     assert "SortMergeJoin [trace" in _plan(met)
     assert {tuple(r) for r in met.collect()} == {("bubo bubo", "bubo bubb", 1), ("aquila alba", "aquila albo", 1)}
+
+
+def test_places_need_no_shuffle_by_range(spark):
+    numbered = placed(spark.range(500).selectExpr("id", "cast(id % 7 AS string) AS word"), [F.asc("word"), F.desc("id")])
+    assert "hashpartitioning(_range" not in _plan(numbered)
+    rows = sorted((r["place"], r["word"], r["id"]) for r in numbered.collect())
+    assert [r[0] for r in rows] == list(range(500))
+    assert [r[1:] for r in rows] == sorted(((r[1], r[2]) for r in rows), key=lambda r: (r[0], -r[1]))
+
+
+def test_first_places_of_profiles_are_not_sent_to_all_tasks(spark):
+    rows = spark.range(60).selectExpr(
+        "cast(id % 5 AS string) AS profile", "cast(id % 3 AS double) AS sort_score", "cast(id AS string) AS matched_name",
+        "1 AS data_source_id", "cast(id AS string) AS record_id",
+    )
+    ranked = ranking.rank_results(rows)
+    assert "SortMergeJoin [profile" in _plan(ranked)
+    found = {}
+    for r in ranked.collect():
+        found.setdefault(r["profile"], []).append((r["rn"], -r["sort_score"], r["matched_name"]))
+    for places in found.values():
+        assert [p[0] for p in sorted(places)] == list(range(1, 13))
+        assert [p[1:] for p in sorted(places)] == sorted(p[1:] for p in places)
