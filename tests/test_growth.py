@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from taxaloom.operators import fuzzy, ranking
+from taxaloom.operators import fuzzy, pairs, ranking, search
 from taxaloom.operators.order import placed
 from taxaloom.session import cut
 
@@ -45,3 +47,54 @@ def test_first_places_of_profiles_are_not_sent_to_all_tasks(spark):
     for places in found.values():
         assert [p[0] for p in sorted(places)] == list(range(1, 13))
         assert [p[1:] for p in sorted(places)] == sorted(p[1:] for p in places)
+
+
+def test_fan_out_is_the_join(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "SIDE", 3)
+    left = [(k, n) for k, many in (("a", 11), ("b", 1), (None, 9), ("left", 8)) for n in range(many)] + [("a", 0)] * 4
+    right = [(k, str(n)) for k, many in (("a", 7), ("b", 10), (None, 5), ("right", 8)) for n in range(many)] + [("b", None)] * 2
+    met = pairs.fan_out(
+        cut(spark.createDataFrame(left, "k string, n int")), cut(spark.createDataFrame(right, "k string, t string")), "k"
+    )
+    assert met.columns == ["k", "n", "t"]
+    assert Counter(map(tuple, met.collect())) == Counter((k, n, t) for k, n in left for j, t in right if k is not None and k == j)
+
+
+def _tasks(df) -> list[int]:
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+
+
+def _facets(rows, **values):
+    given = {c: F.lit(values.get(c)).cast("int" if c.startswith("year") else "string") for c in search.FACETS}
+    return cut(rows.select(F.col("id").alias("query_id"), *[given[c].alias(c) for c in given]))
+
+
+def test_searches_of_one_year_are_shared_by_tasks(spark):
+    facets = _facets(spark.range(3000), year_from=1800)
+    records = cut(spark.range(3000).selectExpr("1 AS data_source_id", "cast(id AS string) AS record_id", "1850 AS year"))
+    tasks = _tasks(search.facet_year(facets, records))
+    assert sum(tasks) == 9_000_000 and max(tasks) <= 4_500_000
+
+
+def test_searches_of_one_word_are_shared_by_tasks(spark):
+    facets = _facets(spark.range(3000), any_epithet="alba")
+    records = cut(spark.range(3000).selectExpr("1 AS data_source_id", "cast(id AS string) AS record_id", "array('alba') AS epithets"))
+    tasks = _tasks(search.facet_any_epithet(facets, records))
+    assert sum(tasks) == 9_000_000 and max(tasks) <= 4_500_000
+
+
+def test_other_genders_are_distinct_without_comparing_what_is_found(spark):
+    facets = cut(
+        _facets(spark.range(1), species="alba", any_epithet="alba")
+        .unionByName(_facets(spark.range(1, 2), species="alba"))
+        .unionByName(_facets(spark.range(2, 3), infraspecies="alba"))
+        .unionByName(_facets(spark.range(2, 3), infraspecies="alba"))
+        .unionByName(_facets(spark.range(3, 4), any_epithet="alb."))
+    )
+    records = [(1, "a", ["albus"]), (1, "b", ["major", "albus"]), (1, "c", ["albus", "albus"]), (1, "c", ["albus"]), (1, "d", ["alba"])]
+    records = cut(spark.createDataFrame(records, "data_source_id int, record_id string, epithets array<string>"))
+    found = search.facet_gender(facets, records)
+    assert found._jdf.queryExecution().optimizedPlan().nodeName() != "Aggregate"
+    assert sorted((r["query_id"], r["facet"], r["word"], r["record_id"]) for r in found.collect()) == sorted(
+        (q, "alba", "albus", r) for q, rs in ((0, "abc"), (1, "ac"), (2, "bc")) for r in rs
+    )
