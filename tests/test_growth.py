@@ -7,9 +7,11 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from taxaloom.operators import fuzzy, pairs, ranking, search
+from taxaloom.operators import fuzzy, pairs, ranking, results, search
+from taxaloom.operators.attach import VERNACULARS
 from taxaloom.operators.order import placed
 from taxaloom.session import cut
+from taxaloom.sources import writers
 
 
 def _plan(df) -> str:
@@ -98,3 +100,20 @@ def test_other_genders_are_distinct_without_comparing_what_is_found(spark):
     assert sorted((r["query_id"], r["facet"], r["word"], r["record_id"]) for r in found.collect()) == sorted(
         (q, "alba", "albus", r) for q, rs in ((0, "abc"), (1, "ac"), (2, "bc")) for r in rs
     )
+
+
+def test_compressed_sinks_hold_the_same(spark, tmp_path):
+    numbers = [*results.SCORE_FIELDS, "sort_score"]
+    fields = {c: F.lit(0.5 if c in numbers else "some words").alias(c) for c in [*results.RESULT_FIELDS, *results.SCORE_FIELDS]}
+    fields["vernaculars"] = F.lit(None).cast(VERNACULARS).alias("vernaculars")
+    best = spark.range(1).select(F.lit("p").alias("profile"), F.lit("k").alias("match_key"), *fields.values())
+    names = spark.createDataFrame([(n, f"Aus {n}", "p") for n in range(400)], "row_id long, name string, profile string")
+    documents = results.with_errors(results.nest_results(names, best), names.limit(0).withColumn("error", F.lit("")))
+    for kind in (None, "gzip"):
+        writers.write_json_docs(documents, f"{tmp_path}/{kind}", compression=kind)
+        writers.write_delimited(results.flat_rows(documents), f"{tmp_path}/flat-{kind}", compression=kind)
+    assert Counter(spark.read.text(f"{tmp_path}/None").collect()) == Counter(spark.read.text(f"{tmp_path}/gzip").collect())
+    plain, packed = (spark.read.csv(f"{tmp_path}/flat-{kind}", header=True) for kind in (None, "gzip"))
+    assert Counter(plain.collect()) == Counter(packed.collect()) and plain.count() == 400
+    size = {kind: sum(f.stat().st_size for f in (tmp_path / str(kind)).glob("part-*")) for kind in (None, "gzip")}
+    assert size["gzip"] * 4 < size[None]
