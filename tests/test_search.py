@@ -203,3 +203,14 @@ def test_rows_of_one_name_are_ordered_by_search(frame):
     df = frame([(q, "same", str(r)) for q in range(5) for r in range(3)], "query_id int, name string, record_id string")
     got = [(r.query_id, r.record_id) for r in results.order_by_name(df.repartition(4)).collect()]
     assert got == sorted(got)
+
+
+def test_equal_searches_share_their_documents(frame, tables, monkeypatch):
+    stored = []
+    monkeypatch.setattr(search, "cut", lambda df: stored.append(cut(df)) or stored[-1])
+    asked = facets(frame, *["sp:saltator all:t"] * 40, *["sp:saltator"] * 20)
+    documents = search.search_documents(asked, *tables).collect()
+    assert max(df.count() for df in stored if "best_result" in df.columns) <= 2
+    listed = {d.row_id: [r.record_id for r in d.results or []] for d in documents}
+    assert listed == {n: ["1", "3"] if n < 40 else [] for n in range(60)} and len(documents) == 60
+    assert {d.best_result.record_id for d in documents} == {"1"}
