@@ -214,3 +214,14 @@ def test_equal_searches_share_their_documents(frame, tables, monkeypatch):
     listed = {d.row_id: [r.record_id for r in d.results or []] for d in documents}
     assert listed == {n: ["1", "3"] if n < 40 else [] for n in range(60)} and len(documents) == 60
     assert {d.best_result.record_id for d in documents} == {"1"}
+
+
+def test_records_of_one_search_are_shared_by_tasks(frame, spark):
+    rows = [(n % 25, str(n), "Bubo bubo L.", False, str(n), "", "", "") for n in range(1500)]
+    prepared = cut(decomposed(frame(rows, RECORD)))
+    sources = frame([(1, "t", "t", "Curated", "2024-01-01")],
+                    "id int, title string, title_short string, curation string, updated_at string")
+    asked = cut(facets(frame, *["sp:bubo all:t"] * 1200))
+    found = search.search_records(asked, prepared, ranking.scored_records(prepared, sources))
+    tasks = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(tasks) == 1_800_000 and max(tasks) <= 1_400_000
