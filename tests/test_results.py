@@ -1,9 +1,10 @@
+import dataclasses
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from taxaloom.operators import attach, lookup, match, results
+from taxaloom.operators import attach, lookup, match, ranking, results
 from taxaloom.plans.verify import build_index, map_checklist, no_match_rows, verify
 from taxaloom.session import cut
 from taxaloom.sources import readers, writers
@@ -187,3 +188,16 @@ def test_exact_strings(frame):
     rows = match.match_exact_string(names.unionByName(odd), records).collect()
     assert {(r.row_id, r.record_id, r.match_type) for r in rows} == {
         (0, "c", "Exact"), (1, "b", "Exact"), (9, "c", "Exact"), (12, "c", "Exact")}
+
+
+def test_best_rows_come_from_the_listed_ones(frame, monkeypatch):
+    names, records, sources = tables(frame)
+    plain = verify(names, records, sources, sources=[0])
+    for every in (False, True):
+        run = dataclasses.replace(plain, every=every)
+        want = sorted(map(tuple, results.flat_rows(run.documents()).collect()))
+        with monkeypatch.context() as patch:
+            patch.setattr(ranking, "best_result", None)  # not ranked a second time
+            assert sorted(map(tuple, run.flat().collect())) == want
+            if not every:
+                run.best().collect()
