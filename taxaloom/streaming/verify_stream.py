@@ -34,15 +34,16 @@ def verify_stream(
     that a batch writes in between are removed after its output. ``trigger`` has
     the arguments of Spark's trigger; without, all that is there is taken.
     """
-    index = build_index(records, data_sources, relaxed)
+    index = build_index(records, data_sources, relaxed, by_source=bool(options.get("sources")))
 
     def verified(batch: DataFrame, batch_id: int) -> None:
         spark, start = batch.sparkSession, time.monotonic()
         with scope(spark):
             seen = Observation("names")
+            # A batch may come as one file, which is one task's.
             rows = cut(batch.select("row_id", "name").observe(
                 seen, F.count(F.lit(1)).alias("names"), F.count_if(is_blank(F.col("name"))).alias("errors")
-            ))
+            ).repartition(spark.sparkContext.defaultParallelism))
             flat = verify(rows, index, data_sources, **options).flat()
             flat.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         seconds = max(time.monotonic() - start, 1e-3)

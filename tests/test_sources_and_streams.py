@@ -1,5 +1,7 @@
 import os
+import sys
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import physical
@@ -119,3 +121,19 @@ def test_tables_of_a_scope_are_removed(frame, spark):
         assert os.path.isdir(folder)
     assert not os.path.isdir(folder)
     assert cut(frame([(1,)], "n int")).count() == 1
+
+
+def test_a_batch_of_one_file_is_shared_by_tasks(frame, spark, tmp_path, monkeypatch):
+    names, records, sources = tables(frame)
+    frame([(n, f"Bubo bubo {n}") for n in range(400)], names.schema).coalesce(1).write.parquet(f"{tmp_path}/in")
+    seen, index = [], []
+    module = sys.modules["taxaloom.streaming.verify_stream"]
+    monkeypatch.setattr(module, "verify", lambda rows, built, *a, **k: (
+        seen.append(len(rows.inputFiles())), index.append(built), verify(rows, built, *a, **k))[-1])
+    stream = spark.readStream.schema(names.schema).parquet(f"{tmp_path}/in")
+    verify_stream(stream, records, sources, f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination()
+    assert seen == [spark.sparkContext.defaultParallelism]
+    assert index[0].source_entries is None  # no sources are chosen
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 400
+    with pytest.raises(ValueError):
+        verify(names, index[0], sources, sources=[1])
