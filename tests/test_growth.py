@@ -64,6 +64,16 @@ def test_fan_out_is_the_join(spark, monkeypatch):
     assert Counter(map(tuple, met.collect())) == Counter((k, n, t) for k, n in left for j, t in right if k is not None and k == j)
 
 
+def test_fan_out_sends_rows_by_the_number_of_tasks(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "SIDE", 10)
+    left, right = (cut(spark.range(2000).selectExpr("'a' AS k", f"id AS {name}")) for name in ("n", "t"))
+    sent, deal = [], type(left).repartition
+    monkeypatch.setattr(type(left), "repartition", lambda self, *by: sent.append(self) or deal(self, *by))
+    met = pairs.fan_out(left, right, "k")
+    assert met.count() == met.distinct().count() == 4_000_000
+    assert len(sent) == 2 and sum(rows.count() for rows in sent) <= 200_000
+
+
 def _tasks(df) -> list[int]:
     return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
 
