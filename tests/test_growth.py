@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from taxaloom.operators import fuzzy, pairs, ranking, results, search
+from checks import registry
+from taxaloom.operators import fuzzy, order, pairs, ranking, results, search
 from taxaloom.operators.attach import VERNACULARS
 from taxaloom.operators.order import placed
 from taxaloom.session import cut
@@ -53,6 +55,35 @@ def test_first_places_of_profiles_are_not_sent_to_all_tasks(spark):
         assert [p[1:] for p in sorted(places)] == sorted(p[1:] for p in places)
 
 
+def _matches(spark):
+    """Matches of five profiles with columns that ranking needs and others."""
+    return spark.range(60).selectExpr(
+        "cast(id % 5 AS string) AS profile", "cast(id % 3 AS double) AS sort_score", "cast(id AS string) AS matched_name",
+        "1 AS data_source_id", "cast(id AS string) AS record_id", "'k' AS match_key", "0.5 AS rank_score",
+        "0.5 AS curation_score", "'Linnaeus' AS matched_authors_text", "'a|b' AS classification_path",
+    )
+
+
+def _stored(monkeypatch):
+    """The columns of what is stored for ranking, as it is stored."""
+    stored, keep = [], order.cut
+    monkeypatch.setattr(order, "cut", lambda rows: stored.append(rows.columns) or keep(rows))
+    return stored
+
+
+def _places_hold(ranked):
+    rows = sorted((r["profile"], -r["sort_score"], r["matched_name"], r["rn"]) for r in ranked.collect())
+    assert [r[-1] for r in rows] == [*range(1, 13)] * 5
+
+
+def test_query_of_ranks_stores_only_what_it_shows_or_orders(spark, monkeypatch):
+    stored, found = _stored(monkeypatch), _matches(spark)
+    tables = SimpleNamespace(verification=lambda sources: SimpleNamespace(all_matches=lambda: found))
+    ranked = registry.rank_results(tables)
+    assert stored and all(not {"match_key", "rank_score", "classification_path"} & set(columns) for columns in stored)
+    _places_hold(ranked.join(found.select("profile", "record_id", "sort_score", "matched_name"), ["profile", "record_id"]))
+
+
 def test_fan_out_is_the_join(spark, monkeypatch):
     monkeypatch.setattr(pairs, "SIDE", 3)
     left = [(k, n) for k, many in (("a", 11), ("b", 1), (None, 9), ("left", 8)) for n in range(many)] + [("a", 0)] * 4
