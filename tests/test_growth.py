@@ -12,6 +12,7 @@ from checks import registry
 from taxaloom.operators import fuzzy, order, pairs, ranking, results, search
 from taxaloom.operators.attach import VERNACULARS
 from taxaloom.operators.order import placed
+from taxaloom.plans import verify
 from taxaloom.session import cut
 from taxaloom.sources import writers
 
@@ -84,6 +85,15 @@ def test_query_of_ranks_stores_only_what_it_shows_or_orders(spark, monkeypatch):
     _places_hold(ranked.join(found.select("profile", "record_id", "sort_score", "matched_name"), ["profile", "record_id"]))
 
 
+def test_flat_rows_rank_without_what_scores_are_made_of(spark, monkeypatch):
+    stored, found = _stored(monkeypatch), _matches(spark)
+    run = verify.Verification(*[None] * 6, sources=[0], every=True)
+    monkeypatch.setattr(verify.Verification, "all_matches", lambda self: found)
+    ranked = run._ranked()
+    assert stored and all("classification_path" in columns and not set(results.ONLY_FOR_SCORES) & set(columns) for columns in stored)
+    _places_hold(ranked)
+
+
 def test_fan_out_is_the_join(spark, monkeypatch):
     monkeypatch.setattr(pairs, "SIDE", 3)
     left = [(k, n) for k, many in (("a", 11), ("b", 1), (None, 9), ("left", 8)) for n in range(many)] + [("a", 0)] * 4
